@@ -1,0 +1,176 @@
+"""Topic tables: change logs kept as Parquet, with the columns and offsets of a topic.
+
+For Spark installations without a broker. Each append is one directory
+`<path>/append=<n>`, moved into place when it is complete, so readers see all of an
+append or nothing. `_heads` inside it holds the next offset per partition. One writer
+per topic.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sluiceway.functions.structs import root
+from sluiceway.operators.envelope import ENVELOPE
+from sluiceway.sources import storage
+
+DEFAULT_PARTITIONS = 8
+CREATE_TIME = 0
+# Width of the row counter inside monotonically_increasing_id.
+ROW_BITS = 33
+
+
+def _appends(spark: SparkSession, path: str) -> list[int]:
+    names = [n for n in storage.children(spark, path) if n.startswith("append=")]
+    return sorted(int(n.partition("=")[2]) for n in names)
+
+
+def _directory(path: str, number: int) -> str:
+    return f"{path}/append={number:08d}"
+
+
+def read_topic(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a topic table, earliest to latest, as the seven envelope columns."""
+    path = path.rstrip("/")
+    if not _appends(spark, path):
+        if not storage.exists(spark, path):
+            raise ValueError(f"there is no topic table at {path}")
+        return spark.createDataFrame([], ENVELOPE)
+    return spark.read.schema(ENVELOPE).parquet(path).select(*ENVELOPE.names)
+
+
+def stream_topic(spark: SparkSession, path: str) -> DataFrame:
+    """Stream over a topic table from its first row.
+
+    Every append is taken whole, so the order of offsets holds across micro-batches.
+    """
+    path = path.rstrip("/")
+    storage.make_directory(spark, path)
+    reader = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", str(2**31 - 1))
+    return reader.parquet(path).select(*ENVELOPE.names)
+
+
+def _heads(spark: SparkSession, path: str, number: int) -> DataFrame:
+    return spark.read.parquet(f"{_directory(path, number)}/_heads")
+
+
+def _partition_column(df: DataFrame, partitions: int):
+    if "partition" in df.columns:
+        return F.col("partition").cast("int")
+    by_key = F.hash(F.col("key"))
+    spread = F.xxhash64(F.col("value"))
+    chosen = F.when(F.col("key").isNotNull(), F.pmod(by_key, F.lit(partitions)))
+    return chosen.otherwise(F.pmod(spread, F.lit(partitions))).cast("int")
+
+
+def append_topic(
+    df: DataFrame,
+    path: str,
+    partitions: int | None = None,
+    order_by: str | Sequence[str] | None = None,
+    tag: str | None = None,
+) -> None:
+    """Append serialized `key` (optional) and `value` rows, with dense offsets per partition.
+
+    Rows go to the partition in column `partition`, else by the hash of the key. Offsets
+    follow `order_by` where given, else the order of the input. An append whose `tag` is
+    that of the last one is skipped, which makes a retried micro-batch safe.
+
+    No task sees a whole partition, however many rows one key has: tasks number their own
+    rows, and each adds the number of rows that earlier tasks hold. Only these counts, one
+    per task and partition, are summed in order.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    known = _appends(spark, path)
+    last = known[-1] if known else None
+    if last is not None:
+        head = _heads(spark, path, last).select("tag", "partitions").head(1)[0]
+        if tag is not None and head["tag"] == tag:
+            return
+        if partitions is not None and partitions != head["partitions"]:
+            raise ValueError(f"the topic has {head['partitions']} partitions, not {partitions}")
+        partitions = head["partitions"]
+    partitions = partitions or DEFAULT_PARTITIONS
+
+    staged = storage.scratch_dir(spark, "topic-rows")
+    counted = storage.scratch_dir(spark, "topic-counts")
+    placed = f"{path}/_append-{storage.scratch_dir(spark, 'x').rsplit('-', 1)[1]}"
+    try:
+        _number_in_tasks(df, partitions, order_by).write.parquet(staged)
+        rows = spark.read.parquet(staged)
+        _starts(rows, spark, path, last).write.parquet(counted)
+        starts = spark.read.parquet(counted)
+
+        # A file table of known size: Spark broadcasts it below the threshold, else sorts and merges.
+        final = rows.join(starts.select("partition", "task", "first_id", "start"), ["partition", "task"]).select(
+            "key",
+            "value",
+            F.lit(path.rsplit("/", 1)[1]).alias("topic"),
+            "partition",
+            (F.col("start") + F.col("row_id") - F.col("first_id")).alias("offset"),
+            "timestamp",
+            F.lit(CREATE_TIME).alias("timestampType"),
+        )
+        final.write.parquet(placed)
+        _next_heads(starts, spark, path, last, partitions, tag).coalesce(1).write.parquet(f"{placed}/_heads")
+        storage.rename(spark, placed, _directory(path, 0 if last is None else last + 1))
+    finally:
+        for leftover in (staged, counted, placed):
+            storage.delete(spark, leftover)
+
+
+def _number_in_tasks(df: DataFrame, partitions: int, order_by: str | Sequence[str] | None) -> DataFrame:
+    """Rows with their task and a row id that is contiguous per task and partition."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    key = F.col("key") if "key" in df.columns else F.lit(None)
+    rows = df.withColumns({"key": key.cast("binary"), "value": F.col("value").cast("binary")})
+    rows = rows.withColumn("_partition", _partition_column(rows, partitions))
+    if order:
+        # The input position splits runs of equal order values over several tasks.
+        rows = rows.withColumn("_position", F.monotonically_increasing_id())
+        by = [*[root(c) for c in order], F.col("_position")]
+        rows = rows.repartitionByRange(*by).sortWithinPartitions("_partition", *by)
+    else:
+        rows = rows.withColumn("_position", F.monotonically_increasing_id())
+        rows = rows.sortWithinPartitions("_partition", "_position")
+    return rows.select(
+        "key", "value", F.col("_partition").alias("partition"), F.monotonically_increasing_id().alias("row_id")
+    ).select(
+        "key",
+        "value",
+        "partition",
+        "row_id",
+        F.shiftright("row_id", ROW_BITS).alias("task"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
+def _starts(rows: DataFrame, spark: SparkSession, path: str, last: int | None) -> DataFrame:
+    """First offset per (partition, task)."""
+    counts = rows.groupBy("partition", "task").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"))
+    earlier = Window.partitionBy("partition").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    if last is None:
+        return counts.withColumn("start", F.col("before"))
+    heads = _heads(spark, path, last).select("partition", "next_offset")
+    joined = counts.join(heads, "partition", "left")
+    start = F.col("before") + F.coalesce(F.col("next_offset"), F.lit(0))
+    return joined.withColumn("start", start).drop("next_offset")
+
+
+def _next_heads(
+    starts: DataFrame, spark: SparkSession, path: str, last: int | None, partitions: int, tag: str | None
+) -> DataFrame:
+    heads = starts.select("partition", (F.col("start") + F.col("n")).alias("next_offset"))
+    if last is not None:
+        heads = heads.unionByName(_heads(spark, path, last).select("partition", "next_offset"))
+    # Every partition is listed, so that an empty append has heads too.
+    every = spark.range(partitions).select(F.col("id").cast("int").alias("partition"), F.lit(0).cast("bigint").alias("next_offset"))
+    heads = heads.unionByName(every).groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
+    return heads.select(
+        "partition", "next_offset", F.lit(partitions).alias("partitions"), F.lit(tag).cast("string").alias("tag")
+    )
