@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _local_root: str | None = None
+_issued: list[str] = []
 
 
 def _path(spark: SparkSession, path: str):
@@ -33,11 +34,13 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return exists(spark, path) and _fs(spark, path).getFileStatus(_path(spark, path)).isDirectory()
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries of a directory; none if it does not exist."""
-    if not exists(spark, path):
-        return []
-    return sorted(status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path)))
+def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names of the entries of a directory that match a glob pattern; none if it does not exist.
+
+    The match is made by the file system, so a directory of many data files costs one listing.
+    """
+    found = _fs(spark, path).globStatus(_path(spark, f"{path}/{pattern}"))
+    return sorted(status.getPath().getName() for status in found or ())
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
@@ -86,4 +89,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root; nothing is created yet."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _issued.append(path)
+    return path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path."""
+    delete(spark, path)
+    if path in _issued:
+        _issued.remove(path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete all scratch paths of this process; DataFrames read from them end here."""
+    for path in list(_issued):
+        release(spark, path)

@@ -26,8 +26,7 @@ def _directory(path: str, version: int) -> str:
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions, oldest first."""
-    names = [n for n in storage.children(spark, path) if n.startswith("v=") and n[2:].isdigit()]
-    numbers = sorted(int(n[2:]) for n in names)
+    numbers = sorted(int(n[2:]) for n in storage.children(spark, path, "v=*") if n[2:].isdigit())
     return [v for v in numbers if storage.exists(spark, f"{_directory(path, v)}/_SUCCESS")]
 
 
@@ -82,7 +81,7 @@ def update_table(
         _prune(spark, path, new)
         return counts.value()
     finally:
-        storage.delete(spark, staged)
+        storage.release(spark, staged)
 
 
 def _prune(spark: SparkSession, path: str, newest: int) -> None:

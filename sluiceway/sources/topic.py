@@ -8,6 +8,7 @@ per topic.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,8 +25,7 @@ ROW_BITS = 33
 
 
 def _appends(spark: SparkSession, path: str) -> list[int]:
-    names = [n for n in storage.children(spark, path) if n.startswith("append=")]
-    return sorted(int(n.partition("=")[2]) for n in names)
+    return sorted(int(n.partition("=")[2]) for n in storage.children(spark, path, "append=*"))
 
 
 def _directory(path: str, number: int) -> str:
@@ -98,7 +98,7 @@ def append_topic(
 
     staged = storage.scratch_dir(spark, "topic-rows")
     counted = storage.scratch_dir(spark, "topic-counts")
-    placed = f"{path}/_append-{storage.scratch_dir(spark, 'x').rsplit('-', 1)[1]}"
+    placed = f"{path}/_append-{uuid.uuid4().hex}"
     try:
         _number_in_tasks(df, partitions, order_by).write.parquet(staged)
         rows = spark.read.parquet(staged)
@@ -119,8 +119,9 @@ def append_topic(
         _next_heads(starts, spark, path, last, partitions, tag).coalesce(1).write.parquet(f"{placed}/_heads")
         storage.rename(spark, placed, _directory(path, 0 if last is None else last + 1))
     finally:
-        for leftover in (staged, counted, placed):
-            storage.delete(spark, leftover)
+        storage.release(spark, staged)
+        storage.release(spark, counted)
+        storage.delete(spark, placed)
 
 
 def _number_in_tasks(df: DataFrame, partitions: int, order_by: str | Sequence[str] | None) -> DataFrame:
