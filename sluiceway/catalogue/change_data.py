@@ -116,7 +116,8 @@ def json_keeps_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 IN (1, 2) THEN -1
        ELSE (o_custkey * 65537 % 4294967296)::BIGINT
             - CASE WHEN o_custkey * 65537 % 4294967296 >= 2147483648 THEN 4294967296 ELSE 0 END END::INTEGER AS schema_id
-       FROM orders"""
+       FROM orders""",
+    name="schema_id",
 )
 def schema_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames made from orders: missing, too short, with a wrong first byte, and valid."""
@@ -149,7 +150,7 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(SNAPSHOT_SQL)
+@query(SNAPSHOT_SQL, name="snapshot")
 def snapshot_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(change_log(spark, sf_dir))
 
@@ -157,7 +158,8 @@ def snapshot_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT hex(encode(user_id::VARCHAR || '/' || event_type)) AS value
        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS latest FROM events)
-       WHERE latest = 1 AND event_type <> 'error'"""
+       WHERE latest = 1 AND event_type <> 'error'""",
+    name="snapshot_binary",
 )
 def snapshot_of_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undecoded values; shown as hex, which compares the same everywhere."""
@@ -226,7 +228,7 @@ def _customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(CUSTOMER_CHANGES_SQL)
+@query(CUSTOMER_CHANGES_SQL, name="apply_changes")
 def apply_changes_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return apply_changes(target, _customer_changes(spark, sf_dir))
@@ -257,8 +259,8 @@ def topic_append_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) * 2 AS row_count, count(DISTINCT user_id) AS keys, 0 AS split_keys,
-       0 AS missing_offsets, 0 AS repeated_offsets FROM events"""
+    """SELECT count(*) * 2 AS row_count, count(DISTINCT user_id) AS keys, 0::BIGINT AS split_keys,
+       0::BIGINT AS missing_offsets, 0::BIGINT AS repeated_offsets FROM events"""
 )
 def topic_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions by key: no key is split, and offsets run on without a gap."""

@@ -48,7 +48,7 @@ def _flat(df: DataFrame) -> DataFrame:
     )
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders", name="remove_columns")
 def remove_columns_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_columns(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority", "not_there"])
 
@@ -64,7 +64,8 @@ def remove_columns_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT c_custkey, 'XXXXXXXXXX' AS c_name, c_nationkey, 'XXXXXXXXXX' AS c_acctbal, c_mktsegment
-       FROM customer"""
+       FROM customer""",
+    name="redact_columns",
 )
 def redact_columns_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_columns(table(spark, sf_dir, "customer"), ["c_name", "c_acctbal"])
@@ -158,7 +159,7 @@ def digest_change_sha2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(digest_columns(change_log(spark, sf_dir), ["event_type"], "sha2", form=CHANGE))
 
 
-@query("SELECT * FROM lineitem WHERE l_quantity > 25 AND l_returnflag = 'R'")
+@query("SELECT * FROM lineitem WHERE l_quantity > 25 AND l_returnflag = 'R'", name="filter_rows")
 def filter_rows_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_rows(table(spark, sf_dir, "lineitem"), "l_quantity > 25 AND l_returnflag = 'R'")
 
@@ -194,23 +195,23 @@ def filter_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_rows(table(spark, sf_dir, "orders"), clause).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("SELECT count(*) AS source_rows, true AS within_bounds, 0 AS repeated, 0 AS foreign_rows FROM events")
+@query("SELECT count(*) AS source_rows, true AS within_bounds, 0::BIGINT AS repeated, 0::BIGINT AS foreign_rows FROM events", name="sample_rows")
 def sample_rows_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id")
-    kept = sample_rows(events, fraction=0.25, seed=7).groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
-    both = events.join(kept, "event_id", "full_outer").select(
-        F.count(F.lit(1)).alias("source_rows"),
-        (F.sum("times") / F.count(F.lit(1))).between(0.2, 0.3).alias("within_bounds"),
-        F.coalesce(F.sum(F.when(F.col("times") > 1, 1)), F.lit(0)).alias("repeated"),
+    kept = sample_rows(events, fraction=0.25, seed=7)
+    both = events.withColumn("kept", F.lit(0)).unionByName(kept.withColumn("kept", F.lit(1)))
+    per_row = both.groupBy("event_id").agg(F.sum("kept").alias("kept"), F.sum(1 - F.col("kept")).alias("given"))
+    return per_row.agg(
+        F.sum("given").alias("source_rows"),
+        (F.sum("kept") / F.sum("given")).between(0.2, 0.3).alias("within_bounds"),
+        F.count(F.when((F.col("kept") > F.col("given")) & (F.col("given") > 0), 1)).alias("repeated"),
+        F.count(F.when(F.col("given") == 0, 1)).alias("foreign_rows"),
     )
-    foreign = kept.join(events, "event_id", "left_anti").agg(F.count(F.lit(1)).alias("foreign_rows"))
-    # Two single rows.
-    return both.join(foreign, F.lit(True))
 
 
-@query("SELECT * FROM nation")
+@query("SELECT * FROM pages")
 def noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_all(table(spark, sf_dir, "nation"))
+    return keep_all(table(spark, sf_dir, "pages"))
 
 
 def large_orders(df: DataFrame) -> DataFrame:
@@ -318,7 +319,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.scratch_dir(spark, "counted")
     PARQUET.write(kept, path)
     found = counts.counts()
-    return spark.range(1).select(*[F.lit(found[n]).alias(n) for n in ("row_count", "kept")])
+    return spark.range(1).select(*[F.lit(found[n]).cast("bigint").alias(n) for n in ("row_count", "kept")])
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")

@@ -12,16 +12,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with the SQL that must give the same rows."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name if no other is given, with the SQL that must give the same rows."""
 
     def register(function: Query) -> Query:
-        name = function.__name__
-        if name in QUERIES:
-            raise ValueError(f"query {name!r} is registered already")
-        QUERIES[name] = function
+        known_as = name or function.__name__
+        if known_as in QUERIES:
+            raise ValueError(f"query {known_as!r} is registered already")
+        QUERIES[known_as] = function
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[known_as] = oracle
         return function
 
     return register

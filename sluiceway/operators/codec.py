@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, NullType, StringType, StructType
@@ -24,7 +24,8 @@ JSON_WRITE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
-# The deserializer class that stands for JSON in connector settings.
+# Deserializer classes in connector settings.
+AVRO_DESERIALIZER = "io.confluent.kafka.serializers.KafkaAvroDeserializer"
 JSON_DESERIALIZER = "io.confluent.kafka.serializers.json.KafkaJsonSchemaDeserializer"
 
 
@@ -39,11 +40,12 @@ def choose_format(
     value_deserializer: str | None = None,
 ) -> str:
     """Serialization format from a store's settings, the most explicit first; JSON without any."""
-    if (key_deserializer or value_deserializer) and key_deserializer != value_deserializer:
+    deserializer = key_deserializer or AVRO_DESERIALIZER
+    if deserializer != (value_deserializer or AVRO_DESERIALIZER):
         raise ValueError("key and value must have the same deserializer")
     named = serialization_format or data_format
-    if named is None and key_deserializer is not None:
-        named = JSON if key_deserializer == JSON_DESERIALIZER else AVRO
+    if named is None and (key_deserializer or value_deserializer):
+        named = JSON if deserializer == JSON_DESERIALIZER else AVRO
     named = (named or JSON).lower()
     if named not in (JSON, AVRO):
         raise ValueError(f"serialization format {named!r} is not supported, use json or avro")
@@ -128,7 +130,7 @@ def _avro_functions():
 def _needs_avro(build):
     try:
         return build()
-    except (AnalysisException, PySparkException, TypeError) as error:
+    except PySparkException as error:
         if "AVRO" in str(error).upper():
             raise ConnectorMissing("Spark's Avro module is needed: add spark-avro to the class path") from error
         raise

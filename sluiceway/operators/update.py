@@ -24,8 +24,8 @@ def key_fields(changes: DataFrame, target: DataFrame) -> list[str]:
     return list(inner.names)
 
 
-def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
-    # Null keys are keys too.
+def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Join condition on key columns of two aliased tables; null keys are keys too."""
     return reduce(
         lambda a, b: a & b,
         [F.col(f"{left}.{ident(k)}").eqNullSafe(F.col(f"{right}.{ident(k)}")) for k in keys],
@@ -41,7 +41,7 @@ def apply_latest(target: DataFrame, latest: DataFrame) -> DataFrame:
     """
     keys = key_fields(latest, target)
     changed = latest.select(*[F.col("key").getField(k).alias(k) for k in keys])
-    kept = target.alias("t").join(changed.alias("c"), _same_key("t", "c", keys), "left_anti")
+    kept = target.alias("t").join(changed.alias("c"), same_key("t", "c", keys), "left_anti")
     upserts = unwrap(latest, drop_tombstones=True)
     different = set(upserts.columns) ^ set(target.columns)
     if different:

@@ -10,7 +10,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.envelope import change_pair, unwrap
 from sluiceway.operators.governance import CHANGE, LOG
 from sluiceway.operators.lineage import seal_stamps
@@ -25,7 +24,7 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class FlowReport:
-    """What a batch flow did. `rows` counts the rows handed to the target."""
+    """What a batch flow did. `rows` is the number of rows written, -1 if the target does not know."""
 
     rows: int
 
@@ -62,10 +61,8 @@ def shape(df: DataFrame, spec: FlowSpec) -> DataFrame:
 
 def run_batch(spark: SparkSession, spec: FlowSpec) -> FlowReport:
     source, target = open_stores(spark, spec)
-    counts = RowCounts()
-    df = counts.register(shape(source.read(spark, BATCH), spec))
-    target.write(df, spec.operation, spec.target_type)
-    rows = counts.value()
+    written = target.write(shape(source.read(spark, BATCH), spec), spec.operation, spec.target_type)
+    rows = -1 if written is None else written
     log.info("wrote %d rows", rows)
     return FlowReport(rows)
 

@@ -26,6 +26,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return _fs(spark, path).makeQualified(_path(spark, path)).toString().rstrip("/")
 
 
+def decoded(spark: SparkSession, uri: str) -> str:
+    """Path for a URL-encoded URI, as found in Spark's file metadata column."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import BinaryType, StructType
 
 from sluiceway.operators.codec import JSON, choose_format, decode, encode, inspect_raw
+from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.envelope import ENVELOPE, wrap
 from sluiceway.operators.governance import LOG
 from sluiceway.operators.steps import import_object
@@ -39,7 +40,8 @@ class Store:
     def read(self, spark: SparkSession, flow_type: str) -> DataFrame:
         raise NotImplementedError
 
-    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> None:
+    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> int | None:
+        """Write a batch; returns the number of rows written if it is known."""
         raise NotImplementedError
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
@@ -79,20 +81,22 @@ class FileStore(Store):
             return self.format.read_stream(spark, self.path, self.schema, self.options)
         return tables.read_table(spark, self.path, self.format, self.schema, self.options)
 
-    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> None:
+    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> int | None:
         if operation == UPDATE:
-            self._update(df)
-            return
+            return self._update(df)
         if self.rebalance:
             # Even files per partition value; Spark splits values that hold much of the data.
             df = df.hint("rebalance", *self.partition_by)
         path = self.path
         if operation != OVERWRITE:
             path = tables.current_path(df.sparkSession, path)
-        self.format.write(df, path, operation, self.partition_by, self.options)
+        # Counted above any shuffle, where a task run again is not counted again.
+        counts = RowCounts()
+        self.format.write(counts.register(df), path, operation, self.partition_by, self.options)
+        return counts.value()
 
-    def _update(self, changes: DataFrame) -> None:
-        tables.update_table(
+    def _update(self, changes: DataFrame) -> int:
+        return tables.update_table(
             changes, self.path, self.format, self.partition_by, self.order_by, self.schema, self.options
         )
 
@@ -134,8 +138,8 @@ class EnvelopeStore(Store):
         """Rows as they are stored."""
         raise NotImplementedError
 
-    def append(self, df: DataFrame, tag: str | None = None) -> None:
-        """Append serialized rows."""
+    def append(self, df: DataFrame, tag: str | None = None) -> int | None:
+        """Append serialized rows; returns their number if it is known."""
         raise NotImplementedError
 
     # Columns besides key and value that `append` makes use of.
@@ -165,10 +169,10 @@ class EnvelopeStore(Store):
             return False
         return isinstance(df.schema["value"].dataType, (StructType, BinaryType))
 
-    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> None:
+    def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> int | None:
         if operation != APPEND:
             log.warning("a topic only grows: the rows are appended")
-        self.append(self.serialized(df, data_type), tag)
+        return self.append(self.serialized(df, data_type), tag)
 
 
 class TopicStore(EnvelopeStore):
@@ -200,9 +204,9 @@ class TopicStore(EnvelopeStore):
         # Rows of another topic keep their order.
         return ["offset"] if "offset" in df.columns else []
 
-    def append(self, df: DataFrame, tag: str | None = None) -> None:
+    def append(self, df: DataFrame, tag: str | None = None) -> int | None:
         order = [c for c in df.columns if c not in ("key", "value")]
-        topic.append_topic(df, self.path, self.partitions, order, tag)
+        return topic.append_topic(df, self.path, self.partitions, order, tag)
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
         def append(batch: DataFrame, batch_id: int) -> None:
@@ -228,8 +232,10 @@ class BrokerStore(EnvelopeStore):
         read = kafka.stream_kafka if flow_type == STREAM else kafka.read_kafka
         return read(spark, self.brokers, self.topic, self.options)
 
-    def append(self, df: DataFrame, tag: str | None = None) -> None:
-        kafka.append_kafka(df, self.brokers, self.topic, self.options)
+    def append(self, df: DataFrame, tag: str | None = None) -> int | None:
+        counts = RowCounts()
+        kafka.append_kafka(counts.register(df), self.brokers, self.topic, self.options)
+        return counts.value()
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
         return kafka.kafka_writer(self.serialized(df, data_type), self.brokers, self.topic, self.options)
@@ -364,8 +370,10 @@ def unregister_store(name: str) -> None:
     _builders.pop(name, None)
 
 
-def build_store(config: Mapping[str, Any], role: str) -> Store:
+def build_store(config: Mapping[str, Any] | Store, role: str) -> Store:
     """Store for a `source` or `destination` entry: by a registered key, else by `class`."""
+    if isinstance(config, Store):
+        return config
     for name, builder in _builders.items():
         if name in config:
             return builder(config[name], role)

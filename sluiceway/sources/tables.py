@@ -1,23 +1,31 @@
-"""File tables that can be updated: each update writes a new version next to the old one.
+"""File tables that can be updated by key. One writer per table.
 
-`<path>/v=00000003` is a complete table. Spark's own commit marker (_SUCCESS) makes it
-count, so a job that dies half-way leaves the version before it in effect. A path
-without versions is a plain dataset, version 0. One writer per table.
+A table whose partition columns belong to the key is updated in place: only partitions
+that have changes are read, and they are replaced by Spark's dynamic partition overwrite.
+
+Any other table is rewritten as a new version next to the old one. `<path>/v=00000003` is
+a complete table; Spark's own commit marker (_SUCCESS) makes it count, so a job that dies
+half-way leaves the version before it in effect. A path without versions is a plain
+dataset, version 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluiceway.functions.structs import root, struct_type
 from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.snapshot import latest_changes
-from sluiceway.operators.update import apply_latest
+from sluiceway.operators.update import apply_latest, same_key
 from sluiceway.sources import storage
 from sluiceway.sources.formats import OVERWRITE, PARQUET, FileFormat
 
 KEPT_VERSIONS = 2
+# Longest list of changed partition values that goes into a filter.
+LISTED_VALUES = 10_000
 
 
 def _directory(path: str, version: int) -> str:
@@ -56,11 +64,11 @@ def update_table(
     schema=None,
     options: Mapping[str, str] | None = None,
 ) -> int:
-    """Apply a change log to the table at `path`; returns the rows of the new version.
+    """Apply a change log to the table at `path`; returns the number of rows written.
 
-    The last change per key is written to scratch first: it is used twice, and its size is
-    then known to Spark, which broadcasts it if it is below the session's threshold and
-    joins by shuffle if not. Applying the same changes again gives the same table, so a
+    The last change per key is written to scratch first: it is used more than once, and its
+    size is then known to Spark, which broadcasts it if it is below the session's threshold
+    and joins by shuffle if not. Applying the same changes again gives the same table, so a
     retried micro-batch does no harm.
     """
     spark = changes.sparkSession
@@ -69,21 +77,43 @@ def update_table(
     try:
         latest_changes(changes, order_by).write.parquet(staged)
         latest = spark.read.parquet(staged)
+        inner = struct_type(latest, "key")
+        if inner is None:
+            raise ValueError("an update needs changes with a decoded 'key' struct")
         known = versions(spark, path)
-        if known or storage.exists(spark, path):
-            target = read_table(spark, path, fmt, schema, options)
-        else:
-            target = latest.select("value.*").limit(0)
-        counts = RowCounts()
-        result = counts.register(apply_latest(target, latest))
-        new = (known[-1] if known else 0) + 1
-        fmt.write(result, _directory(path, new), OVERWRITE, partition_by, options)
-        _prune(spark, path, new)
-        return counts.value()
+        if partition_by and not known and set(partition_by) <= set(inner.names):
+            return _update_partitions(latest, path, fmt, list(partition_by), options)
+        return _update_version(latest, path, fmt, partition_by, known, schema, options)
     finally:
         storage.release(spark, staged)
 
 
+def _existing(
+    latest: DataFrame, path: str, fmt: FileFormat, schema=None, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    spark = latest.sparkSession
+    if storage.exists(spark, path):
+        return read_table(spark, path, fmt, schema, options)
+    return spark.createDataFrame([], latest.schema["value"].dataType)
+
+
+def _update_version(
+    latest: DataFrame,
+    path: str,
+    fmt: FileFormat,
+    partition_by: Sequence[str],
+    known: Sequence[int],
+    schema,
+    options: Mapping[str, str] | None,
+) -> int:
+    counts = RowCounts()
+    result = counts.register(apply_latest(_existing(latest, path, fmt, schema, options), latest))
+    new = (known[-1] if known else 0) + 1
+    fmt.write(result, _directory(path, new), OVERWRITE, partition_by, options)
+    _prune(latest.sparkSession, path, new)
+    return counts.value()
+
+
 def _prune(spark: SparkSession, path: str, newest: int) -> None:
     """Delete what is older than the versions kept; version 0 is everything without a number."""
     oldest = newest - KEPT_VERSIONS + 1
@@ -91,3 +121,47 @@ def _prune(spark: SparkSession, path: str, newest: int) -> None:
         number = int(name[2:]) if name.startswith("v=") and name[2:].isdigit() else 0
         if number < oldest:
             storage.delete(spark, f"{path}/{name}")
+
+
+def _changed_partitions(latest: DataFrame, partition_by: Sequence[str]) -> Column:
+    """Condition on the partition columns that holds for all partitions with changes.
+
+    It may hold for more of them, which are then rewritten as they are. A column with too
+    many changed values for a list is left out of the condition.
+    """
+    condition = F.lit(True)
+    for name in partition_by:
+        values = latest.select(F.col("key").getField(name).alias(name)).distinct().limit(LISTED_VALUES + 1).collect()
+        if len(values) > LISTED_VALUES:
+            continue
+        listed = [row[0] for row in values if row[0] is not None]
+        matches = root(name).isin(listed) if listed else F.lit(False)
+        if len(listed) < len(values):
+            matches = matches | root(name).isNull()
+        condition = condition & matches
+    return condition
+
+
+def _update_partitions(
+    latest: DataFrame, path: str, fmt: FileFormat, partition_by: list[str], options: Mapping[str, str] | None
+) -> int:
+    spark = latest.sparkSession
+    changed = _changed_partitions(latest, partition_by)
+    # The types come from the changes: those of partition columns are not stored.
+    schema = latest.schema["value"].dataType
+    target = _existing(latest, path, fmt, schema, options)
+    counts = RowCounts()
+    result = counts.register(apply_latest(target.filter(changed), latest))
+    dynamic = {**(options or {}), "partitionOverwriteMode": "dynamic"}
+    fmt.write(result, path, OVERWRITE, partition_by, dynamic)
+    rows = counts.value()
+
+    # A partition that lost its last row got no output and still has its old files: the only
+    # place where deleted keys are left.
+    deleted = latest.filter(F.col("value").isNull()).select("key.*")
+    stored = _existing(latest, path, fmt, schema, options).filter(changed)
+    stored = stored.withColumn("_directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+    left = stored.alias("t").join(deleted.alias("c"), same_key("t", "c", deleted.columns), "left_semi")
+    for row in left.select("_directory").distinct().toLocalIterator():
+        storage.delete(spark, storage.decoded(spark, row["_directory"]))
+    return rows

@@ -72,12 +72,13 @@ def append_topic(
     partitions: int | None = None,
     order_by: str | Sequence[str] | None = None,
     tag: str | None = None,
-) -> None:
+) -> int:
     """Append serialized `key` (optional) and `value` rows, with dense offsets per partition.
 
     Rows go to the partition in column `partition`, else by the hash of the key. Offsets
     follow `order_by` where given, else the order of the input. An append whose `tag` is
-    that of the last one is skipped, which makes a retried micro-batch safe.
+    that of the last one is skipped, which makes a retried micro-batch safe. Returns the
+    number of rows appended.
 
     No task sees a whole partition, however many rows one key has: tasks number their own
     rows, and each adds the number of rows that earlier tasks hold. Only these counts, one
@@ -90,7 +91,7 @@ def append_topic(
     if last is not None:
         head = _heads(spark, path, last).select("tag", "partitions").head(1)[0]
         if tag is not None and head["tag"] == tag:
-            return
+            return 0
         if partitions is not None and partitions != head["partitions"]:
             raise ValueError(f"the topic has {head['partitions']} partitions, not {partitions}")
         partitions = head["partitions"]
@@ -118,6 +119,7 @@ def append_topic(
         final.write.parquet(placed)
         _next_heads(starts, spark, path, last, partitions, tag).coalesce(1).write.parquet(f"{placed}/_heads")
         storage.rename(spark, placed, _directory(path, 0 if last is None else last + 1))
+        return starts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head(1)[0]["n"]
     finally:
         storage.release(spark, staged)
         storage.release(spark, counted)
