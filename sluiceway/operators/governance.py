@@ -29,6 +29,7 @@ CHANGE = "change"
 CHANGE_STRUCTS = ("key", "value")
 DEFAULT_REDACTION = "X" * 10
 DEFAULT_FRACTION = 0.25
+DRAWS = 2**52
 
 
 def _structs(df: DataFrame, form: str) -> list[str | None]:
@@ -135,6 +136,11 @@ def filter_rows(df: DataFrame, clause: str) -> DataFrame:
 
 def sample_rows(df: DataFrame, fraction: float = DEFAULT_FRACTION, seed: int | None = None) -> DataFrame:
     """Keep each row with probability `fraction`, without replacement."""
+    if df.isStreaming:
+        # Spark samples static data only. rand() restarts with every micro-batch, whose time,
+        # the same when a batch is retried, makes the choice another one in each.
+        draw = F.xxhash64(F.rand() if seed is None else F.rand(seed), F.current_timestamp())
+        return df.filter(F.pmod(draw, F.lit(DRAWS)) < fraction * DRAWS)
     if seed is None:
         return df.sample(fraction=fraction)
     return df.sample(fraction=fraction, seed=seed)

@@ -48,7 +48,7 @@ class Step:
 
     def apply(self, df: DataFrame, form: str = g.LOG) -> DataFrame:
         options = self.options
-        strict = _flag(options.get("strict", False))
+        strict = flag(options.get("strict", False))
         if self.action == REMOVE:
             return g.remove_columns(df, self.columns, form=form, name=self.name, strict=strict)
         if self.action == REDACT:
@@ -77,7 +77,8 @@ class Step:
         return df.transform(target)
 
 
-def _flag(value: Any) -> bool:
+def flag(value: Any) -> bool:
+    """Boolean setting, which may be given as text."""
     return value.lower() == "true" if isinstance(value, str) else bool(value)
 
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from sluiceway.operators.governance import CHANGE, LOG
-from sluiceway.operators.steps import Step, load_steps
+from sluiceway.operators.steps import Step, flag, load_steps
 from sluiceway.sources.formats import APPEND, OVERWRITE, UPDATE
 from sluiceway.sources.stores import BATCH, STREAM, snake
 
@@ -32,6 +32,7 @@ KEYS = {
     "destination",
     "transformation",
     "checkpoint_location",
+    "per_batch",
     "spark",
 }
 
@@ -45,7 +46,12 @@ def _parse(value: str, spellings: Mapping[str, str], what: str) -> str:
 
 @dataclass(frozen=True)
 class FlowSpec:
-    """What to move from where to where, and how."""
+    """What to move from where to where, and how.
+
+    `per_batch` makes a stream treat each micro-batch as static data. That is for custom
+    steps with operations Spark has for static data only; a batch that is retried may then
+    be appended to files twice.
+    """
 
     source: Mapping[str, Any]
     destination: Mapping[str, Any]
@@ -56,6 +62,7 @@ class FlowSpec:
     trigger: str = DEFAULT_TRIGGER
     steps: tuple[Step, ...] = field(default=())
     checkpoint: str | None = None
+    per_batch: bool = False
 
     def __post_init__(self) -> None:
         if self.target_type is None:
@@ -89,6 +96,8 @@ class FlowSpec:
             given["trigger"] = str(settings["trigger_interval"])
         if "checkpoint_location" in settings:
             given["checkpoint"] = settings["checkpoint_location"]
+        if "per_batch" in settings:
+            given["per_batch"] = flag(settings["per_batch"])
         given["steps"] = tuple(load_steps(settings.get("transformation")))
         return cls(**given)
 

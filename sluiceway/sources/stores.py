@@ -15,7 +15,7 @@ from sluiceway.operators.codec import JSON, choose_format, decode, encode, inspe
 from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.envelope import ENVELOPE, wrap
 from sluiceway.operators.governance import LOG
-from sluiceway.operators.steps import import_object
+from sluiceway.operators.steps import flag, import_object
 from sluiceway.sources import kafka, storage, tables, topic
 from sluiceway.sources.formats import APPEND, OVERWRITE, UPDATE, FileFormat, find_format
 
@@ -257,10 +257,6 @@ def _settings(config: Mapping[str, Any], known: set[str], needed: set[str], stor
     return settings
 
 
-def _flag(value: Any) -> bool:
-    return value.lower() == "true" if isinstance(value, str) else bool(value)
-
-
 FILE_SETTINGS = {"path", "data_format", "partition_by", "schema", "options", "rebalance", "order_by"}
 
 
@@ -269,7 +265,7 @@ def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
         "fmt": s["data_format"],
         "partition_by": s.get("partition_by") or (),
         "schema": s.get("schema"),
-        "rebalance": _flag(s.get("rebalance", False)),
+        "rebalance": flag(s.get("rebalance", False)),
         "order_by": s.get("order_by"),
     }
 
@@ -329,7 +325,7 @@ def _serialization(s: Mapping[str, Any]) -> dict[str, Any]:
         "key_schema": s.get("key_schema"),
         "value_schema": s.get("value_schema"),
         "registry": s.get("schemas"),
-        "raw": _flag(s.get("raw", False)),
+        "raw": flag(s.get("raw", False)),
     }
 
 

@@ -58,26 +58,29 @@ def _infer(df: DataFrame) -> dict | None:
     return None if schemas is None else {"key": schemas[0], "value": schemas[1]}
 
 
-def _per_batch(
-    rows: DataFrame, spec: FlowSpec, target: Store, checkpoint: str, job: str
-) -> DataStreamWriter:
-    """Writer for a source that was empty at the start: the first batch with data fixes the schema."""
+def _per_batch(rows: DataFrame, spec: FlowSpec, target: Store, job: str, pin_at: str | None) -> DataStreamWriter:
+    """Writer that shapes each micro-batch as static data.
+
+    With `pin_at` the rows are still to be decoded: the first batch that has a value fixes
+    the schema, and batches before it have nothing to write.
+    """
 
-    def write(batch: DataFrame, batch_id: int, pin: dict) -> None:
-        df = shape(_decoded(batch, pin), spec)
+    def write(batch: DataFrame, batch_id: int, pin: dict | None) -> None:
+        df = shape(batch if pin is None else _decoded(batch, pin), spec)
         target.write(df, spec.operation, spec.target_type, tag=f"{job}#{batch_id}")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        pin = _load_pin(spark, checkpoint)
-        if "value" in pin:
-            write(batch, batch_id, pin)
+        pin = None if pin_at is None else _load_pin(spark, pin_at)
+        if pin is None or "value" in pin:
+            if not batch.isEmpty():
+                write(batch, batch_id, pin)
             return
         batch.persist()
         try:
             found = _infer(batch)
             if found is not None:
-                write(batch, batch_id, _save_pin(spark, checkpoint, {**pin, **found}))
+                write(batch, batch_id, _save_pin(spark, pin_at, {**pin, **found}))
         finally:
             batch.unpersist()
 
@@ -89,6 +92,8 @@ def _writer(
 ) -> DataStreamWriter:
     rows = source.read(spark, STREAM)
     if not (isinstance(source, EnvelopeStore) and source.needs_inference):
+        if spec.per_batch:
+            return _per_batch(rows, spec, target, job, None)
         return target.write_stream(shape(rows, spec), spec.operation, job, spec.target_type)
 
     # The schema is fixed once per checkpoint, so the target's schema cannot drift. With data
@@ -97,9 +102,9 @@ def _writer(
     pin = _load_pin(spark, checkpoint)
     if pin is None:
         found = _infer(source.envelope(spark, BATCH))
-        pin = _save_pin(spark, checkpoint, {"per_batch": True} if found is None else {"per_batch": False, **found})
+        pin = _save_pin(spark, checkpoint, {"per_batch": spec.per_batch or found is None, **(found or {})})
     if pin["per_batch"]:
-        return _per_batch(rows, spec, target, checkpoint, job)
+        return _per_batch(rows, spec, target, job, checkpoint)
     return target.write_stream(shape(_decoded(rows, pin), spec), spec.operation, job, spec.target_type)
 
 
