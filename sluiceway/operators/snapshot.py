@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from sluiceway.functions.structs import root
 from sluiceway.operators.envelope import unwrap
 
-# Offsets order one partition only; the rest decides equal offsets the same way every time.
-TIE_BREAKERS = ("partition", "timestamp")
+# Offsets order one partition only; this decides equal offsets the same way every time.
+TIE_BREAKER = "partition"
 
 
 def change_order(df: DataFrame, order_by: str | Sequence[str] | None = None) -> Column:
@@ -22,22 +22,23 @@ def change_order(df: DataFrame, order_by: str | Sequence[str] | None = None) ->
     if "offset" not in df.columns:
         raise ValueError("change data needs an 'offset' column, or order_by")
     offset = F.coalesce(F.col("offset"), F.raise_error(F.lit("change without an offset")).cast("bigint"))
-    ties = [F.col(c) for c in TIE_BREAKERS if c in df.columns]
-    return F.struct(offset.alias("offset"), *ties) if ties else offset
+    return F.struct(offset.alias("offset"), TIE_BREAKER) if TIE_BREAKER in df.columns else offset
 
 
 def latest_changes(df: DataFrame, order_by: str | Sequence[str] | None = None) -> DataFrame:
     """(key, value) of the last change per key, delete markers included.
 
     max_by aggregates before the shuffle: each task sends one row per key, so a key that
-    holds much of the log costs no more than any other.
+    holds much of the log costs no more than any other. Spark sorts by the key to do so;
+    with a hash in front, most comparisons are of one number instead of whole keys.
     """
     if order_by is None and "offset" in df.columns:
         # Offsets start at 0. A null passes, to fail in change_order.
         df = df.filter((F.col("offset") >= 0) | F.col("offset").isNull())
     metadata = df.schema["value"].metadata
     last = F.max_by(F.col("value"), change_order(df, order_by)).alias("value", metadata=metadata)
-    return df.groupBy("key").agg(last)
+    grouped = df.groupBy(F.xxhash64("key").alias("_hash"), F.col("key"))
+    return grouped.agg(last).select("key", "value")
 
 
 def snapshot(df: DataFrame, order_by: str | Sequence[str] | None = None) -> DataFrame:

@@ -238,6 +238,19 @@ def test_snapshot_ties_and_other_orders(spark):
     assert rows_of(snapshot(renamed.withColumn("day", F.lit(1)), order_by=["day", "seq"])) == LAST_ROWS
 
 
+def test_keys_that_are_equal_but_not_identical(spark):
+    data = spark.sql(
+        """SELECT struct(k) AS key, struct(n) AS value, n AS offset FROM VALUES
+           (0.0D, 1L), (-0.0D, 2L), (double('NaN'), 3L), (double('NaN') * -1, 4L) AS t(k, n)"""
+    )
+    assert rows_of(snapshot(data)) == [(2,), (4,)]
+
+
+def test_null_key_is_not_a_key_of_nulls(spark):
+    rows = [(None, (1, "x", 1.0)), ((None,), (2, "y", 2.0)), (None, (3, "z", 3.0))]
+    assert rows_of(snapshot(change_data(spark, rows))) == [(2, "y", 2.0), (3, "z", 3.0)]
+
+
 def test_snapshot_aggregates_before_its_only_shuffle(spark, tmp_path):
     change_data(spark).write.parquet(str(tmp_path / "c"))
     plan = plan_of(snapshot(spark.read.parquet(str(tmp_path / "c"))))
