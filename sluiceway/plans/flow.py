@@ -34,34 +34,37 @@ def open_stores(spark: SparkSession, spec: FlowSpec) -> tuple[Store, Store]:
     source = build_store(spec.source, "source")
     target = build_store(spec.destination, "destination")
     spec.check(target.append_only)
+    if spec.order_by:
+        target.order_by = spec.order_by
     here, there = source.location(spark), target.location(spark)
     if here and there and (here == there or here.startswith(there + "/") or there.startswith(here + "/")):
         raise ValueError(f"source {here} and target {there} overlap")
     return source, target
 
 
-def shape(df: DataFrame, spec: FlowSpec) -> DataFrame:
+def shape(df: DataFrame, spec: FlowSpec, append_only_target: bool = False) -> DataFrame:
     """The rows to write for the rows read: one lazy plan, the same for batch and stream.
 
     The governance steps come after the snapshot: a filter before it would bring earlier
-    values of a key back.
+    values of a key back. A topic takes key and value itself, and the order of the rows from
+    the columns besides them.
     """
     if spec.takes_snapshot:
-        return apply_steps(snapshot(df), spec.steps, LOG)
+        return apply_steps(snapshot(df, spec.order_by), spec.steps, LOG)
     df = apply_steps(df, spec.steps, CHANGE if spec.source_type == CHANGE else LOG)
     if spec.operation == UPDATE or spec.source_type == LOG:
         return seal_stamps(df)
     if spec.flow_type == STREAM and spec.target_type == LOG:
         log.warning("a stream takes no snapshot: keys may repeat, and deletes become rows of nulls")
         return unwrap(df)
-    if spec.flow_type == STREAM:
-        return seal_stamps(change_pair(df))
+    if spec.flow_type == STREAM and not append_only_target:
+        df = change_pair(df)
     return seal_stamps(df)
 
 
 def run_batch(spark: SparkSession, spec: FlowSpec) -> FlowReport:
     source, target = open_stores(spark, spec)
-    written = target.write(shape(source.read(spark, BATCH), spec), spec.operation, spec.target_type)
+    written = target.write(shape(source.read(spark, BATCH), spec, target.append_only), spec.operation, spec.target_type)
     rows = -1 if written is None else written
     log.info("wrote %d rows", rows)
     return FlowReport(rows)

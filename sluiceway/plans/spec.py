@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -33,6 +33,7 @@ KEYS = {
     "transformation",
     "checkpoint_location",
     "per_batch",
+    "order_by",
     "spark",
 }
 
@@ -50,7 +51,8 @@ class FlowSpec:
 
     `per_batch` makes a stream treat each micro-batch as static data. That is for custom
     steps with operations Spark has for static data only; a batch that is retried may then
-    be appended to files twice.
+    be appended to files twice. `order_by` names the columns that tell which of two changes
+    is the later one, where that is not the offset.
     """
 
     source: Mapping[str, Any]
@@ -63,6 +65,7 @@ class FlowSpec:
     steps: tuple[Step, ...] = field(default=())
     checkpoint: str | None = None
     per_batch: bool = False
+    order_by: str | Sequence[str] | None = None
 
     def __post_init__(self) -> None:
         if self.target_type is None:
@@ -98,6 +101,8 @@ class FlowSpec:
             given["checkpoint"] = settings["checkpoint_location"]
         if "per_batch" in settings:
             given["per_batch"] = flag(settings["per_batch"])
+        if "order_by" in settings:
+            given["order_by"] = settings["order_by"]
         given["steps"] = tuple(load_steps(settings.get("transformation")))
         return cls(**given)
 

@@ -32,6 +32,8 @@ class Store:
     append_only = False
     # True while the schema of the data has to be taken from the data itself.
     needs_inference = False
+    # Columns that order the changes an update applies; the offset if there are none.
+    order_by: str | Sequence[str] | None = None
 
     def location(self, spark: SparkSession) -> str | None:
         """URI of the directory the store lives in, if it has one."""
@@ -63,7 +65,6 @@ class FileStore(Store):
         schema: Any = None,
         options: Mapping[str, str] | None = None,
         rebalance: bool = False,
-        order_by: str | Sequence[str] | None = None,
     ) -> None:
         self.path = path.rstrip("/")
         self.format = find_format(fmt)
@@ -71,7 +72,6 @@ class FileStore(Store):
         self.schema = schema
         self.options = dict(options or {})
         self.rebalance = rebalance
-        self.order_by = order_by
 
     def location(self, spark: SparkSession) -> str | None:
         return storage.qualified(spark, self.path)
@@ -85,8 +85,7 @@ class FileStore(Store):
         if operation == UPDATE:
             return self._update(df)
         if self.rebalance:
-            # Even files per partition value; Spark splits values that hold much of the data.
-            df = df.hint("rebalance", *self.partition_by)
+            df = tables.balanced(df, self.partition_by)
         path = self.path
         if operation != OVERWRITE:
             path = tables.current_path(df.sparkSession, path)
@@ -97,7 +96,14 @@ class FileStore(Store):
 
     def _update(self, changes: DataFrame) -> int:
         return tables.update_table(
-            changes, self.path, self.format, self.partition_by, self.order_by, self.schema, self.options
+            changes,
+            self.path,
+            self.format,
+            self.partition_by,
+            self.order_by,
+            self.schema,
+            self.options,
+            self.rebalance,
         )
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
@@ -188,7 +194,7 @@ class TopicStore(EnvelopeStore):
         super().__init__(**serialization)
         self.path = path.rstrip("/")
         self.partitions = partitions
-        self.order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
+        self.order_by = order_by
 
     def location(self, spark: SparkSession) -> str | None:
         return storage.qualified(spark, self.path)
@@ -200,7 +206,7 @@ class TopicStore(EnvelopeStore):
 
     def carried(self, df: DataFrame) -> list[str]:
         if self.order_by:
-            return self.order_by
+            return [self.order_by] if isinstance(self.order_by, str) else list(self.order_by)
         # Rows of another topic keep their order.
         return ["offset"] if "offset" in df.columns else []
 
@@ -257,7 +263,7 @@ def _settings(config: Mapping[str, Any], known: set[str], needed: set[str], stor
     return settings
 
 
-FILE_SETTINGS = {"path", "data_format", "partition_by", "schema", "options", "rebalance", "order_by"}
+FILE_SETTINGS = {"path", "data_format", "partition_by", "schema", "options", "rebalance"}
 
 
 def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
@@ -266,7 +272,6 @@ def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
         "partition_by": s.get("partition_by") or (),
         "schema": s.get("schema"),
         "rebalance": flag(s.get("rebalance", False)),
-        "order_by": s.get("order_by"),
     }
 
 

@@ -55,6 +55,11 @@ def read_table(
     return fmt.read(spark, current_path(spark, path), schema, options)
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows arranged for even files per partition value; Spark splits values that hold much of the data."""
+    return df.hint("rebalance", *partition_by)
+
+
 def update_table(
     changes: DataFrame,
     path: str,
@@ -63,6 +68,7 @@ def update_table(
     order_by: str | Sequence[str] | None = None,
     schema=None,
     options: Mapping[str, str] | None = None,
+    rebalance: bool = False,
 ) -> int:
     """Apply a change log to the table at `path`; returns the number of rows written.
 
@@ -82,8 +88,8 @@ def update_table(
             raise ValueError("an update needs changes with a decoded 'key' struct")
         known = versions(spark, path)
         if partition_by and not known and set(partition_by) <= set(inner.names):
-            return _update_partitions(latest, path, fmt, list(partition_by), options)
-        return _update_version(latest, path, fmt, partition_by, known, schema, options)
+            return _update_partitions(latest, path, fmt, list(partition_by), options, rebalance)
+        return _update_version(latest, path, fmt, partition_by, known, schema, options, rebalance)
     finally:
         storage.release(spark, staged)
 
@@ -105,9 +111,11 @@ def _update_version(
     known: Sequence[int],
     schema,
     options: Mapping[str, str] | None,
+    rebalance: bool,
 ) -> int:
     counts = RowCounts()
-    result = counts.register(apply_latest(_existing(latest, path, fmt, schema, options), latest))
+    result = apply_latest(_existing(latest, path, fmt, schema, options), latest)
+    result = counts.register(balanced(result, partition_by) if rebalance else result)
     new = (known[-1] if known else 0) + 1
     fmt.write(result, _directory(path, new), OVERWRITE, partition_by, options)
     _prune(latest.sparkSession, path, new)
@@ -143,7 +151,12 @@ def _changed_partitions(latest: DataFrame, partition_by: Sequence[str]) -> Colum
 
 
 def _update_partitions(
-    latest: DataFrame, path: str, fmt: FileFormat, partition_by: list[str], options: Mapping[str, str] | None
+    latest: DataFrame,
+    path: str,
+    fmt: FileFormat,
+    partition_by: list[str],
+    options: Mapping[str, str] | None,
+    rebalance: bool,
 ) -> int:
     spark = latest.sparkSession
     changed = _changed_partitions(latest, partition_by)
@@ -151,7 +164,8 @@ def _update_partitions(
     schema = latest.schema["value"].dataType
     target = _existing(latest, path, fmt, schema, options)
     counts = RowCounts()
-    result = counts.register(apply_latest(target.filter(changed), latest))
+    result = apply_latest(target.filter(changed), latest)
+    result = counts.register(balanced(result, partition_by) if rebalance else result)
     dynamic = {**(options or {}), "partitionOverwriteMode": "dynamic"}
     fmt.write(result, path, OVERWRITE, partition_by, dynamic)
     rows = counts.value()

@@ -133,10 +133,12 @@ def _number_in_tasks(df: DataFrame, partitions: int, order_by: str | Sequence[st
     rows = df.withColumns({"key": key.cast("binary"), "value": F.col("value").cast("binary")})
     rows = rows.withColumn("_partition", _partition_column(rows, partitions))
     if order:
-        # The input position splits runs of equal order values over several tasks.
+        # The position splits runs of equal order values over several tasks. It is taken after a
+        # sort by all that a row holds, so that a task run again gives its rows the same positions.
+        given = [root(c) for c in order]
+        rows = rows.sortWithinPartitions(*given, F.xxhash64("key", "value"), "key", "value")
         rows = rows.withColumn("_position", F.monotonically_increasing_id())
-        by = [*[root(c) for c in order], F.col("_position")]
-        rows = rows.repartitionByRange(*by).sortWithinPartitions("_partition", *by)
+        rows = rows.repartitionByRange(*given, "_position").sortWithinPartitions("_partition", *given, "_position")
     else:
         rows = rows.withColumn("_position", F.monotonically_increasing_id())
         rows = rows.sortWithinPartitions("_partition", "_position")

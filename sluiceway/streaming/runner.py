@@ -66,7 +66,7 @@ def _per_batch(rows: DataFrame, spec: FlowSpec, target: Store, job: str, pin_at:
     """
 
     def write(batch: DataFrame, batch_id: int, pin: dict | None) -> None:
-        df = shape(batch if pin is None else _decoded(batch, pin), spec)
+        df = shape(batch if pin is None else _decoded(batch, pin), spec, target.append_only)
         target.write(df, spec.operation, spec.target_type, tag=f"{job}#{batch_id}")
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -94,7 +94,7 @@ def _writer(
     if not (isinstance(source, EnvelopeStore) and source.needs_inference):
         if spec.per_batch:
             return _per_batch(rows, spec, target, job, None)
-        return target.write_stream(shape(rows, spec), spec.operation, job, spec.target_type)
+        return target.write_stream(shape(rows, spec, target.append_only), spec.operation, job, spec.target_type)
 
     # The schema is fixed once per checkpoint, so the target's schema cannot drift. With data
     # present it is known before the start and the stream is one plan; a restart keeps the way
@@ -105,7 +105,7 @@ def _writer(
         pin = _save_pin(spark, checkpoint, {"per_batch": spec.per_batch or found is None, **(found or {})})
     if pin["per_batch"]:
         return _per_batch(rows, spec, target, job, checkpoint)
-    return target.write_stream(shape(_decoded(rows, pin), spec), spec.operation, job, spec.target_type)
+    return target.write_stream(shape(_decoded(rows, pin), spec, target.append_only), spec.operation, job, spec.target_type)
 
 
 def start_stream(spark: SparkSession, spec: FlowSpec) -> StreamingQuery:

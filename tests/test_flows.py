@@ -8,7 +8,7 @@ import pytest
 from helpers import CHANGE_ROWS, LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, log_data, rows_of
 from sluiceway import FlowSpec, delete_target, run
 from sluiceway.__main__ import main
-from sluiceway.operators import encode_json, lineage, wrap
+from sluiceway.operators import decode_json, encode_json, lineage, snapshot, wrap
 from sluiceway.sources import append_topic, read_topic, storage
 from sluiceway.sources.stores import Store
 
@@ -205,6 +205,30 @@ def test_update_flow(spark, tmp_path):
     assert rows_of(spark.read.parquet(str(tmp_path / "copy"))) == sorted([*LAST_ROWS, (9, "kept", 9.0)])
 
 
+def test_changes_in_an_order_of_their_own(spark, tmp_path):
+    change_data(spark).withColumnRenamed("offset", "seq").write.parquet(str(tmp_path / "in"))
+    flow = {**ends(tmp_path / "in", tmp_path / "out"), "readDataType": "cdc", "writeDataType": "log"}
+    with pytest.raises(ValueError, match="order_by"):
+        run(spark, flow)
+    assert run(spark, {**flow, "orderBy": "seq"}).rows == 3
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == LAST_ROWS
+    update = {**flow, **ends(tmp_path / "in", tmp_path / "out2"), "orderBy": ["seq"], "writeOperation": "update"}
+    assert run(spark, update).rows == 3
+    topic = {**flow, "writeDataType": "cdc", "orderBy": "seq", "destination": {"topic": {"path": str(tmp_path / "topic")}}}
+    assert run(spark, topic).rows == len(CHANGE_ROWS)
+    copied = decode_json(read_topic(spark, str(tmp_path / "topic")), VALUE_DDL, "i int")
+    assert rows_of(snapshot(copied)) == LAST_ROWS
+
+
+def test_partitioned_update_can_rebalance(spark, tmp_path):
+    change_data(spark).write.parquet(str(tmp_path / "in"))
+    flow = {**ends(tmp_path / "in", tmp_path / "out"), "readDataType": "cdc", "writeDataType": "log", "writeOperation": "update"}
+    flow["destination"]["local"].update({"partitionBy": ["i"], "rebalance": True})
+    assert run(spark, flow).rows == 3
+    assert run(spark, flow).rows == 3
+    assert rows_of(spark.read.parquet(str(tmp_path / "out")).select("i", "s", "d")) == LAST_ROWS
+
+
 def test_log_data_into_a_topic(spark, tmp_path, caplog):
     log_data(spark).write.parquet(str(tmp_path / "in"))
     flow = {**ends(tmp_path / "in"), "destination": {"topic": {"path": str(tmp_path / "topic")}}}

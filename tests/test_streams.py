@@ -168,6 +168,26 @@ def test_change_to_change(spark, tmp_path):
     assert rows_of(snapshot(copied)) == [(i, "X" * 10, d) for i, _, d in LAST_ROWS]
 
 
+def test_topic_copy_keeps_the_order_over_many_files(spark, tmp_path):
+    rows = [((n * 7 % 5,), None if n % 11 == 0 else (n * 7 % 5, str(n), float(n))) for n in range(3000)]
+    data = change_data(spark, rows).repartition(16)
+    append_topic(encode_json(data, keep=["offset"]), str(tmp_path / "first"), partitions=2, order_by="offset")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        flow = stream(
+            topic(tmp_path / "first", **SCHEMAS),
+            topic(tmp_path / "second", partitions=3),
+            readDataType="cdc",
+            checkpointLocation=str(tmp_path / "c"),
+        )
+        finish(spark, flow)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    copied = decode_json(read_topic(spark, str(tmp_path / "second")), VALUE_DDL, "i int")
+    last = dict(rows)
+    assert rows_of(snapshot(copied)) == sorted((v for v in last.values() if v), key=repr)
+
+
 def test_change_files_to_files(spark, tmp_path):
     change_data(spark).drop("offset").write.parquet(str(tmp_path / "in"))
     flow = stream(
