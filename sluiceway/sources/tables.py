@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def update_table(
             raise ValueError("an update needs changes with a decoded 'key' struct")
         known = versions(spark, path)
         if partition_by and not known and set(partition_by) <= set(inner.names):
-            return _update_partitions(latest, path, fmt, list(partition_by), options, rebalance)
+            return _update_partitions(latest, path, fmt, list(partition_by), schema, options, rebalance)
         return _update_version(latest, path, fmt, partition_by, known, schema, options, rebalance)
     finally:
         storage.release(spark, staged)
@@ -150,18 +151,37 @@ def _changed_partitions(latest: DataFrame, partition_by: Sequence[str]) -> Colum
     return condition
 
 
+def _check_stored_columns(
+    spark: SparkSession, path: str, fmt: FileFormat, names: Sequence[str], options: Mapping[str, str] | None
+) -> None:
+    """Raise if the stored rows have a column the changes lack: rewriting would lose it."""
+    if not storage.exists(spark, path):
+        return
+    try:
+        stored = fmt.read(spark, path, None, {**(options or {}), "inferSchema": "false"}).columns
+    except AnalysisException:
+        # No file is left to tell.
+        return
+    lost = [n for n in stored if n not in names]
+    if lost:
+        raise ValueError(f"changes and target differ in columns {lost}")
+
+
 def _update_partitions(
     latest: DataFrame,
     path: str,
     fmt: FileFormat,
     partition_by: list[str],
+    schema,
     options: Mapping[str, str] | None,
     rebalance: bool,
 ) -> int:
     spark = latest.sparkSession
     changed = _changed_partitions(latest, partition_by)
-    # The types come from the changes: those of partition columns are not stored.
-    schema = latest.schema["value"].dataType
+    if schema is None:
+        # The types come from the changes: those of partition columns are not stored.
+        schema = latest.schema["value"].dataType
+        _check_stored_columns(spark, path, fmt, schema.names, options)
     target = _existing(latest, path, fmt, schema, options)
     counts = RowCounts()
     result = apply_latest(target.filter(changed), latest)

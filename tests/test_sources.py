@@ -165,6 +165,27 @@ def test_update_touches_changed_partitions_only(spark, tmp_path):
     assert not (tmp_path / "t" / "r=03").exists()
 
 
+@pytest.mark.parametrize("name", ["orc", "json", "csv"])
+def test_partitioned_update_of_other_formats(spark, tmp_path, name):
+    path, fmt, schema = str(tmp_path / "t"), find_format(name), "r string, i int, s string"
+    update_table(regional_changes(spark, [("01", 1, "a"), ("02", 2, "b")]), path, fmt, ["r"])
+    update_table(regional_changes(spark, [("01", 1, None), ("02", 3, "c"), ("03", 4, "d")]), path, fmt, ["r"])
+    stored = read_table(spark, path, fmt, schema).select("r", "i", "s")
+    assert rows_of(stored) == [("02", 2, "b"), ("02", 3, "c"), ("03", 4, "d")]
+    update_table(regional_changes(spark, [("02", 2, None), ("02", 3, None), ("03", 4, None)]), path, fmt, ["r"])
+    update_table(regional_changes(spark, [("04", 1, "e")]), path, fmt, ["r"])
+    assert rows_of(read_table(spark, path, fmt, schema).select("r", "i", "s")) == [("04", 1, "e")]
+
+
+def test_update_never_drops_a_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("01", 1, "a", 5)], "r string, i int, s string, more int").write.partitionBy("r").parquet(path)
+    with pytest.raises(ValueError, match="more"):
+        update_table(regional_changes(spark, [("01", 1, "b")]), path, partition_by=["r"])
+    with pytest.raises(ValueError, match="more"):
+        update_table(regional_changes(spark, [("01", 1, "b")]), path)
+
+
 partition_rows = st.lists(
     st.tuples(st.sampled_from([None, "01", "02", "x y"]), st.integers(0, 2), st.one_of(st.none(), st.text("ab", min_size=1, max_size=2))),
     max_size=12,
