@@ -271,18 +271,26 @@ def topic_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("partition").alias("first"),
         F.max("partition").alias("last"),
     )
-    keys = per_key.agg(
-        F.sum("n").alias("row_count"),
-        F.count(F.lit(1)).alias("keys"),
-        F.count(F.when(F.col("first") != F.col("last"), 1)).alias("split_keys"),
+    keys = per_key.select(
+        F.col("n").alias("row_count"),
+        F.lit(1).alias("keys"),
+        F.when(F.col("first") != F.col("last"), 1).otherwise(0).alias("split_keys"),
+        F.lit(0).alias("missing_offsets"),
+        F.lit(0).alias("repeated_offsets"),
     )
     offsets = read_topic(spark, path).groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("n"))
     per_partition = offsets.groupBy("partition").agg(
         (F.max("offset") + 1 - F.count(F.lit(1))).alias("missing"), F.sum(F.col("n") - 1).alias("repeated")
     )
-    totals = per_partition.agg(F.sum("missing").alias("missing_offsets"), F.sum("repeated").alias("repeated_offsets"))
-    # Two single rows.
-    return keys.join(totals, F.lit(True))
+    partitions = per_partition.select(
+        F.lit(0).alias("row_count"),
+        F.lit(0).alias("keys"),
+        F.lit(0).alias("split_keys"),
+        F.col("missing").alias("missing_offsets"),
+        F.col("repeated").alias("repeated_offsets"),
+    )
+    both = keys.unionByName(partitions)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 @query(SNAPSHOT_SQL)

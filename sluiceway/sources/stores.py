@@ -78,6 +78,8 @@ class FileStore(Store):
 
     def read(self, spark: SparkSession, flow_type: str) -> DataFrame:
         if flow_type == STREAM:
+            if tables.versions(spark, self.path):
+                raise ValueError(f"{self.path} is updated by versions and cannot be read as a stream")
             return self.format.read_stream(spark, self.path, self.schema, self.options)
         return tables.read_table(spark, self.path, self.format, self.schema, self.options)
 

@@ -76,13 +76,10 @@ def _per_batch(rows: DataFrame, spec: FlowSpec, target: Store, job: str, pin_at:
             if not batch.isEmpty():
                 write(batch, batch_id, pin)
             return
-        batch.persist()
-        try:
-            found = _infer(batch)
-            if found is not None:
-                write(batch, batch_id, _save_pin(spark, pin_at, {**pin, **found}))
-        finally:
-            batch.unpersist()
+        # One row is fetched, so the batch is not worth caching.
+        found = _infer(batch)
+        if found is not None:
+            write(batch, batch_id, _save_pin(spark, pin_at, {**pin, **found}))
 
     return rows.writeStream.foreachBatch(process)
 

@@ -2,6 +2,10 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -137,6 +141,17 @@ def test_command_line_usage(capsys):
     assert "usage" in capsys.readouterr().err
 
 
+def test_command_line(tmp_path):
+    (tmp_path / "flow.json").write_text(json.dumps(csv_flow(tmp_path)))
+    here = Path(__file__).resolve().parent.parent
+    command = [sys.executable, "-m", "sluiceway", str(tmp_path / "flow.json")]
+    settings = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+    done = subprocess.run(command, cwd=here, env=settings, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "wrote 3 rows" in done.stdout
+    assert (tmp_path / "test.parq" / "_SUCCESS").exists()
+
+
 def topic_with_changes(spark, tmp_path, name="topic"):
     path = str(tmp_path / name)
     append_topic(encode_json(change_data(spark), keep=["offset"]), path, partitions=2, order_by="offset")

@@ -229,6 +229,8 @@ def test_update_over_several_batches(spark, tmp_path):
     assert rows_of(read_table(spark, str(tmp_path / "out"))) == LAST_ROWS
     finish(spark, flow)
     assert versions(spark, str(tmp_path / "out")) == [1, 2]
+    with pytest.raises(ValueError, match="versions"):
+        run(spark, stream(files(tmp_path / "out"), files(tmp_path / "more"), checkpointLocation=str(tmp_path / "c2")))
 
 
 def test_update_of_a_partitioned_table(spark, tmp_path):
