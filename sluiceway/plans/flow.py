@@ -55,8 +55,8 @@ def shape(df: DataFrame, spec: FlowSpec, append_only_target: bool = False) -> Da
     if spec.operation == UPDATE or spec.source_type == LOG:
         return seal_stamps(df)
     if spec.flow_type == STREAM and spec.target_type == LOG:
-        log.warning("a stream takes no snapshot: keys may repeat, and deletes become rows of nulls")
-        return unwrap(df)
+        log.warning("a stream takes no snapshot: keys may repeat, and deletes are not applied")
+        return unwrap(df, spec.drop_tombstones)
     if spec.flow_type == STREAM and not append_only_target:
         df = change_pair(df)
     return seal_stamps(df)

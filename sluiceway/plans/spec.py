@@ -34,6 +34,7 @@ KEYS = {
     "checkpoint_location",
     "per_batch",
     "order_by",
+    "drop_tombstones",
     "spark",
 }
 
@@ -52,7 +53,8 @@ class FlowSpec:
     `per_batch` makes a stream treat each micro-batch as static data. That is for custom
     steps with operations Spark has for static data only; a batch that is retried may then
     be appended to files twice. `order_by` names the columns that tell which of two changes
-    is the later one, where that is not the offset.
+    is the later one, where that is not the offset. `drop_tombstones` leaves deletes out of a
+    stream of change data into log data, which otherwise become rows of nulls.
     """
 
     source: Mapping[str, Any]
@@ -66,6 +68,7 @@ class FlowSpec:
     checkpoint: str | None = None
     per_batch: bool = False
     order_by: str | Sequence[str] | None = None
+    drop_tombstones: bool = False
 
     def __post_init__(self) -> None:
         if self.target_type is None:
@@ -101,6 +104,8 @@ class FlowSpec:
             given["checkpoint"] = settings["checkpoint_location"]
         if "per_batch" in settings:
             given["per_batch"] = flag(settings["per_batch"])
+        if "drop_tombstones" in settings:
+            given["drop_tombstones"] = flag(settings["drop_tombstones"])
         if "order_by" in settings:
             given["order_by"] = settings["order_by"]
         given["steps"] = tuple(load_steps(settings.get("transformation")))

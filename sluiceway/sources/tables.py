@@ -25,6 +25,8 @@ from sluiceway.sources import storage
 from sluiceway.sources.formats import OVERWRITE, PARQUET, FileFormat
 
 KEPT_VERSIONS = 2
+# Spark's file sources: they commit by marker and overwrite single partitions.
+UPDATABLE = {"parquet", "orc", "json", "csv", "avro"}
 # Longest list of changed partition values that goes into a filter.
 LISTED_VALUES = 10_000
 
@@ -78,6 +80,8 @@ def update_table(
     and joins by shuffle if not. Applying the same changes again gives the same table, so a
     retried micro-batch does no harm.
     """
+    if fmt.name not in UPDATABLE:
+        raise ValueError(f"a table in format {fmt.name!r} cannot be updated, only {sorted(UPDATABLE)}")
     spark = changes.sparkSession
     path = path.rstrip("/")
     staged = storage.scratch_dir(spark, "latest-changes")
@@ -124,10 +128,16 @@ def _update_version(
 
 
 def _prune(spark: SparkSession, path: str, newest: int) -> None:
-    """Delete what is older than the versions kept; version 0 is everything without a number."""
+    """Delete versions older than the ones kept; version 0 is the plain dataset at the path."""
     oldest = newest - KEPT_VERSIONS + 1
     for name in storage.children(spark, path):
-        number = int(name[2:]) if name.startswith("v=") and name[2:].isdigit() else 0
+        if name.startswith("v=") and name[2:].isdigit():
+            number = int(name[2:])
+        elif name.startswith("part-") or "=" in name or name == "_SUCCESS":
+            number = 0
+        else:
+            # Not Spark's: none of our business.
+            continue
         if number < oldest:
             storage.delete(spark, f"{path}/{name}")
 

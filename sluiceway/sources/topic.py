@@ -118,7 +118,10 @@ def append_topic(
         )
         final.write.parquet(placed)
         _next_heads(starts, spark, path, last, partitions, tag).coalesce(1).write.parquet(f"{placed}/_heads")
-        storage.rename(spark, placed, _directory(path, 0 if last is None else last + 1))
+        final_place = _directory(path, 0 if last is None else last + 1)
+        if storage.exists(spark, final_place):
+            raise RuntimeError(f"another writer has made {final_place}")
+        storage.rename(spark, placed, final_place)
         return starts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head(1)[0]["n"]
     finally:
         storage.release(spark, staged)

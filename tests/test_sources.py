@@ -177,6 +177,20 @@ def test_partitioned_update_of_other_formats(spark, tmp_path, name):
     assert rows_of(read_table(spark, path, fmt, schema).select("r", "i", "s")) == [("04", 1, "e")]
 
 
+def test_update_needs_a_file_format(spark, tmp_path):
+    with pytest.raises(ValueError, match="cannot be updated"):
+        update_table(change_data(spark), str(tmp_path / "t"), FileFormat("letters"))
+
+
+def test_update_leaves_other_files_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    log_data(spark).write.parquet(str(path))
+    (path / "_note.txt").write_text("mine")
+    for _ in range(3):
+        update_table(change_data(spark), str(path))
+    assert sorted(p.name for p in path.iterdir() if not p.name.startswith(".")) == ["_note.txt", "v=00000002", "v=00000003"]
+
+
 def test_update_never_drops_a_column(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("01", 1, "a", 5)], "r string, i int, s string, more int").write.partitionBy("r").parquet(path)

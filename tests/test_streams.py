@@ -116,6 +116,20 @@ def test_change_to_log(spark, tmp_path, schemas):
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(CHANGE_ROWS) + 1
 
 
+def test_deletes_can_be_left_out(spark, tmp_path):
+    append_changes(spark, tmp_path / "topic")
+    flow = stream(
+        topic(tmp_path / "topic", **SCHEMAS),
+        files(tmp_path / "out"),
+        readDataType="cdc",
+        writeDataType="log",
+        dropTombstones=True,
+        checkpointLocation=str(tmp_path / "c"),
+    )
+    finish(spark, flow)
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == sorted(v for _, v in CHANGE_ROWS if v)
+
+
 def test_inferred_schema_is_pinned(spark, tmp_path):
     append_changes(spark, tmp_path / "topic")
     flow = stream(
