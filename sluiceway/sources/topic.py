@@ -97,11 +97,13 @@ def append_topic(
         partitions = head["partitions"]
     partitions = partitions or DEFAULT_PARTITIONS
 
+    given = storage.scratch_dir(spark, "topic-input")
     staged = storage.scratch_dir(spark, "topic-rows")
     counted = storage.scratch_dir(spark, "topic-counts")
     placed = f"{path}/_append-{uuid.uuid4().hex}"
     try:
-        _number_in_tasks(df, partitions, order_by).write.parquet(staged)
+        _number_in_tasks(df, partitions, order_by, given).write.parquet(staged)
+        storage.release(spark, given)
         rows = spark.read.parquet(staged)
         _starts(rows, spark, path, last).write.parquet(counted)
         starts = spark.read.parquet(counted)
@@ -124,24 +126,27 @@ def append_topic(
         storage.rename(spark, placed, final_place)
         return starts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head(1)[0]["n"]
     finally:
-        storage.release(spark, staged)
-        storage.release(spark, counted)
+        for scratch in (given, staged, counted):
+            storage.release(spark, scratch)
         storage.delete(spark, placed)
 
 
-def _number_in_tasks(df: DataFrame, partitions: int, order_by: str | Sequence[str] | None) -> DataFrame:
+def _number_in_tasks(
+    df: DataFrame, partitions: int, order_by: str | Sequence[str] | None, given: str
+) -> DataFrame:
     """Rows with their task and a row id that is contiguous per task and partition."""
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
     key = F.col("key") if "key" in df.columns else F.lit(None)
     rows = df.withColumns({"key": key.cast("binary"), "value": F.col("value").cast("binary")})
     rows = rows.withColumn("_partition", _partition_column(rows, partitions))
     if order:
-        # The position splits runs of equal order values over several tasks. It is taken after a
-        # sort by all that a row holds, so that a task run again gives its rows the same positions.
-        given = [root(c) for c in order]
-        rows = rows.sortWithinPartitions(*given, F.xxhash64("key", "value"), "key", "value")
-        rows = rows.withColumn("_position", F.monotonically_increasing_id())
-        rows = rows.repartitionByRange(*given, "_position").sortWithinPartitions("_partition", *given, "_position")
+        # The position splits runs of equal order values over several tasks. It is taken from
+        # files, where a task run again finds its rows in the same places; the range shuffle
+        # also reads its input twice, for the ranges and for the rows.
+        rows.write.parquet(given)
+        rows = df.sparkSession.read.parquet(given).withColumn("_position", F.monotonically_increasing_id())
+        by = [*[root(c) for c in order], F.col("_position")]
+        rows = rows.repartitionByRange(*by).sortWithinPartitions("_partition", *by)
     else:
         rows = rows.withColumn("_position", F.monotonically_increasing_id())
         rows = rows.sortWithinPartitions("_partition", "_position")
