@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 _issued: list[str] = []
@@ -99,6 +99,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """`df` written to a scratch path and read from there: a cut in its lineage that outlives executors."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete one scratch path."""
     delete(spark, path)

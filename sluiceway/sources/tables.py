@@ -86,8 +86,7 @@ def update_table(
     path = path.rstrip("/")
     staged = storage.scratch_dir(spark, "latest-changes")
     try:
-        latest_changes(changes, order_by).write.parquet(staged)
-        latest = spark.read.parquet(staged)
+        latest = storage.staged(latest_changes(changes, order_by), staged)
         inner = struct_type(latest, "key")
         if inner is None:
             raise ValueError("an update needs changes with a decoded 'key' struct")

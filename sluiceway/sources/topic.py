@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.structs import root
+from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.envelope import ENVELOPE
 from sluiceway.sources import storage
 
@@ -22,6 +23,7 @@ DEFAULT_PARTITIONS = 8
 CREATE_TIME = 0
 # Width of the row counter inside monotonically_increasing_id.
 ROW_BITS = 33
+HEADS = "partition int, next_offset bigint, partitions int, tag string"
 
 
 def _appends(spark: SparkSession, path: str) -> list[int]:
@@ -54,7 +56,7 @@ def stream_topic(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _heads(spark: SparkSession, path: str, number: int) -> DataFrame:
-    return spark.read.parquet(f"{_directory(path, number)}/_heads")
+    return spark.read.schema(HEADS).parquet(f"{_directory(path, number)}/_heads")
 
 
 def _partition_column(df: DataFrame, partitions: int):
@@ -102,11 +104,9 @@ def append_topic(
     counted = storage.scratch_dir(spark, "topic-counts")
     placed = f"{path}/_append-{uuid.uuid4().hex}"
     try:
-        _number_in_tasks(df, partitions, order_by, given).write.parquet(staged)
+        rows = storage.staged(_number_in_tasks(df, partitions, order_by, given), staged)
         storage.release(spark, given)
-        rows = spark.read.parquet(staged)
-        _starts(rows, spark, path, last).write.parquet(counted)
-        starts = spark.read.parquet(counted)
+        starts = storage.staged(_starts(rows, spark, path, last), counted)
 
         # A file table of known size: Spark broadcasts it below the threshold, else sorts and merges.
         final = rows.join(starts.select("partition", "task", "first_id", "start"), ["partition", "task"]).select(
@@ -118,13 +118,14 @@ def append_topic(
             "timestamp",
             F.lit(CREATE_TIME).alias("timestampType"),
         )
-        final.write.parquet(placed)
+        counts = RowCounts()
+        counts.register(final).write.parquet(placed)
         _next_heads(starts, spark, path, last, partitions, tag).coalesce(1).write.parquet(f"{placed}/_heads")
         final_place = _directory(path, 0 if last is None else last + 1)
         if storage.exists(spark, final_place):
             raise RuntimeError(f"another writer has made {final_place}")
         storage.rename(spark, placed, final_place)
-        return starts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head(1)[0]["n"]
+        return counts.value()
     finally:
         for scratch in (given, staged, counted):
             storage.release(spark, scratch)
@@ -143,8 +144,7 @@ def _number_in_tasks(
         # The position splits runs of equal order values over several tasks. It is taken from
         # files, where a task run again finds its rows in the same places; the range shuffle
         # also reads its input twice, for the ranges and for the rows.
-        rows.write.parquet(given)
-        rows = df.sparkSession.read.parquet(given).withColumn("_position", F.monotonically_increasing_id())
+        rows = storage.staged(rows, given).withColumn("_position", F.monotonically_increasing_id())
         by = [*[root(c) for c in order], F.col("_position")]
         rows = rows.repartitionByRange(*by).sortWithinPartitions("_partition", *by)
     else:
