@@ -23,6 +23,38 @@ PRODUCER_OPTIONS = {
 }
 
 
+# Login modules of the broker's client, per SASL mechanism.
+LOGIN_MODULES = {
+    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
+    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
+}
+
+
+def login_options(
+    user: str,
+    password: str,
+    protocol: str = "SASL_SSL",
+    mechanism: str = "SCRAM-SHA-512",
+    truststore: str | None = None,
+    truststore_password: str | None = None,
+) -> dict[str, str]:
+    """Connector options for a login by user and password."""
+    module = LOGIN_MODULES.get(mechanism.upper())
+    if module is None:
+        raise ValueError(f"SASL mechanism {mechanism!r} is not supported, use one of {sorted(LOGIN_MODULES)}")
+    name, secret = (text.replace("\\", "\\\\").replace('"', '\\"') for text in (user, password))
+    options = {
+        "kafka.security.protocol": protocol.upper(),
+        "kafka.sasl.mechanism": mechanism.upper(),
+        "kafka.sasl.jaas.config": f'{module} required username="{name}" password="{secret}";',
+    }
+    if truststore is not None:
+        options["kafka.ssl.truststore.location"] = truststore
+    if truststore_password is not None:
+        options["kafka.ssl.truststore.password"] = truststore_password
+    return options
+
+
 def _guard(build):
     try:
         return build()

@@ -324,6 +324,13 @@ SERIALIZATION_SETTINGS = {
 }
 
 
+def _registered(schemas: Mapping[str, Mapping[Any, str]] | None) -> dict[str, dict[int, str]] | None:
+    """Registered schemas with numeric ids, which are text in JSON."""
+    if schemas is None:
+        return None
+    return {part: {int(i): schema for i, schema in known.items()} for part, known in schemas.items()}
+
+
 def _serialization(s: Mapping[str, Any]) -> dict[str, Any]:
     return {
         "fmt": choose_format(
@@ -331,7 +338,7 @@ def _serialization(s: Mapping[str, Any]) -> dict[str, Any]:
         ),
         "key_schema": s.get("key_schema"),
         "value_schema": s.get("value_schema"),
-        "registry": s.get("schemas"),
+        "registry": _registered(s.get("schemas")),
         "raw": flag(s.get("raw", False)),
     }
 
@@ -342,11 +349,19 @@ def _build_topic(config: Mapping[str, Any], role: str) -> Store:
 
 
 def _build_broker(config: Mapping[str, Any], role: str) -> Store:
-    known = SERIALIZATION_SETTINGS | {"kafka_brokers", "kafka_topic", "options", "user", "password"}
+    login = {
+        "security_protocol": "protocol",
+        "sasl_mechanism": "mechanism",
+        "ssl_truststore_location": "truststore",
+        "ssl_truststore_password": "truststore_password",
+    }
+    known = SERIALIZATION_SETTINGS | {"kafka_brokers", "kafka_topic", "options", "user", "password"} | set(login)
     s = _settings(config, known, {"kafka_brokers", "kafka_topic"}, "kafka")
+    options = {}
     if s.get("user"):
-        raise ValueError("give the broker's security settings as connector options (kafka.security.protocol, ...)")
-    options = {k: str(v) for k, v in s.items() if "." in k}
+        given = {login[k]: str(v) for k, v in s.items() if k in login}
+        options = kafka.login_options(s["user"], s.get("password", ""), **given)
+    options.update({k: str(v) for k, v in s.items() if "." in k})
     options.update(s.get("options") or {})
     return BrokerStore(s["kafka_brokers"], s["kafka_topic"], options, **_serialization(s))
 

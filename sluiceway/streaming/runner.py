@@ -28,7 +28,10 @@ def checkpoint_of(spark: SparkSession, spec: FlowSpec) -> str:
     base = spark.conf.get(SESSION_CHECKPOINT, None)
     if not base:
         raise ValueError(f"a stream needs checkpoint_location, or {SESSION_CHECKPOINT} in the session")
-    ends = json.dumps([spec.source, spec.destination], sort_keys=True, default=str)
+    try:
+        ends = json.dumps([spec.source, spec.destination], sort_keys=True)
+    except TypeError as error:
+        raise ValueError("a stream between stores made by hand needs checkpoint_location") from error
     return f"{base.rstrip('/')}/{hashlib.sha256(ends.encode()).hexdigest()[:16]}"
 
 

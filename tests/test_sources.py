@@ -359,6 +359,26 @@ def test_build_stores():
     assert broker.options == {"kafka.security.protocol": "SASL_SSL"}
 
 
+def test_broker_login():
+    base = {"kafkaBrokers": "h:1", "kafkaTopic": "t", "user": "u", "password": 'p"w'}
+    options = build_store({"kafka": {**base, "sslTruststoreLocation": "/t"}}, "source").options
+    assert options["kafka.security.protocol"] == "SASL_SSL"
+    assert options["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
+    assert options["kafka.sasl.jaas.config"].endswith('ScramLoginModule required username="u" password="p\\"w";')
+    assert options["kafka.ssl.truststore.location"] == "/t"
+    plain = build_store({"kafka": {**base, "saslMechanism": "plain", "securityProtocol": "sasl_plaintext"}}, "source")
+    assert "PlainLoginModule" in plain.options["kafka.sasl.jaas.config"]
+    assert plain.options["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    with pytest.raises(ValueError, match="gssapi"):
+        build_store({"kafka": {**base, "saslMechanism": "gssapi"}}, "source")
+    assert build_store({"kafka": {**base, "user": ""}}, "source").options == {}
+
+
+def test_registered_schema_ids_are_numbers():
+    store = build_store({"topic": {"path": "/t", "dataFormat": "avro", "schemas": {"value": {"9": "a", "10": "b"}}}}, "source")
+    assert store.schemas["registry"] == {"value": {9: "a", 10: "b"}}
+
+
 @pytest.mark.parametrize(
     "config",
     [
