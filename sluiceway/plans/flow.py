@@ -17,7 +17,7 @@ from sluiceway.operators.snapshot import snapshot
 from sluiceway.operators.steps import apply_steps
 from sluiceway.plans.spec import FlowSpec
 from sluiceway.sources.formats import UPDATE
-from sluiceway.sources.stores import BATCH, STREAM, Store, build_store
+from sluiceway.sources.stores import BATCH, STREAM, FileStore, Store, build_store
 
 log = logging.getLogger(__name__)
 
@@ -36,6 +36,8 @@ def open_stores(spark: SparkSession, spec: FlowSpec) -> tuple[Store, Store]:
     spec.check(target.append_only)
     if spec.order_by:
         target.order_by = spec.order_by
+    if spec.takes_snapshot and isinstance(target, FileStore) and target.rebalance is None:
+        target.rebalance = bool(target.partition_by)
     here, there = source.location(spark), target.location(spark)
     if here and there and (here == there or here.startswith(there + "/") or there.startswith(here + "/")):
         raise ValueError(f"source {here} and target {there} overlap")

@@ -55,7 +55,12 @@ class Store:
 
 
 class FileStore(Store):
-    """Files in one directory, on any file system that Hadoop can reach."""
+    """Files in one directory, on any file system that Hadoop can reach.
+
+    `rebalance` shuffles rows for even files per partition value. Left open, this is done for
+    partitioned writes whose rows come out of a shuffle by key, where each task would
+    else write a file for every value.
+    """
 
     def __init__(
         self,
@@ -64,7 +69,7 @@ class FileStore(Store):
         partition_by: Sequence[str] = (),
         schema: Any = None,
         options: Mapping[str, str] | None = None,
-        rebalance: bool = False,
+        rebalance: bool | None = None,
     ) -> None:
         self.path = path.rstrip("/")
         self.format = find_format(fmt)
@@ -105,7 +110,7 @@ class FileStore(Store):
             self.order_by,
             self.schema,
             self.options,
-            self.rebalance,
+            bool(self.partition_by) if self.rebalance is None else self.rebalance,
         )
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
@@ -273,7 +278,7 @@ def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
         "fmt": s["data_format"],
         "partition_by": s.get("partition_by") or (),
         "schema": s.get("schema"),
-        "rebalance": flag(s.get("rebalance", False)),
+        "rebalance": flag(s["rebalance"]) if "rebalance" in s else None,
     }
 
 

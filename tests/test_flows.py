@@ -235,6 +235,22 @@ def test_changes_in_an_order_of_their_own(spark, tmp_path):
     assert rows_of(snapshot(copied)) == LAST_ROWS
 
 
+@pytest.mark.parametrize("setting, files", [({}, 3), ({"rebalance": False}, None)], ids=["left open", "off"])
+def test_partitioned_snapshot(spark, tmp_path, setting, files):
+    rows = [((n,), (n, "abc"[n % 3], float(n))) for n in range(60)]
+    change_data(spark, rows).write.parquet(str(tmp_path / "in"))
+    flow = {**ends(tmp_path / "in", tmp_path / "out"), "readDataType": "cdc", "writeDataType": "log"}
+    flow["destination"]["local"].update({"partitionBy": ["s"], **setting})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert run(spark, flow).rows == 60
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = [f for d in (tmp_path / "out").glob("s=*") for f in d.glob("*.parquet")]
+    assert len(written) == files if files else len(written) > 3
+    assert rows_of(spark.read.parquet(str(tmp_path / "out")).select("i", "s", "d")) == sorted((v for _, v in rows), key=repr)
+
+
 def test_partitioned_update_can_rebalance(spark, tmp_path):
     change_data(spark).write.parquet(str(tmp_path / "in"))
     flow = {**ends(tmp_path / "in", tmp_path / "out"), "readDataType": "cdc", "writeDataType": "log", "writeOperation": "update"}
