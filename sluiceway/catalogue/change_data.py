@@ -244,6 +244,32 @@ def update_file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+@query(
+    f"""WITH latest AS (
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_linestatus, l_orderkey
+                         ORDER BY {", ".join(c + " DESC" for c in LINE_ORDER)}) AS n FROM lineitem) WHERE n = 1)
+        SELECT o_orderstatus, o_orderkey, o_totalprice FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM latest WHERE l_linestatus = o_orderstatus AND l_orderkey = o_orderkey)
+        UNION ALL
+        SELECT l_linestatus, l_orderkey, l_extendedprice FROM latest WHERE l_returnflag <> 'R'"""
+)
+def update_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as changes of orders, in a table partitioned by a part of the key; one partition has none."""
+    path = storage.scratch_dir(spark, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    orders.write.partitionBy("o_orderstatus").parquet(path)
+    key = [F.col("l_linestatus").alias("o_orderstatus"), F.col("l_orderkey").alias("o_orderkey")]
+    value = F.struct(*key, F.col("l_extendedprice").alias("o_totalprice"))
+    changes = table(spark, sf_dir, "lineitem").select(
+        F.struct(*key).alias("key"), F.when(F.col("l_returnflag") != "R", value).alias("value"), *LINE_ORDER
+    )
+    update_table(changes, path, partition_by=["o_orderstatus"], order_by=LINE_ORDER, rebalance=True)
+    return read_table(spark, path, schema=orders.schema).select(*orders.columns)
+
+
 @query(
     f"""SELECT event_id, (user_id % {TOPIC_PARTITIONS})::INTEGER AS "partition",
         row_number() OVER (PARTITION BY user_id % {TOPIC_PARTITIONS} ORDER BY event_id) - 1 AS "offset" FROM events"""

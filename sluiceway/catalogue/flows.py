@@ -195,6 +195,45 @@ def stream_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_format("parquet").read(spark, path)
 
 
+@query("SELECT count(*) AS source_rows, true AS within_bounds, 0::BIGINT AS foreign_rows FROM events")
+def stream_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = storage.scratch_dir(spark, "sampled")
+    drain(
+        spark,
+        {
+            "source": {"local": directory_of(spark, sf_dir, "events")},
+            "destination": {"local": {"path": path, "dataFormat": "parquet"}},
+            "transformation": [{"name": "s", "action": "SampleRows", "options": {"fraction": 0.5, "seed": 11}}],
+        },
+    )
+    given = table(spark, sf_dir, "events").select("event_id", F.lit(1).alias("given"), F.lit(0).alias("kept"))
+    kept = find_format("parquet").read(spark, path).select("event_id", F.lit(0).alias("given"), F.lit(1).alias("kept"))
+    per_row = given.unionByName(kept).groupBy("event_id").agg(F.sum("given").alias("given"), F.sum("kept").alias("kept"))
+    return per_row.agg(
+        F.sum("given").alias("source_rows"),
+        (F.sum("kept") / F.sum("given")).between(0.4, 0.6).alias("within_bounds"),
+        F.count(F.when(F.col("kept") > F.col("given"), 1)).alias("foreign_rows"),
+    )
+
+
+@query(SNAPSHOT_SQL)
+def flow_partitioned_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic to files partitioned by a value column."""
+    path = storage.scratch_dir(spark, "partitioned-snapshot")
+    run(
+        spark,
+        {
+            "source": {
+                "topic": {"path": topic_of_changes(spark, sf_dir), "valueSchema": VALUE_SCHEMA, "keySchema": KEY_SCHEMA}
+            },
+            "destination": {"files": {"path": path, "dataFormat": "parquet", "partitionBy": ["event_type"]}},
+            "readDataType": "cdc",
+            "writeDataType": "log",
+        },
+    )
+    return find_format("parquet").read(spark, path).select("user_id", "event_type", "value")
+
+
 def _through_stream(spark: SparkSession, sf_dir: str, name: str, fmt: str, schema: str) -> DataFrame:
     """A table streamed into a format and from there back into Parquet."""
     first, second = storage.scratch_dir(spark, fmt), storage.scratch_dir(spark, "parquet")
