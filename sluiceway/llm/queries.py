@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluiceway.llm import simhash
+from sluiceway.llm import simhash, toxicity
 from sluiceway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +24,14 @@ def query(function: Query) -> Query:
 @query
 def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def held_out(column: str = "doc_id"):
+    return F.crc32(F.col(column).cast("string")) % 3 == 1
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_hits", "n_quoted")
