@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import simhash, toxicity
+from sluiceway.llm import simhash, substrings, toxicity
 from sluiceway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~held_out()))
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_hits", "n_quoted")
+
+
+@query
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.Repeats(table(spark, sf_dir, "documents")).without().withColumnRenamed("digest", "kept_sha256")
