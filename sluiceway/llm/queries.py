@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import simhash, substrings, toxicity
+from sluiceway.llm import decontamination, simhash, substrings, toxicity
 from sluiceway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.Repeats(table(spark, sf_dir, "documents")).without().withColumnRenamed("digest", "kept_sha256")
+
+
+@query
+def op2_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
