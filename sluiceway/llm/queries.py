@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, simhash, substrings, toxicity
+from sluiceway.llm import byte_bpe, decontamination, simhash, substrings, toxicity
 from sluiceway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,9 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
