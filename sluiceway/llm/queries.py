@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, simhash, substrings, toxicity
+from sluiceway.llm import byte_bpe, decontamination, simhash, substrings, token_files, toxicity
 from sluiceway.llm.common import table
+from sluiceway.sources import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +53,11 @@ def op2_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoding = token_files.read_encoding(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    path = storage.scratch_dir(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), encoding, path)
+    return token_files.documents(spark, path)
