@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, simhash, substrings, token_files, toxicity
+from sluiceway.llm import byte_bpe, decontamination, sharding, simhash, substrings, token_files, toxicity, url_filter
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -61,3 +61,38 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.scratch_dir(spark, "tokens")
     token_files.write(table(spark, sf_dir, "documents"), encoding, path)
     return token_files.documents(spark, path)
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id")).select("doc_id", "slot", "shard")
+
+
+# The table is filled claim by claim; a list holds the shard of each slot, -1 while it is free.
+ORACLES["op10_shards"] = f"""
+WITH RECURSIVE shards AS (
+    SELECT list(offs ORDER BY n) AS offs, list(step ORDER BY n) AS step FROM (
+        SELECT n, CAST('0x' || substr(md5(printf('shard-%02d/offset', n)), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE} AS offs,
+            CAST('0x' || substr(md5(printf('shard-%02d/step', n)), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE - 1} + 1 AS step
+        FROM range({len(sharding.SHARDS)}) AS t(n))
+), filled AS (
+    SELECT 0 AS claim, list_transform(range({sharding.TABLE_SIZE}), lambda x: -1) AS slots, offs, step FROM shards
+    UNION ALL
+    SELECT claim + 1, list_transform(slots, lambda x, i: CASE WHEN i = 1 + (
+            offs[claim % {len(sharding.SHARDS)} + 1] + step[claim % {len(sharding.SHARDS)} + 1] * list_filter(
+                range({sharding.TABLE_SIZE}), lambda j: slots[1 + (offs[claim % {len(sharding.SHARDS)} + 1]
+                    + j * step[claim % {len(sharding.SHARDS)} + 1]) % {sharding.TABLE_SIZE}] = -1)[1]
+        ) % {sharding.TABLE_SIZE} THEN claim % {len(sharding.SHARDS)} ELSE x END), offs, step
+    FROM filled WHERE claim < {sharding.TABLE_SIZE}
+), lookup AS (
+    SELECT unnest(range({sharding.TABLE_SIZE})) AS slot, unnest(slots) AS number FROM filled WHERE claim = {sharding.TABLE_SIZE}
+)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, printf('shard-%02d', number) AS shard
+FROM documents JOIN lookup
+    ON slot = CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE}
+"""
