@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, sharding, simhash, substrings, token_files, toxicity, url_filter
+from sluiceway.llm import byte_bpe, decontamination, mtree, sharding, simhash, substrings, token_files, toxicity, url_filter
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -96,3 +96,24 @@ SELECT doc_id, CAST(slot AS INTEGER) AS slot, printf('shard-%02d', number) AS sh
 FROM documents JOIN lookup
     ON slot = CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {sharding.TABLE_SIZE}
 """
+
+
+@query
+def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_top_inner_products"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
