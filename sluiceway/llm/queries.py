@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, mtree, sharding, simhash, substrings, token_files, toxicity, url_filter
+from sluiceway.llm import byte_bpe, decontamination, language_id, mtree, sharding, simhash, substrings, token_files, toxicity, url_filter
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -117,3 +117,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "pages"), language_id.train(table(spark, sf_dir, "documents")))
