@@ -28,7 +28,7 @@ from sluiceway.llm.common import as_text, hashes, mapped, mixed, staged, texts_o
 WINDOW = 35
 GRAM = 8
 BLOCK_WORDS = 60_000
-MAX_KINDS = 4096
+MAX_KINDS = 512
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TEXT_SEED = 42
 
@@ -160,7 +160,7 @@ def parse_block(contents: list[np.ndarray], window: int) -> list[list[tuple[int,
 
 def _parse(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of the segments that stand only once, from rows sorted by anchor."""
-    names = ["anchor", "content", "start", "end"]
+    names = ["anchor", "content", "low", "high"]
     waiting: list[tuple[int, int, int, np.ndarray]] = []
 
     def settle(rows) -> pa.RecordBatch:
@@ -182,16 +182,19 @@ def _parse(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield settle(waiting)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The word hashes of the wanted segments of each text."""
     names = ["anchor", "content", "copies", "kinds", "words"]
     for batch in batches:
         for text, wanted in zip(texts_of(batch), batch.column("wanted").to_pylist(), strict=True):
             values = hashes(words(text))
-            columns = [[piece[name] for piece in wanted] for name in names[:-1]]
-            pieces = [values[piece["start"] : piece["start"] + piece["length"]].tobytes() for piece in wanted]
-            arrays = [*(pa.array(x, pa.int64()) for x in columns), pa.array(pieces, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            places = {(anchor, content): (start, size) for anchor, content, start, size in zip(*(x.tolist() for x in segments(values, window)), strict=True)}
+            # Another text may have the same key, but not these segments.
+            found = [piece for piece in wanted if (piece["anchor"], piece["content"]) in places]
+            columns = [pa.array([piece[name] for piece in found], pa.int64()) for name in names[:-1]]
+            cuts = (places[piece["anchor"], piece["content"]] for piece in found)
+            pieces = [values[start : start + size].tobytes() for start, size in cuts]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(pieces, pa.binary())], names)
 
 
 def _windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +204,27 @@ def _windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             starts = np.arange(len(values) - window + 1)
             found = range_hashes(values, starts, starts + window).view(np.int64)
             same = [pa.array(np.full(len(starts), x), pa.int64()) for x in (anchor, content, copies)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(starts, pa.int32()), pa.array(found)], ["anchor", "content", "copies", "start", "window"])
+            yield pa.RecordBatch.from_arrays([*same, pa.array(starts, pa.int32()), pa.array(found)], ["anchor", "content", "copies", "low", "window"])
+
+
+def kept_words(text: bytes, found: list[dict]) -> tuple[list[bytes], int]:
+    """The words outside of the spans, and how many there were."""
+    parts = words(text)
+    keep = np.ones(len(parts), bool)
+    for span in found:
+        keep[span["start"] : span["end"]] = False
+    return [part for part, stays in zip(parts, keep.tolist(), strict=True) if stays], len(parts)
+
+
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row structs as columns, with their texts cut where there are spans."""
+    for batch in batches:
+        rows = pa.RecordBatch.from_struct_array(batch.column("row"))
+        at = rows.schema.get_field_index("text")
+        texts = []
+        for text, found in zip(rows.column(at), batch.column("spans").to_pylist(), strict=True):
+            texts.append(text.as_py() if found is None else b" ".join(kept_words(text.as_py().encode(), found)[0]).decode())
+        yield rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,14 +232,11 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept_texts, sizes, removed, digests = [], [], [], []
         for text, found in zip(texts_of(batch), batch.column("spans").to_pylist(), strict=True):
-            parts = words(text)
-            keep = np.ones(len(parts), bool)
-            for span in found:
-                keep[span["start"] : span["end"]] = False
-            kept = b" ".join(part for part, stays in zip(parts, keep.tolist(), strict=True) if stays)
+            stay, size = kept_words(text, found)
+            kept = b" ".join(stay)
             kept_texts.append(kept)
-            sizes.append(len(parts))
-            removed.append(len(parts) - int(keep.sum()))
+            sizes.append(size)
+            removed.append(size - len(stay))
             digests.append(hashlib.sha256(kept).hexdigest())
         columns = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.binary()).cast(pa.string())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "digest", "kept"])
@@ -248,32 +268,34 @@ class Repeats:
         pieces = self.scanned.select("key", "check", F.explode(F.arrays_zip("anchors", "contents", "starts", "lengths")).alias("piece")).select(
             "key", "check", F.col("piece.anchors").alias("anchor"), F.col("piece.contents").alias("content"), F.col("piece.starts").alias("start"), F.col("piece.lengths").alias("length")
         )
-        # Counts first: a frequent anchor is one row per task and content from here on.
-        kinds = pieces.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min("key").alias("first_key"))
-        anchors = kinds.groupBy("anchor").agg(F.sum("copies").alias("total"), F.count("*").alias("kinds")).where("total > 1")
-        repeated = staged(kinds.join(anchors, "anchor").select("anchor", "content", "copies", "kinds", "first_key"), "repeated")
-        found = self._parsed(repeated, pieces, window, max_kinds)
-        whole = repeated.where("copies > 1").select("anchor", "content", F.lit(0).alias("start"), F.lit(None).cast("int").alias("end"))
-        marked = pieces.join(whole.union(found).select("anchor", "content", F.col("start").alias("low"), F.col("end").alias("high")), ["anchor", "content"])
+        # Counts first: a frequent anchor is one row per task from here on.
+        anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"), F.min("content").alias("low"), F.max("content").alias("high"))
+        anchors = anchors.where("total > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike"))
+        repeated = staged(pieces.join(anchors, "anchor"), "repeated")
+        whole = repeated.where("alike").select("key", "check", "start", (F.col("start") + F.col("length")).alias("end"))
+        several = repeated.where("NOT alike")
+        marks = self._marks(several, window, max_kinds)
+        marked = several.join(marks, ["anchor", "content"])
         ranges = marked.select("key", "check", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.coalesce("high", "length")).alias("end"))
         # As many ranges as a text has segments, at most a few times over.
-        self.spans = staged(ranges.distinct().groupBy("key", "check").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-
-    def _parsed(self, repeated: DataFrame, pieces: DataFrame, window: int, max_kinds: int) -> DataFrame:
-        mixed_kinds = repeated.where("kinds > 1").withColumnRenamed("first_key", "key")
-        places = pieces.join(mixed_kinds, ["key", "anchor", "content"])
-        # A text holds a segment once as a rule; of several places and texts with one key any will do.
-        one = places.groupBy("key", "anchor", "content").agg(*(F.min(x).alias(x) for x in ("copies", "kinds", "start", "check")), F.min("length").alias("length"))
-        wanted = one.groupBy("key", "check").agg(F.collect_list(F.struct("anchor", "content", "copies", "kinds", "start", "length")).alias("wanted"))
-        sources = _keyed(self.docs).join(wanted, ["key", "check"]).select("text", "wanted")
-        cut = staged(mapped(sources, _cut, "anchor long, content long, copies long, kinds long, words binary").dropDuplicates(["anchor", "content"]), "reference")
+        self.spans = staged(whole.union(ranges).distinct().groupBy("key", "check").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+
+    def _marks(self, pieces: DataFrame, window: int, max_kinds: int) -> DataFrame:
+        """Spans `(anchor, content, low, high)` within segments whose anchor leads different ones; a null `high` is the end."""
+        kinds = pieces.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min("key").alias("key"))
+        kinds = staged(kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor"), "kinds")
+        wanted = kinds.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "copies", "kinds")).alias("wanted"))
+        sources = _keyed(self.docs).join(wanted, "key").select("text", "wanted")
+        cut = mapped(sources, functools.partial(_cut, window), "anchor long, content long, copies long, kinds long, words binary")
+        cut = staged(cut.dropDuplicates(["anchor", "content"]), "reference")
         columns = ["anchor", "content", "copies", "words"]
         blocks = cut.where(F.col("kinds") <= max_kinds).select(*columns).repartition("anchor").sortWithinPartitions("anchor")
-        parsed = mapped(blocks, functools.partial(_parse, window), "anchor long, content long, start int, end int")
-        every = mapped(cut.where(F.col("kinds") > max_kinds).select(*columns), functools.partial(_windows, window), "anchor long, content long, copies long, start int, window long")
+        parsed = mapped(blocks, functools.partial(_parse, window), "anchor long, content long, low int, high int")
+        every = mapped(cut.where(F.col("kinds") > max_kinds).select(*columns), functools.partial(_windows, window), "anchor long, content long, copies long, low int, window long")
         again = every.groupBy("anchor", "window").agg(F.sum("copies").alias("total")).where("total > 1")
-        crowded = every.where("copies = 1").join(again, ["anchor", "window"]).select("anchor", "content", "start", (F.col("start") + window).alias("end"))
-        return parsed.union(crowded)
+        crowded = every.where("copies = 1").join(again, ["anchor", "window"]).select("anchor", "content", "low", (F.col("low") + window).alias("high"))
+        copied = kinds.where("copies > 1").select("anchor", "content", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"))
+        return copied.union(parsed).union(crowded)
 
     def without(self) -> DataFrame:
         """`(doc_id, n_words, n_removed, digest)`: sizes before, words removed, SHA-256 of the kept words joined by one space."""
@@ -286,3 +308,11 @@ class Repeats:
         """`(doc_id, n_words, n_removed, digest, kept)` of the documents that lose words."""
         sources = _keyed(self.docs).join(self.spans, ["key", "check"]).select("doc_id", "text", "spans")
         return mapped(sources, _apply, "doc_id long, n_words long, n_removed long, digest string, kept string")
+
+    def removed_from(self, docs: DataFrame) -> DataFrame:
+        """`docs` with repeated passages removed from `text`, all other columns as they are. A text that loses words becomes
+        its kept words, joined by one space; any other stays as it is, nulls included."""
+        rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+        text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+        keyed = rows.select("row", F.xxhash64(text).alias("key"), F.crc32(text).alias("check"))
+        return mapped(keyed.join(self.spans, ["key", "check"], "left").select("row", "spans"), _shorten, docs.schema)
