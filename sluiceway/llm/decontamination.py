@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from sluiceway.llm.common import as_text, mapped, staged
 
 PART = 64
-BLOCK = 8
+BLOCK = 4
+# Passages whose bounds are held at a time.
+SLICE = 512
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.6
@@ -155,20 +157,31 @@ def build_index(rows: list, threshold: float) -> Index:
 def promising(index: Index, codes: np.ndarray) -> np.ndarray:
     """Numbers of the passages (two neighbouring chunks of PART words) whose block bounds reach what is needed.
 
-    Common terms count as if a passage had all of them; repeated terms count each time. Both only raise the bounds.
+    Common terms count as if a passage had all of them, which only raises the bounds.
     """
-    n_chunks = -(-len(codes) // PART)
+    step = SLICE * PART
+    slices = [_promising(index, codes[at : at + step + PART]) + at // PART for at in range(0, max(1, len(codes) - PART), step)]
+    return np.concatenate(slices)
+
+
+def _promising(index: Index, codes: np.ndarray) -> np.ndarray:
+    n_passages = max(1, -(-len(codes) // PART) - 1)
     known = np.flatnonzero(codes >= 0)
-    first = index.rare_starts[codes[known]]
-    sizes = index.rare_starts[codes[known] + 1] - first
-    keep = sizes > 0
-    known, first, sizes = known[keep], first[keep], sizes[keep]
+    sizes = index.rare_starts[codes[known] + 1] - index.rare_starts[codes[known]]
+    known = known[sizes > 0]
+    # Each chunk belongs to the passage it begins and to the one it ends; a term counts once in a passage.
+    chunks = known // PART
+    passages = np.concatenate([chunks, chunks - 1])
+    both = np.concatenate([codes[known], codes[known]])
+    within = (passages >= 0) & (passages < n_passages)
+    pairs = np.unique(passages[within] * len(index.terms) + both[within])
+    passages, terms = np.divmod(pairs, len(index.terms))
+    first = index.rare_starts[terms]
+    sizes = index.rare_starts[terms + 1] - first
     ends = np.cumsum(sizes)
     at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(first, sizes)
-    cell = np.repeat(known // PART, sizes) * index.n_blocks + index.rare_blocks[at]
-    bounds = np.bincount(cell, index.rare_maxima[at], n_chunks * index.n_blocks).reshape(n_chunks, index.n_blocks)
-    if n_chunks > 1:
-        bounds = bounds[:-1] + bounds[1:]
+    cell = np.repeat(passages, sizes) * index.n_blocks + index.rare_blocks[at]
+    bounds = np.bincount(cell, index.rare_maxima[at], n_passages * index.n_blocks).reshape(n_passages, index.n_blocks)
     return np.flatnonzero((bounds >= index.needed).any(axis=1))
 
 
@@ -223,56 +236,73 @@ def _index_of(shard: Shard) -> Index:
     return _built[shard.name]
 
 
-def _search(shard: Shard, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index, threshold = _index_of(shard), shard.threshold
+def found_items(index: Index, text: str | None, threshold: float) -> list[tuple[int | None, float, float, float]]:
+    """`(item_id, score, question overlap, answer overlap)` of the items that a text may hold."""
+    found = tokens(text)
+    if not found:
+        return []
+    code = index.terms.get
+    codes = np.fromiter((code(token, -1) for token in found), np.int64, len(found))
+    items: dict[tuple, float] = {}
+    for passage in promising(index, codes):
+        within = codes[passage * PART : (passage + 2) * PART]
+        for unit, score in wand(index, set(within[within >= 0].tolist()), threshold):
+            items[index.parts[unit]] = max(items.get(index.parts[unit], 0.0), score)
+    if not items:
+        return []
+    document = {size: set(zip(*(found[i:] for i in range(size)), strict=False)) for size in range(1, GRAM + 1)}
+    split = {item: question_and_answer(item[1]) for item in items}
+    return [(item[0], score, *(overlap(part, document) for part in split[item])) for item, score in items.items()]
+
+
+def _search(shard: Shard, min_overlap: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    index = _index_of(shard)
     names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            found = tokens(text.as_py())
-            if not found:
-                continue
-            code = index.terms.get
-            codes = np.fromiter((code(token, -1) for token in found), np.int64, len(found))
-            best: dict[int, float] = {}
-            for passage in promising(index, codes):
-                within = codes[passage * PART : (passage + 2) * PART]
-                for unit, score in wand(index, set(within[within >= 0].tolist()), threshold):
-                    best[unit] = max(best.get(unit, 0.0), score)
-            if not best:
-                continue
-            document = {size: set(zip(*(found[i:] for i in range(size)), strict=False)) for size in range(1, GRAM + 1)}
-            items: dict[tuple, float] = {}
-            for unit, score in best.items():
-                items[index.parts[unit]] = max(items.get(index.parts[unit], 0.0), score)
-            for (item_id, item), score in items.items():
-                question, answer = question_and_answer(item)
-                rows.append((doc_id, item_id, score, overlap(question, document), overlap(answer, document)))
+            rows += [(doc_id, *found) for found in found_items(index, text.as_py(), shard.threshold) if min(found[2:]) >= min_overlap]
         columns = list(zip(*rows, strict=True)) or [()] * 5
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names)
 
 
+def _clean(shard: Shard, min_overlap: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    index = _index_of(shard)
+    for batch in batches:
+        held = (found_items(index, text.as_py(), shard.threshold) for text in batch.column("text"))
+        yield batch.filter(pa.array([not any(min(found[2:]) >= min_overlap for found in items) for items in held], pa.bool_()))
+
+
+def shards_of(items: DataFrame, threshold: float) -> list[Shard]:
+    """The index in broadcasts of about `MAX_POSTINGS` postings."""
+    indexed = staged(impacts(items), "impacts")
+    total = indexed.agg(F.sum(F.size("postings"))).first()[0] or 0
+    n_shards, out = max(1, math.ceil(total / MAX_POSTINGS)), []
+    for number in range(n_shards):
+        rows = indexed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards)) == number).collect()
+        plain = [{"item_id": r["item_id"], "text": r["text"], "part": r["part"], "postings": [p.asDict() for p in r["postings"]]} for r in rows]
+        out.append(Shard(uuid.uuid4().hex, items.sparkSession.sparkContext.broadcast(plain), threshold))
+    return out
+
+
 def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_overlap: float = OVERLAP) -> DataFrame:
     """`(doc_id, item_id, score, question_overlap, answer_overlap)`: benchmark items that a document contains.
 
     `score` is the best BM25 score of a passage against a part of the item, 1 being that of the part itself; retrieved
     are all at or above `threshold`, verified those with `min_overlap` of the word triples of question and answer. The
-    index is broadcast in shards of about `MAX_POSTINGS` postings, one after the other, so its size never grows with the
-    benchmark; each shard is a pass over the documents. Null and empty texts and items match nothing. Equal items of
-    one id count once, repeated documents come out each; other columns are not looked at.
+    index is broadcast in shards of bounded size, one after the other, whatever the size of the benchmark; each shard is a
+    pass over the documents. Null and empty texts and items match nothing. Equal items of one id count once, repeated
+    documents come out each; other columns are not looked at.
     """
-    spark = docs.sparkSession
-    indexed = staged(impacts(items), "impacts")
-    total = indexed.agg(F.sum(F.size("postings"))).first()[0] or 0
-    n_shards = max(1, math.ceil(total / MAX_POSTINGS))
     texts = as_text(docs)
-    out = []
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    for shard in range(n_shards):
-        rows = indexed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards)) == shard).collect()
-        plain = [{"item_id": r["item_id"], "text": r["text"], "part": r["part"], "postings": [p.asDict() for p in r["postings"]]} for r in rows]
-        shipped = Shard(uuid.uuid4().hex, spark.sparkContext.broadcast(plain), threshold)
-        out.append(mapped(texts, functools.partial(_search, shipped), schema))
-    found = functools.reduce(DataFrame.union, out)
-    return found.where((F.col("question_overlap") >= min_overlap) & (F.col("answer_overlap") >= min_overlap))
+    found = [mapped(texts, functools.partial(_search, shard, min_overlap), schema) for shard in shards_of(items, threshold)]
+    return functools.reduce(DataFrame.union, found)
+
+
+def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min_overlap: float = OVERLAP) -> DataFrame:
+    """The rows of `docs` without any match, all columns as they are."""
+    for shard in shards_of(items, threshold):
+        docs = mapped(docs, functools.partial(_clean, shard, min_overlap), docs.schema)
+    return docs
