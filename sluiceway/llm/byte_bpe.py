@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from sluiceway.llm.common import as_text, mapped
 
@@ -225,3 +226,22 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     decode to. Rows as for `encode`."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return mapped(as_text(docs), functools.partial(_round_trip, vocabulary), schema)
+
+
+def _texts_and_ids(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    encoder = encoder_of(vocabulary)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            at = part.schema.get_field_index("text")
+            ids = [encoder.encode(text.as_py() or "") for text in part.column(at)]
+            decoded = pa.array([encoder.decode(found).decode() for found in ids], part.schema.field(at).type)
+            columns = [*part.set_column(at, "text", decoded).columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "n_tokens"])
+
+
+def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """`docs` with `ids` and `n_tokens`, and `text` as decoded from the ids; columns of these names are replaced."""
+    rows = docs.drop("ids", "n_tokens")
+    schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
+    return mapped(rows, functools.partial(_texts_and_ids, vocabulary), schema)

@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluiceway.sources import storage
 
@@ -27,7 +28,7 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
 
 
-def mapped(df: DataFrame, function, schema: str) -> DataFrame:
+def mapped(df: DataFrame, function, schema: StructType | str) -> DataFrame:
     """`mapInArrow` with a function of this package."""
     importable(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import LOWER, as_text, hashes, mapped, staged, texts_of, words
+from sluiceway.llm.common import LOWER, hashes, mapped, staged, texts_of, words
 from sluiceway.llm.components import components
 
 SHINGLE = 4
@@ -58,7 +58,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = pa.array([fingerprint(text) for text in texts_of(batch)], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], ["doc_id", "bits"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], values], ["doc_id", "text_key", "bits"])
 
 
 @functools.cache
@@ -260,6 +260,23 @@ def _split_crowded(max_bucket: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         yield passed.pop()
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Ids, texts and a hash of the text; a null text counts as an empty one."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
+def _groups(docs: DataFrame, max_bucket: int, max_local: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints `(doc_id, text_key, bits)` of all rows; `(bits, least, group)`, `least` being the first id and text key."""
+    prints = staged(mapped(_keyed(docs), _fingerprints, "doc_id long, text_key long, bits long"), "fingerprints")
+    # Nulls come last.
+    ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    distinct = staged(prints.groupBy("bits").agg(F.min(ordered).alias("least")), "distinct")
+    tied = components(links(distinct.select("bits"), max_bucket, max_local))
+    named = distinct.join(tied, distinct["bits"] == tied["node"], "left").select("bits", "least", F.coalesce("component", "bits").alias("group"))
+    return prints, staged(named, "groups")
+
+
 def near_duplicates(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: int = MAX_LOCAL) -> DataFrame:
     """`(doc_id, fingerprint, component_id)` per row of `docs`.
 
@@ -271,12 +288,19 @@ def near_duplicates(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: in
     Buckets with more than `max_bucket` fingerprints, or `max_local` in one batch, are not compared by pairs: their
     members are tied through the words halfway between them, which is exact and grows with the members only.
     """
-    prints = staged(mapped(as_text(docs), _fingerprints, "doc_id long, bits long"), "fingerprints")
-    distinct = staged(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct")
-    tied = components(links(distinct.select("bits"), max_bucket, max_local))
-    named = distinct.join(tied, distinct["bits"] == tied["node"], "left").select("bits", "least", F.coalesce("component", "bits").alias("group"))
-    named = staged(named, "groups")
-    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    prints, named = _groups(docs, max_bucket, max_local)
+    least = named.groupBy("group").agg(F.min("least.doc_id").alias("component_id"))
     of_bits = named.join(least, "group").select("bits", "component_id")
     # One fingerprint may hold a third of all rows: a join whose large partitions Spark can split.
     return prints.join(of_bits, "bits").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: int = MAX_LOCAL) -> DataFrame:
+    """One row of each group of near copies, with all its columns: that with the smallest doc_id, of these the one with the
+    smallest hash of its text. Of rows that agree in both any one stays."""
+    _, named = _groups(docs, max_bucket, max_local)
+    first = named.groupBy("group").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("doc_id"), F.col("least.text_key").alias("text_key"))
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    keyed = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("text_key"))
+    same = keyed["doc_id"].eqNullSafe(first["doc_id"]) & (keyed["text_key"] == first["text_key"])
+    return keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select("row.*")

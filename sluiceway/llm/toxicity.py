@@ -347,3 +347,15 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
     """
     scored = mapped(as_text(docs), functools.partial(_scores, model), "doc_id long, score double, n_hits int, n_quoted int")
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits", "n_quoted")
+
+
+def _accepted(model: ToxicityModel, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    automaton = _automaton(model.terms)
+    for batch in batches:
+        scores = (model.probability(model.evidence(automaton.hits(text.as_py() or ""))) for text in batch.column("text"))
+        yield batch.filter(pa.array([score < threshold for score in scores], pa.bool_()))
+
+
+def accepted(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` with a score below the threshold, all columns as they are."""
+    return mapped(docs, functools.partial(_accepted, model, threshold), docs.schema)
