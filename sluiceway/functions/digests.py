@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
+from sluiceway.functions.json_text import JSON_WRITE_OPTIONS
+
 # Accepted algorithm names.
 ALGORITHMS = ("md5", "sha1", "sha2", "crc32", "murmur3")
 
@@ -21,7 +23,7 @@ def _hashable(column: Column, data_type: DataType) -> Column:
     if isinstance(data_type, (StringType, BinaryType)):
         return column
     if isinstance(data_type, (StructType, ArrayType, MapType)):
-        return F.to_json(column)
+        return F.to_json(column, JSON_WRITE_OPTIONS)
     return column.cast("string")
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, NullType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, NullType, StringType, StructField, StructType
 
 from sluiceway.functions.framing import frame, payload, schema_id
+from sluiceway.functions.json_text import JSON_WRITE_OPTIONS
 from sluiceway.functions.structs import replace_column, root
 
 log = logging.getLogger(__name__)
@@ -18,12 +21,6 @@ log = logging.getLogger(__name__)
 JSON = "json"
 AVRO = "avro"
 
-# Microseconds must survive the text form; Spark's own default cuts them to milliseconds.
-JSON_WRITE_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
 # Deserializer classes in connector settings.
 AVRO_DESERIALIZER = "io.confluent.kafka.serializers.KafkaAvroDeserializer"
 JSON_DESERIALIZER = "io.confluent.kafka.serializers.json.KafkaJsonSchemaDeserializer"
@@ -63,30 +60,105 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
-def decode_json(df: DataFrame, value_schema: str | StructType, key_schema: str | StructType | None = None) -> DataFrame:
-    """Parse JSON `value` (and `key`) by schema: DDL, Spark schema JSON or a StructType."""
-    df = replace_column(df, "value", F.from_json(_text(F.col("value")), value_schema).alias("value"))
+FAIL = "fail"
+KEEP = "keep"
+MALFORMED = "malformed"
+
+
+def _parsed(column: str, schema: str | StructType, fields: Iterable[str] | None) -> Column:
+    """Decoded text; what is no JSON of the schema, empty text included, is an error, as is a field that is not listed."""
+    text = _text(F.col(column))
+    checked = F.when(F.trim(text) == "", F.raise_error(F.lit(f"empty text in {column}, which is no JSON")).cast("string")).otherwise(text)
+    if fields is not None:
+        unknown = F.array_except(F.json_object_keys(text), F.array(*[F.lit(name) for name in fields]).cast("array<string>"))
+        found = F.concat(F.lit(f"{column} has fields that its schema lacks: "), F.array_join(unknown, ", "))
+        checked = F.when(F.size(F.coalesce(unknown, F.array().cast("array<string>"))) > 0, F.raise_error(found).cast("string")).otherwise(checked)
+    return F.from_json(checked, schema, {"mode": "FAILFAST"})
+
+
+def _struct_of(schema: str | StructType) -> StructType:
+    if isinstance(schema, StructType):
+        return schema
+    if schema.lstrip().startswith("{"):
+        return StructType.fromJson(json.loads(schema))
+    parsed = DataType.fromDDL(schema)
+    if not isinstance(parsed, StructType):
+        raise ValueError(f"malformed text can only be kept for structs, not {schema!r}")
+    return parsed
+
+
+def decode_json(
+    df: DataFrame,
+    value_schema: str | StructType,
+    key_schema: str | StructType | None = None,
+    malformed: str = FAIL,
+    fields: Mapping[str, Iterable[str]] | None = None,
+) -> DataFrame:
+    """Parse JSON `value` (and `key`) by schema: DDL, Spark schema JSON or a StructType.
+
+    Text that is not JSON of the schema is an error, and so is empty text: neither may turn into a row of nulls or
+    a delete. With `malformed="keep"` a value of that kind becomes a struct of nulls, so never a delete, and its text is kept
+    in a column `malformed`, which is null for all other rows; keys always have to be right. `fields` lists, for
+    "key" and "value", the only fields that may be there; others are errors.
+    """
+    if malformed not in (FAIL, KEEP):
+        raise ValueError(f"malformed has to be {FAIL!r} or {KEEP!r}, not {malformed!r}")
+    listed = fields or {}
+    if malformed == FAIL:
+        df = replace_column(df, "value", _parsed("value", value_schema, listed.get("value")).alias("value"))
+    else:
+        struct = _struct_of(value_schema)
+        if MALFORMED in df.columns or MALFORMED in struct.names:
+            raise ValueError(f"the data has a column {MALFORMED!r} already")
+        text = _text(F.col("value"))
+        # One more field takes the text of whatever cannot be parsed.
+        wide = StructType([*struct.fields, StructField(MALFORMED, StringType())])
+        found = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED})
+        bad = F.when(F.trim(text) == "", text).otherwise(found.getField(MALFORMED))
+        empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields])
+        plain = F.struct(*[found.getField(f.name).alias(f.name) for f in struct.fields])
+        value = F.when(text.isNull(), F.lit(None)).when(bad.isNotNull(), empty).otherwise(plain)
+        df = replace_column(df.withColumn(MALFORMED, bad), "value", value.cast(struct).alias("value"))
     if key_schema is not None:
-        df = replace_column(df, "key", F.from_json(_text(F.col("key")), key_schema).alias("key"))
+        df = replace_column(df, "key", _parsed("key", key_schema, listed.get("key")).alias("key"))
     return df
 
 
+# Types as Spark prints them for variants; names in backticks and names before a colon are left alone.
+_PRINTED = re.compile(r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|DECIMAL\((\d+),(\d+)\)|VARIANT|VOID)(?!\s*:)")
+
+
+def _ddl(printed: str) -> str:
+    """DDL of a type printed by `schema_of_variant_agg`: fractions are doubles, values of several types stay text."""
+
+    def plain(found: re.Match) -> str:
+        word = found.group()
+        if word.startswith("`"):
+            return word
+        if word.startswith("DECIMAL"):
+            # Without a fraction: 1.0 and the like, or, with more digits than a bigint has, whole numbers to be kept exactly.
+            return "DOUBLE" if int(found.group(2)) or int(found.group(1)) <= 18 else word
+        return {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}[word]
+
+    return _PRINTED.sub(plain, printed)
+
+
 def infer_json_schemas(df: DataFrame) -> tuple[str | None, str] | None:
-    """(key schema, value schema) of the first row that has a value; None without such a row.
+    """(key schema, value schema) that fit all rows; None if no row has a value.
 
-    Only that row is fetched. All other rows are taken to be compatible with it, so a
-    schema given by the caller is the better choice. A null key is not decoded.
+    One distributed aggregate over all rows: a field of any row is in the schema, and a number that is whole in one row
+    and fractional in another is a double. Values of several types stay text. Text that is no JSON does not count; it
+    fails when it is decoded. A key that is always null is not decoded.
     """
-    key = F.col("key") if "key" in df.columns and df.schema["key"].dataType != NullType() else F.lit(None)
-    first = df.filter(F.col("value").isNotNull()).select(_text(key).alias("key"), _text(F.col("value")).alias("value"))
-    rows = first.head(1)
-    if not rows:
+    has_key = "key" in df.columns and df.schema["key"].dataType != NullType()
+    texts = df.select(_text(F.col("key") if has_key else F.lit(None)).alias("key"), _text(F.col("value")).alias("value"))
+    kinds = [F.expr(f"schema_of_variant_agg(try_parse_json({c}))").alias(c) for c in ("key", "value")]
+    found = texts.agg(*kinds, F.count("key").alias("keys"), F.count("value").alias("values")).first()
+    if not found["values"]:
         return None
-    texts = [t for t in rows[0] if t is not None]
-    schemas = df.sparkSession.range(1).select(*[F.schema_of_json(F.lit(t)) for t in texts]).head(1)[0]
-    if rows[0]["key"] is None:
-        return None, schemas[0]
-    return schemas[0], schemas[1]
+    if found["value"] == "VOID":
+        raise ValueError("cannot infer a schema: no value is JSON; give value_schema")
+    return (_ddl(found["key"]) if found["keys"] and found["key"] != "VOID" else None), _ddl(found["value"])
 
 
 def decode_json_inferred(df: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ def change_order(df: DataFrame, order_by: str | Sequence[str] | None = None) ->
     if "offset" not in df.columns:
         raise ValueError("change data needs an 'offset' column, or order_by")
     offset = F.coalesce(F.col("offset"), F.raise_error(F.lit("change without an offset")).cast("bigint"))
+    negative = F.raise_error(F.concat(F.lit("change with the negative offset "), F.col("offset").cast("string"))).cast("bigint")
+    offset = F.when(F.col("offset") < 0, negative).otherwise(offset)
     return F.struct(offset.alias("offset"), TIE_BREAKER) if TIE_BREAKER in df.columns else offset
 
 
@@ -32,9 +34,6 @@ def latest_changes(df: DataFrame, order_by: str | Sequence[str] | None = None) -
     holds much of the log costs no more than any other. Spark sorts by the key to do so;
     with a hash in front, most comparisons are of one number instead of whole keys.
     """
-    if order_by is None and "offset" in df.columns:
-        # Offsets start at 0. A null passes, to fail in change_order.
-        df = df.filter((F.col("offset") >= 0) | F.col("offset").isNull())
     metadata = df.schema["value"].metadata
     last = F.max_by(F.col("value"), change_order(df, order_by)).alias("value", metadata=metadata)
     grouped = df.groupBy(F.xxhash64("key").alias("_hash"), F.col("key"))

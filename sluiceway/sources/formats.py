@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from sluiceway.operators.codec import JSON_WRITE_OPTIONS
 from sluiceway.operators.steps import import_object
+from sluiceway.sources import storage
 
 OVERWRITE = "overwrite"
 APPEND = "append"
@@ -83,7 +84,11 @@ class FileFormat:
         if operation not in (OVERWRITE, APPEND):
             raise ValueError(f"operation {operation!r} is not supported by {self.name} files")
         self._check(df)
-        writer = df.write.format(self.name).options(**{**self.write_options, **(options or {})})
+        if operation == APPEND and _is_stream_target(df.sparkSession, path):
+            raise ValueError(f"{path} was written by a stream, whose log hides all other files; append to another directory")
+        # An overwrite replaces all partitions, whatever the session's mode, unless the caller asks for it.
+        mode = {"partitionOverwriteMode": "static"} if operation == OVERWRITE else {}
+        writer = df.write.format(self.name).options(**{**self.write_options, **mode, **(options or {})})
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.mode(operation).save(path)
@@ -100,21 +105,39 @@ class FileFormat:
         if operation != APPEND:
             raise ValueError(f"operation {operation!r} is not supported for a stream into {self.name} files")
         self._check(df)
+        if _is_batch_target(df.sparkSession, path):
+            raise ValueError(f"{path} holds files of a batch, which the log of a stream would hide; stream into another directory")
         writer = df.writeStream.format(self.name).outputMode("append").option("path", path)
         writer = writer.options(**{**self.write_options, **(options or {})})
         return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+STREAM_LOG = "_spark_metadata"
+
+
+def _is_stream_target(spark: SparkSession, path: str) -> bool:
+    return storage.exists(spark, f"{path.rstrip('/')}/{STREAM_LOG}")
+
+
+def _is_batch_target(spark: SparkSession, path: str) -> bool:
+    """Whether a directory has data but no log of a stream. Versions of an updated table are data too."""
+    names = storage.children(spark, path.rstrip("/"))
+    return STREAM_LOG not in names and any(not name.startswith((".", "_")) for name in names)
+
+
 # Text cuts timestamps to milliseconds unless told otherwise.
 _TEXT = JSON_WRITE_OPTIONS
+# CSV keeps line breaks, quotes and blanks at the ends of texts. Files are then read whole, not split by line; the option
+# multiLine=false on reading turns that off for files known to have one row per line.
+_WHOLE_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 PARQUET = FileFormat("parquet")
 ORC = FileFormat("orc")
 JSON = FileFormat("json", write_options=_TEXT)
 CSV = FileFormat(
     "csv",
-    read_options={"header": "true"},
-    write_options={"header": "true", **_TEXT},
+    read_options={"header": "true", **_WHOLE_TEXT, "multiLine": "true"},
+    write_options={"header": "true", **_TEXT, **_WHOLE_TEXT},
     infer={"inferSchema": "true"},
     flat=True,
 )

@@ -39,6 +39,11 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return exists(spark, path) and _fs(spark, path).getFileStatus(_path(spark, path)).isDirectory()
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since 1970."""
+    return _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
+
+
 def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     """Names of the entries of a directory that match a glob pattern; none if it does not exist.
 

@@ -11,10 +11,11 @@ dataset, version 0.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.structs import root, struct_type
@@ -24,11 +25,10 @@ from sluiceway.operators.update import apply_latest, same_key
 from sluiceway.sources import storage
 from sluiceway.sources.formats import OVERWRITE, PARQUET, FileFormat
 
-KEPT_VERSIONS = 2
+# How long a replaced version stays for readers that have begun, in seconds.
+KEPT_SECONDS = 24 * 3600
 # Spark's file sources: they commit by marker and overwrite single partitions.
 UPDATABLE = {"parquet", "orc", "json", "csv", "avro"}
-# Longest list of changed partition values that goes into a filter.
-LISTED_VALUES = 10_000
 
 
 def _directory(path: str, version: int) -> str:
@@ -122,13 +122,22 @@ def _update_version(
     result = counts.register(balanced(result, partition_by) if rebalance else result)
     new = (known[-1] if known else 0) + 1
     fmt.write(result, _directory(path, new), OVERWRITE, partition_by, options)
-    _prune(latest.sparkSession, path, new)
+    expire_versions(latest.sparkSession, path)
     return counts.value()
 
 
-def _prune(spark: SparkSession, path: str, newest: int) -> None:
-    """Delete versions older than the ones kept; version 0 is the plain dataset at the path."""
-    oldest = newest - KEPT_VERSIONS + 1
+def expire_versions(spark: SparkSession, path: str, kept_seconds: float = KEPT_SECONDS) -> list[int]:
+    """Delete versions that were replaced longer ago than `kept_seconds`; returns their numbers.
+
+    A reader that began before the replacement can so go on for that time. A version is replaced when the next one
+    is committed. Version 0 is the plain dataset at the path.
+    """
+    path, known = path.rstrip("/"), versions(spark, path)
+    if not known:
+        return []
+    limit = time.time() - kept_seconds
+    replaced_by = dict(zip([0, *known], known, strict=False))
+    old = [v for v, next_one in replaced_by.items() if storage.modified(spark, f"{_directory(path, next_one)}/_SUCCESS") < limit]
     for name in storage.children(spark, path):
         if name.startswith("v=") and name[2:].isdigit():
             number = int(name[2:])
@@ -137,27 +146,17 @@ def _prune(spark: SparkSession, path: str, newest: int) -> None:
         else:
             # Not Spark's: none of our business.
             continue
-        if number < oldest:
+        if number in old:
             storage.delete(spark, f"{path}/{name}")
+    return old
 
 
-def _changed_partitions(latest: DataFrame, partition_by: Sequence[str]) -> Column:
-    """Condition on the partition columns that holds for all partitions with changes.
-
-    It may hold for more of them, which are then rewritten as they are. A column with too
-    many changed values for a list is left out of the condition.
-    """
-    condition = F.lit(True)
-    for name in partition_by:
-        values = latest.select(F.col("key").getField(name).alias(name)).distinct().limit(LISTED_VALUES + 1).collect()
-        if len(values) > LISTED_VALUES:
-            continue
-        listed = [row[0] for row in values if row[0] is not None]
-        matches = root(name).isin(listed) if listed else F.lit(False)
-        if len(listed) < len(values):
-            matches = matches | root(name).isNull()
-        condition = condition & matches
-    return condition
+def _in_changed_partitions(target: DataFrame, latest: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of partitions that have changes: by tuples of partition values, however many there are."""
+    values = latest.select(*[F.col("key").getField(name).alias(name) for name in partition_by]).distinct()
+    # Spark prunes the partitions of a scan by a join if the other side has a filter; this one holds for all rows.
+    values = values.where(F.xxhash64(*partition_by) >= F.lit(-(2**63)))
+    return target.alias("t").join(values.alias("p"), same_key("t", "p", partition_by), "left_semi")
 
 
 def _check_stored_columns(
@@ -186,14 +185,13 @@ def _update_partitions(
     rebalance: bool,
 ) -> int:
     spark = latest.sparkSession
-    changed = _changed_partitions(latest, partition_by)
     if schema is None:
         # The types come from the changes: those of partition columns are not stored.
         schema = latest.schema["value"].dataType
         _check_stored_columns(spark, path, fmt, schema.names, options)
     target = _existing(latest, path, fmt, schema, options)
     counts = RowCounts()
-    result = apply_latest(target.filter(changed), latest)
+    result = apply_latest(_in_changed_partitions(target, latest, partition_by), latest)
     result = counts.register(balanced(result, partition_by) if rebalance else result)
     dynamic = {**(options or {}), "partitionOverwriteMode": "dynamic"}
     fmt.write(result, path, OVERWRITE, partition_by, dynamic)
@@ -202,7 +200,7 @@ def _update_partitions(
     # A partition that lost its last row got no output and still has its old files: the only
     # place where deleted keys are left.
     deleted = latest.filter(F.col("value").isNull()).select("key.*")
-    stored = _existing(latest, path, fmt, schema, options).filter(changed)
+    stored = _existing(latest, path, fmt, schema, options)
     stored = stored.withColumn("_directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
     left = stored.alias("t").join(deleted.alias("c"), same_key("t", "c", deleted.columns), "left_semi")
     for row in left.select("_directory").distinct().toLocalIterator():

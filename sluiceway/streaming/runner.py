@@ -5,9 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+import re
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import DataType, StructType
 
 from sluiceway.operators.codec import decode_json, infer_json_schemas
 from sluiceway.plans.flow import open_stores, shape
@@ -21,18 +25,39 @@ PINNED = "inferred-schema.json"
 SESSION_CHECKPOINT = "spark.sql.streaming.checkpointLocation"
 
 
+# Settings that may change without making it another flow: whoever has another password reads the same data.
+SECRET = re.compile(r"(?i)password|passwd|secret|token|credential|api_?key|access_?key|jaas|truststore|keystore")
+
+
+def _places(setting: Any) -> Any:
+    """Settings of a store without secrets."""
+    if isinstance(setting, Mapping):
+        return {name: _places(value) for name, value in setting.items() if not SECRET.search(str(name))}
+    return [_places(value) for value in setting] if isinstance(setting, (list, tuple)) else setting
+
+
+def _shape(spec: FlowSpec) -> list[Any]:
+    """What a flow does with its rows; own functions count by name."""
+    own = [getattr(step.custom, "__qualname__", type(step.custom).__name__) for step in spec.steps]
+    steps = [[step.name, step.action, list(step.columns), dict(step.options), name] for step, name in zip(spec.steps, own, strict=True)]
+    return [spec.source_type, spec.target_type, spec.operation, spec.order_by, spec.drop_tombstones, steps]
+
+
 def checkpoint_of(spark: SparkSession, spec: FlowSpec) -> str:
-    """Where the stream keeps its progress; the same flow finds it again after a restart."""
+    """Where the stream keeps its progress; the same flow finds it again after a restart.
+
+    A flow is known by its stores without secrets, its data types, its operation and its steps.
+    """
     if spec.checkpoint:
         return spec.checkpoint.rstrip("/")
     base = spark.conf.get(SESSION_CHECKPOINT, None)
     if not base:
         raise ValueError(f"a stream needs checkpoint_location, or {SESSION_CHECKPOINT} in the session")
     try:
-        ends = json.dumps([spec.source, spec.destination], sort_keys=True)
+        identity = json.dumps([_places(spec.source), _places(spec.destination), *_shape(spec)], sort_keys=True)
     except TypeError as error:
         raise ValueError("a stream between stores made by hand needs checkpoint_location") from error
-    return f"{base.rstrip('/')}/{hashlib.sha256(ends.encode()).hexdigest()[:16]}"
+    return f"{base.rstrip('/')}/{hashlib.sha256(identity.encode()).hexdigest()[:16]}"
 
 
 def set_trigger(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
@@ -53,7 +78,10 @@ def _save_pin(spark: SparkSession, checkpoint: str, pin: dict) -> dict:
 
 
 def _decoded(df: DataFrame, pin: dict) -> DataFrame:
-    return decode_json(df, pin["value"], pin["key"])
+    """Rows by the pinned schema. A field that came later fails the stream: it would be lost without a word."""
+    kinds = {c: DataType.fromDDL(pin[c]) for c in ("key", "value") if pin[c] is not None}
+    fields = {c: kind.names for c, kind in kinds.items() if isinstance(kind, StructType)}
+    return decode_json(df, pin["value"], pin["key"], fields=fields)
 
 
 def _infer(df: DataFrame) -> dict | None:
@@ -79,7 +107,6 @@ def _per_batch(rows: DataFrame, spec: FlowSpec, target: Store, job: str, pin_at:
             if not batch.isEmpty():
                 write(batch, batch_id, pin)
             return
-        # One row is fetched, so the batch is not worth caching.
         found = _infer(batch)
         if found is not None:
             write(batch, batch_id, _save_pin(spark, pin_at, {**pin, **found}))

@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from sluiceway.functions import frame, payload, schema_id
+from sluiceway.functions import digest
 from sluiceway.operators import (
     ConnectorMissing,
     apply_changes,
@@ -105,6 +106,39 @@ def test_json_inference_skips_deletes_and_needs_data(spark):
     assert decode_json_inferred(first_deleted).filter("value IS NULL").count() == 2
 
 
+def test_json_inferred_from_all_rows(spark):
+    texts = ['{"a":1}', '{"a":1.5,"b":"x"}', None, '{"a":2,"c":{"d e":[1]},"f":1}', '{"f":"text","g":null}', '{"n":123456789012345678901}']
+    rows = [(str(i), t) for i, t in enumerate(texts)]
+    decoded = decode_json_inferred(spark.createDataFrame(rows, "key string, value string").withColumn("key", F.concat(F.lit('{"k":'), "key", F.lit("}"))))
+    kinds = {f.name: f.dataType.simpleString() for f in decoded.schema["value"].dataType.fields}
+    assert kinds == {"a": "double", "b": "string", "c": "struct<d e:array<bigint>>", "f": "string", "g": "string", "n": "decimal(21,0)"}
+    found = {r["key"]["k"]: r["value"] for r in decoded.collect()}
+    assert found[2] is None and found[0]["a"] == 1.0 and found[1]["b"] == "x" and found[3]["f"] == "1" and found[4]["f"] == "text"
+
+
+@pytest.mark.parametrize("text", ["{broken", "", " ", '{"i":"x"}', '{"i":1.5}'])
+def test_malformed_json(spark, text):
+    rows = spark.createDataFrame([("1", '{"i":1}'), ("2", text), ("3", None)], "key string, value string")
+    with pytest.raises(Exception, match="MALFORMED|no JSON"):
+        decode_json(rows, "i bigint").collect()
+    kept = {r["key"]: r for r in decode_json(rows, "i bigint", malformed="keep").collect()}
+    assert kept["2"]["malformed"] == text and kept["2"]["value"] is not None and kept["2"]["value"]["i"] is None
+    assert kept["3"]["value"] is None and kept["3"]["malformed"] is None
+    assert kept["1"]["value"]["i"] == 1 and kept["1"]["malformed"] is None
+
+
+def test_fields_beyond_the_listed_ones_fail(spark):
+    rows = spark.createDataFrame([('{"i":1,"j":2}',)], "value string")
+    assert decode_json(rows, "i bigint", fields={"value": ["i", "j"]}).count() == 1
+    with pytest.raises(PySparkException, match="lacks: j"):
+        decode_json(rows, "i bigint", fields={"value": ["i"]}).collect()
+
+
+def test_nested_digests_see_microseconds(spark):
+    rows = spark.sql("SELECT struct(t) AS s FROM VALUES (timestamp'2024-01-02 03:04:05.678901'), (timestamp'2024-01-02 03:04:05.678902') AS v(t)")
+    assert rows.select(digest(F.col("s"), rows.schema["s"].dataType)).distinct().count() == 2
+
+
 def test_json_keeps_microseconds(spark):
     times = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.678901' AS n, timestamp'2024-01-02 03:04:05.678901' AS t")
     encoded = encode_json(wrap(times))
@@ -222,7 +256,8 @@ def test_snapshot_edges(spark):
     rows = [((None,), (1, "x", 1.0)), ((None,), (2, "y", 2.0))]
     assert rows_of(snapshot(change_data(spark, rows))) == [(2, "y", 2.0)]
     negative = change_data(spark).withColumn("offset", F.lit(-1).cast("bigint"))
-    assert snapshot(negative).count() == 0
+    with pytest.raises(PySparkException, match="negative offset"):
+        snapshot(negative).collect()
     with pytest.raises(PySparkException, match="without an offset"):
         snapshot(change_data(spark).withColumn("offset", F.lit(None).cast("bigint"))).collect()
     with pytest.raises(ValueError, match="order_by"):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 
 from helpers import CHANGE_ROWS, LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, log_data, rows_of
 from pyspark.sql import functions as F
@@ -142,10 +143,31 @@ def test_inferred_schema_is_pinned(spark, tmp_path):
     finish(spark, flow)
     drifted = spark.createDataFrame([('{"i":7}', '{"i":7,"other":1}')], "key string, value string")
     append_topic(drifted, str(tmp_path / "topic"))
-    finish(spark, flow)
+    # A field that came later would be lost: the stream says so.
+    with pytest.raises(PySparkException, match="lacks: other"):
+        finish(spark, flow)
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(out.columns) == ["d", "i", "s"]
-    assert rows_of(out.filter("i = 7").select("i", "s", "d")) == [(7, None, None)]
+
+
+def test_checkpoint_of_a_flow(spark, tmp_path):
+    from sluiceway.plans.spec import FlowSpec
+    from sluiceway.streaming.runner import checkpoint_of
+
+    def place(source, **more):
+        spec = FlowSpec.from_dict({"source": {"files": source}, "destination": {"files": {"path": "/o"}}, "flowType": "stream", **more})
+        return checkpoint_of(spark, spec)
+
+    spark.conf.set("spark.sql.streaming.checkpointLocation", str(tmp_path))
+    try:
+        one = place({"path": "/i", "options": {"secret.key": "a", "password": "b"}})
+        assert one == place({"path": "/i", "options": {"secret.key": "x", "password": "y"}})
+        assert one != place({"path": "/other"})
+        steps = [{"name": "s", "action": "RemoveColumns", "columns": ["a"]}]
+        assert one != place({"path": "/i"}, transformation=steps)
+        assert place({"path": "/i"}, transformation=steps) != place({"path": "/i"}, transformation=[{**steps[0], "columns": ["b"]}])
+    finally:
+        spark.conf.unset("spark.sql.streaming.checkpointLocation")
 
 
 def test_inference_waits_for_data(spark, tmp_path):
