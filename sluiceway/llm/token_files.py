@@ -20,18 +20,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluiceway.llm.common import as_text, mapped
+from sluiceway.llm.pieces import Splitter
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 400_000
-MAX_PIECES = 400_000
 END_ID = 0
 
 
@@ -118,8 +117,14 @@ def read_encoding(path: str, pattern: str, end_id: int = END_ID) -> Encoding:
         return Encoding(file.read(), pattern, end_id)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself where Latin-1 prints it, else the next from 256 on."""
+    hidden = [byte for byte in range(256) if not (33 <= byte <= 126 or byte >= 161) or byte == 173]
+    return {byte: chr(byte) for byte in range(256)} | {byte: chr(256 + number) for number, byte in enumerate(hidden)}
+
+
 class PieceEncoder:
-    """Ids of whole texts; pieces that come again are not encoded again.
+    """Ids of whole texts by a byte-level tokenizer; pieces that come again are not encoded again.
 
     The tokenizer encodes the pieces that its pattern splits a text into one by one, so their ids can be kept. Texts that
     hold the string of a special token are encoded as a whole, as the tokenizer takes those out before it splits.
@@ -127,25 +132,25 @@ class PieceEncoder:
 
     def __init__(self, encoding: Encoding):
         self.tokenizer = Tokenizer.from_str(encoding.definition)
-        self.find = regex.compile(encoding.pattern).findall
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = struct.pack("<I", encoding.end_id)
-        self.known: dict[str, bytes] = {}
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.splitter = Splitter(encoding.pattern, self._piece, b"".join)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece by the tokenizer's merges; they work on a letter for each byte."""
+        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(found)}I", *(token.id for token in found))
+
+    def _ids(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids and the end id as little-endian unsigned 32-bit integers."""
         if any(mark in text for mark in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        pieces = self.find(text)
-        try:
-            return b"".join(map(self.known.__getitem__, pieces)) + self.end
-        except KeyError:
-            if len(self.known) >= MAX_PIECES:
-                self.known.clear()
-            new = [piece for piece in dict.fromkeys(pieces) if piece not in self.known]
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-            return b"".join(map(self.known.__getitem__, pieces)) + self.end
+            return self._ids(text) + self.end
+        return b"".join(self.splitter.results(text)) + self.end
 
 
 _encoders: dict[str, PieceEncoder] = {}
