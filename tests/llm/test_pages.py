@@ -1,0 +1,129 @@
+"""URL filter and language identification."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from helpers import EXTRA, prose
+
+from sluiceway.llm import language_id, url_filter
+
+
+def page_frame(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name in [*EXTRA, "host", "path", "verdict"]:
+        df = df.selectExpr("*", f"'x' AS {name}")
+    return df
+
+
+URLS = [
+    ("http://A.Example.ORG/x", "a.example.org", "/x", "org/", "allow"),
+    ("http://example.org/es/1", "example.org", "/es/1", "example.org/es/", "block"),
+    ("http://m.example.org/en/17?x=/es/", "m.example.org", "/en/17", "example.org/en/1", "block"),
+    ("http://myexample.org/es/", "myexample.org", "/es/", "org/", "allow"),
+    ("http://org/", "org", "/", "org/", "allow"),
+    ("http://org", "org", "", None, None),
+    ("https://x.com/fr/a#b", "x.com", "/fr/a", "com/fr/", "allow"),
+    ("https://x.com/de/", "x.com", "/de/", "com/de/", "block"),
+    ("https://x.com/DE/", "x.com", "/DE/", None, None),
+    ("https://x.com?a=/de/", "x.com", "", None, None),
+    ("x.com/de/", "", "", None, None),
+    ("a://b://c/d", "b:", "//c/d", None, None),
+    ("https://ÉX.net/\n/y", "Éx.net", "/\n/y", None, None),
+    ("://", "", "", None, None),
+    ("", "", "", None, None),
+    (None, "", "", None, None),
+]
+
+
+def test_rules(spark):
+    rows = [(i, url, f"<p>{prose(i, 5)}</p>") for i, (url, *_) in enumerate(URLS)]
+    found = {r["page_id"]: r for r in url_filter.judge(page_frame(spark, rows)).collect()}
+    for i, (_, host, path, rule, verdict) in enumerate(URLS):
+        row = found[i]
+        assert (row["host"], row["path"], row["rule"]) == (host, path, rule)
+        assert row["verdict"] == verdict if verdict else row["verdict"] in ("allow", "block")
+
+
+def test_viterbi_is_the_best_split():
+    counts = {"a": 5, "ab": 9, "abc": 1, "c": 3, "bc": 8, "ca": 2}
+    total = sum(counts.values())
+
+    def best(label):
+        import math
+
+        if not label:
+            return 0.0
+        return max(
+            (math.log(counts[label[:n]] / total) if label[:n] in counts else math.log(1 / total) - 2.5 * n) + best(label[n:])
+            for n in range(1, len(label) + 1)
+        )
+
+    import math
+
+    rng = random.Random(1)
+    for _ in range(200):
+        label = "".join(rng.choice("abcx") for _ in range(rng.randint(0, 7)))
+        words = url_filter.viterbi(label, counts, total)
+        score = sum(math.log(counts[w] / total) if w in counts else math.log(1 / total) - 2.5 * len(w) for w in words)
+        assert "".join(words) == label and score == pytest.approx(best(label))
+
+
+def test_method_learns_from_rules(spark):
+    rows = []
+    for i in range(40):
+        rows.append((i, f"http://river{'stone' if i % 2 else 'garden'}.com/{'de' if i % 2 else 'fr'}/{i}", "river stone garden " * 3))
+    rows += [(100, "http://stoneriver.net/de/x", None), (101, "http://gardenriver.net/fr/x", None), (101, "http://gardenriver.net/fr/x", None)]
+    found = url_filter.judge(page_frame(spark, rows))
+    verdicts = sorted((r["page_id"], r["verdict"]) for r in found.where("rule IS NULL").collect())
+    assert verdicts == [(100, "block"), (101, "allow"), (101, "allow")]
+    assert found.count() == len(rows)
+
+
+def test_without_rules_or_rows(spark):
+    assert {r["verdict"] for r in url_filter.judge(page_frame(spark, [(1, "http://a.net/", None), (2, None, None)])).collect()} == {"allow"}
+    assert url_filter.judge(page_frame(spark, [])).collect() == []
+
+
+def languages(spark):
+    rng = random.Random(3)
+    parts = {"aa": ["tha", "ther", "ing"], "bb": ["que", "eau", "oux"]}
+    text = lambda lang, n: " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(i, text(lang, 40), lang) for i, lang in enumerate(["aa", "bb"] * 20)] + [(90, None, "aa"), (91, "tha", None), (None, "que", "bb")]
+    return text, spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_languages(spark):
+    text, docs = languages(spark)
+    model = language_id.train(docs)
+    pages = [(i, f"http://{lang}{i % 3}.net/{i}", f'<html lang="{lang}-X"><script>que eau</script><p>{text(lang, 30)}') for i, lang in enumerate(["aa", "bb"] * 20)]
+    pages += [(50, "http://bb1.net/", f'<html lang="bb"><p>{text("aa", 60)}'), (51, "http://bb1.net/", None), (52, "http://aa0.net/", '<html LANG = "aa">'), (53, None, None), (54, "http://aa0.net", ""), (54, "http://aa0.net", "")]
+    found = language_id.identify(page_frame(spark, pages), model)
+    assert found.count() == len(pages)
+    by_id = {r["page_id"]: r for r in found.collect()}
+    assert all(by_id[i]["lang"] == lang and by_id[i]["text_lang"] == lang for i, lang in enumerate(["aa", "bb"] * 20))
+    assert by_id[50]["text_lang"] == "aa" and by_id[51]["lang"] == "bb" and by_id[52]["lang"] == "aa" and by_id[54]["lang"] == "aa"
+    assert by_id[0]["declared"] == "aa" and by_id[51]["declared"] == "" and by_id[52]["declared"] == "aa"
+    assert all(0.5 <= r["probability"] <= 1 for r in by_id.values())
+    assert language_id.identify(page_frame(spark, []), model).collect() == []
+
+
+def test_languages_untrained(spark):
+    _, docs = languages(spark)
+    model = language_id.train(docs.where("false"))
+    rows = language_id.identify(page_frame(spark, [(1, "http://a.net", "<html lang=de>x")]), model).collect()
+    assert [(r["lang"], r["probability"], r["declared"]) for r in rows] == [(None, None, "de")]
+
+
+def test_split_url_matches_plain(spark):
+    rng = random.Random(5)
+    urls = ["".join(rng.choice(["://", "/", "?", "#", "a", "B", ".", "É"]) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    host, path = url_filter.split_url(url_filter.F.col("url"))
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", host.alias("host"), path.alias("path"))
+    for row in df.collect():
+        rest = row["url"].partition("://")[2]
+        plain_host = re.match(r"[^/?#]*", rest).group()
+        plain_path = re.match(r"[^?#]*", rest[len(plain_host) :]).group()
+        assert (row["host"], row["path"]) == ("".join(c.lower() if "A" <= c <= "Z" else c for c in plain_host), plain_path)

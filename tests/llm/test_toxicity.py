@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+
+from helpers import frame, messy_rows, prose
+
+from sluiceway.llm import toxicity
+from sluiceway.llm.queries import held_out
+
+
+def test_automaton_against_edit_distances():
+    terms = ["stupid", "disgusting", "scum", "moron"]
+    automaton = toxicity.TermAutomaton(terms)
+
+    def distance_to_beginning(term, word):
+        rows = [[0] * (len(word) + 1) for _ in range(len(term) + 1)]
+        for i in range(len(term) + 1):
+            for j in range(len(word) + 1):
+                if not i or not j:
+                    rows[i][j] = i or j
+                else:
+                    rows[i][j] = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (term[i - 1] != word[j - 1]))
+        return min(rows[len(term)])
+
+    rng = random.Random(1)
+    words = [*terms, "stupidly", "stpid", "stupjd", "sutpid", "disgustin", "dsgstng", "scam", "scums", "moran", "xmoron", "", "s", "river"]
+    words += ["".join(rng.choice("stupidmoron") for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    for word in words:
+        best = min(((distance_to_beginning(t, word), -len(t), i) for i, t in enumerate(terms) if distance_to_beginning(t, word) <= toxicity.allowed_errors(t)), default=None)
+        assert automaton.match(word) == (best and (best[2], best[0])), word
+
+
+def corpus():
+    rng = random.Random(2)
+    rows, labels = messy_rows(), []
+    for i in range(400):
+        words = prose(10_000 + i, 60).split()
+        toxic = i % 8 == 0
+        for _ in range(4 if toxic else 0):
+            words.insert(rng.randint(0, len(words)), rng.choice(["blorgify", "blorgish", "grumphal"]))
+        rows.append((1000 + i, " ".join(words)))
+        if i % 3:
+            labels.append((1000 + i, int(toxic)))
+    return rows, labels
+
+
+def test_learned_terms_and_scores(spark):
+    rows, labels = corpus()
+    labels_frame = spark.createDataFrame([*labels, (None, 1), (1001, None), (99_999, 1), labels[0]], "doc_id long, toxic int")
+    docs = frame(spark, rows, extra=True)
+    model = toxicity.train(docs, labels_frame)
+    assert {"blor", "grum"} <= {term[:4] for term in model.terms}
+    scores = {}
+    for row in toxicity.score(docs, model).collect():
+        scores.setdefault(row["doc_id"], []).append((row["score"], row["predicted"]))
+    assert sum(map(len, scores.values())) == len(rows)
+    assert all(scores[1000 + i][0][1] == int(i % 8 == 0) for i in range(400))
+    assert scores[2] == scores[3] == scores[4] and all(0 <= s <= 1 for found in scores.values() for s, _ in found)
+    kept = toxicity.accepted(docs, model)
+    assert kept.schema == docs.schema and kept.count() == len(rows) - 50
+
+
+def test_misspelled_and_quoted():
+    model = toxicity.ToxicityModel(("grumphal",), ((5.0, 2.5),), (-4.0, 3.0, 1.0, 0.2))
+    automaton = toxicity.TermAutomaton(model.terms)
+    probability = lambda text: model.probability(model.evidence(automaton.hits(text)))
+    plain = probability("you grumphal")
+    assert probability("nothing here") < probability("you grumfhal") < plain
+    assert probability('he said "you grumphal" then') < plain
+    assert probability("GRUMPHAL " + "x " * 50 + "grumphal") < probability("grumphal grumphal")
+
+
+def test_without_labels(spark):
+    docs = frame(spark, messy_rows())
+    model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    rows = toxicity.score(docs, model).collect()
+    assert len(rows) == len(messy_rows()) and {r["predicted"] for r in rows} == {0}
+    assert toxicity.score(frame(spark, []), model).collect() == []
+
+
+def test_held_out_rows(spark):
+    import zlib
+
+    rows = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("held_out")).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
