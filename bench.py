@@ -22,6 +22,7 @@ HEADLINES = (
     "snapshot_then_transform",
     "apply_changes",
     "update_file_table",
+    "update_partitioned_table",
     "digest_md5",
     "digest_sha2_512",
     "transform_order",

@@ -92,6 +92,32 @@ def json_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrap(decode_json_inferred(events))
 
 
+@query(
+    """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_id + 0.5 ELSE event_id END::DOUBLE AS amount,
+       CASE WHEN event_id % 5 = 0 THEN event_type END AS event_type FROM events"""
+)
+def json_infer_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most rows lack a field, and a number is fractional in some."""
+    amount = F.when(F.col("event_id") % 7 == 0, F.concat("event_id", F.lit(".5"))).otherwise(F.col("event_id").cast("string"))
+    kind = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(', "event_type": "'), "event_type", F.lit('"'))).otherwise("")
+    text = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "amount": '), amount, kind, F.lit("}"))
+    rows = table(spark, sf_dir, "events").select(text.alias("value"))
+    return unwrap(decode_json_inferred(rows)).select("event_id", "amount", "event_type")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 11 > 1 THEN user_id END AS user_id,
+       CASE event_id % 11 WHEN 0 THEN '{broken' WHEN 1 THEN '' END AS malformed FROM events"""
+)
+def json_malformed_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed and empty texts are neither rows of nulls nor deletes."""
+    broken = F.when(F.col("event_id") % 11 == 0, "{broken").when(F.col("event_id") % 11 == 1, "")
+    text = F.coalesce(broken, F.concat(F.lit('{"user_id": '), "user_id", F.lit("}")))
+    rows = table(spark, sf_dir, "events").select("event_id", text.alias("value"))
+    decoded = decode_json(rows, "user_id bigint", malformed="keep")
+    return decoded.where("value IS NOT NULL").select("event_id", "value.user_id", "malformed")
+
+
 @query("SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_custkey AS key_custkey FROM customer")
 def json_infer_key_and_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")

@@ -51,6 +51,12 @@ def format_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "events", "csv", EVENTS_SCHEMA)
 
 
+@query("SELECT * FROM documents")
+def format_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks and quotes, by default options."""
+    return _stored(spark, sf_dir, "documents", "csv", "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
 @query(
     """SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer"""
 )
