@@ -13,17 +13,17 @@ import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from sluiceway.llm.common import as_text, mapped
+from sluiceway.llm.pieces import Splitter
 
-MAX_PIECES = 200_000
 MAX_PAIRS = 1_000_000
 
 
@@ -50,11 +50,12 @@ class BytePairEncoder:
         lines = (line.split() for line in vocabulary.ranks.splitlines() if line)
         self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = {rank: token for token, rank in self.ids.items()}
-        self.find = regex.compile(vocabulary.pattern).findall
+        self.splitter = Splitter(vocabulary.pattern, self.encode_piece, lambda found: tuple(chain.from_iterable(found)))
         self.automaton = ahocorasick.Automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
         self.halves: dict[int, tuple[int, int]] = {}
+        self.sizes = {rank: len(token) for rank, token in self.bytes.items()}
+        self.shorter: dict[int, int | None] = {}  # of each token the longest one that begins it
         self._learn_merges()
 
     def _learn_merges(self) -> None:
@@ -63,6 +64,7 @@ class BytePairEncoder:
         Tokens are taken in the order of their ranks, so everything that can precede a merge is known. A token
         that the merges never reach is left out of the automaton; it is only used for a piece that equals it.
         """
+        usable: set[bytes] = set()
         for rank in sorted(self.bytes):
             token = self.bytes[rank]
             if len(token) > 1:
@@ -71,7 +73,11 @@ class BytePairEncoder:
                     continue
                 self.halves[rank] = (parts[0], parts[1])
             self.automaton.add_word(token.decode("latin-1"), rank)
+            usable.add(token)
         self.automaton.make_automaton()
+        for token in usable:
+            beginnings = (token[:n] for n in range(len(token) - 1, 0, -1))
+            self.shorter[self.ids[token]] = next((self.ids[x] for x in beginnings if x in usable), None)
 
     def _split_before(self, token: bytes, limit: int) -> list[int]:
         """The token's bytes after all merges with a rank below `limit`."""
@@ -111,54 +117,40 @@ class BytePairEncoder:
         return verdict
 
     def _cover(self, piece: bytes) -> tuple[int, ...]:
-        n = len(piece)
-        starting: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        n, sizes, shorter, compatible = len(piece), self.sizes, self.shorter, self.compatible
+        longest: list[int | None] = [None] * n
         for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            starting[end + 1 - len(self.bytes[rank])].append((end + 1, rank))
-        # Matches come by rising end: the last one of a start is its longest.
+            longest[end + 1 - sizes[rank]] = rank  # matches come by rising end: the last of a start stays
         path: list[int] = []
-        ends = [0]
-        choice = [len(starting[0]) - 1]
         dead: set[int] = set()
-        while ends[-1] < n:
-            at, options, number = ends[-1], starting[ends[-1]], choice[-1]
-            while number >= 0:
-                end, rank = options[number]
-                if end not in dead and (not path or self.compatible(path[-1], rank)):
+        at, token = 0, longest[0]
+        while True:
+            while token is not None:
+                if at + sizes[token] not in dead and (not path or compatible(path[-1], token)):
                     break
-                number -= 1
-            if number < 0:
-                # No token goes on from here: not with this left neighbour, which leads nowhere then.
+                token = shorter[token]
+            if token is None:
+                # Nothing goes on from here, so no sequence of tokens ends here.
                 if not path:
                     raise ValueError("a byte is missing from the vocabulary")
                 dead.add(at)
-                path.pop()
-                ends.pop()
-                choice.pop()
-                choice[-1] -= 1
+                token = path.pop()
+                at -= sizes[token]
+                token = shorter[token]
                 continue
-            choice[-1] = number
-            path.append(rank)
-            ends.append(end)
-            choice.append(len(starting[end]) - 1 if end < n else -1)
-        return tuple(path)
+            path.append(token)
+            at += sizes[token]
+            if at == n:
+                return tuple(path)
+            token = longest[at]
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        known = self.pieces.get(piece)
-        if known is None:
-            if len(self.pieces) >= MAX_PIECES:
-                self.pieces.clear()
-            raw = piece.encode()
-            whole = self.ids.get(raw)
-            known = self.pieces[piece] = (whole,) if whole is not None else self._cover(raw)
-        return known
+        raw = piece.encode()
+        whole = self.ids.get(raw)
+        return (whole,) if whole is not None else self._cover(raw)
 
     def encode(self, text: str) -> list[int]:
-        found: list[int] = []
-        known, add = self.pieces.get, found.extend
-        for piece in self.find(text):
-            add(known(piece) or self.encode_piece(piece))
-        return found
+        return list(chain.from_iterable(self.splitter.results(text)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
