@@ -270,7 +270,8 @@ class Repeats:
         )
         # Counts first: a frequent anchor is one row per task from here on.
         anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"), F.min("content").alias("low"), F.max("content").alias("high"))
-        anchors = anchors.where("total > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike"))
+        # Written first, so that the join has a shuffle of its own on either side and Spark can split hot anchors.
+        anchors = staged(anchors.where("total > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike")), "anchors")
         repeated = staged(pieces.join(anchors, "anchor"), "repeated")
         whole = repeated.where("alike").select("key", "check", "start", (F.col("start") + F.col("length")).alias("end"))
         several = repeated.where("NOT alike")
