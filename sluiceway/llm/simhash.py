@@ -260,7 +260,7 @@ def _split_crowded(max_bucket: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         yield passed.pop()
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
     """Ids, texts and a hash of the text; a null text counts as an empty one."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
@@ -268,7 +268,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _groups(docs: DataFrame, max_bucket: int, max_local: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints `(doc_id, text_key, bits)` of all rows; `(bits, least, group)`, `least` being the first id and text key."""
-    prints = staged(mapped(_keyed(docs), _fingerprints, "doc_id long, text_key long, bits long"), "fingerprints")
+    prints = staged(mapped(keyed(docs), _fingerprints, "doc_id long, text_key long, bits long"), "fingerprints")
     # Nulls come last.
     ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     distinct = staged(prints.groupBy("bits").agg(F.min(ordered).alias("least")), "distinct")
@@ -298,7 +298,11 @@ def near_duplicates(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: in
 def representatives(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: int = MAX_LOCAL) -> DataFrame:
     """One row of each group of near copies, with all its columns: that with the smallest doc_id, of these the one with the
     smallest hash of its text. Of rows that agree in both any one stays."""
-    _, named = _groups(docs, max_bucket, max_local)
+    return first_rows(docs, _groups(docs, max_bucket, max_local)[1])
+
+
+def first_rows(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of `docs` that are the least of a group in `named (least, group)`, one of each."""
     first = named.groupBy("group").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("doc_id"), F.col("least.text_key").alias("text_key"))
     rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
     keyed = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("text_key"))
