@@ -41,10 +41,16 @@ def tokens(text: str | None) -> list[str]:
     return TOKENS.findall(text.lower()) if text else []
 
 
+def has_answer(text: str) -> bool:
+    """Whether words stand on both sides of the last question mark."""
+    head, mark, tail = text.rpartition("?")
+    return bool(mark and tokens(head) and tokens(tail))
+
+
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     """What stands up to the last question mark, and the rest; without one, the last quarter is the answer."""
-    head, mark, tail = text.rpartition("?")
-    if mark and tokens(head) and tokens(tail):
+    if has_answer(text):
+        head, _, tail = text.rpartition("?")
         return tokens(head), tokens(tail)
     found = tokens(text)
     cut = len(found) - max(1, len(found) // 4) if len(found) > 1 else len(found)
@@ -236,8 +242,14 @@ def _index_of(shard: Shard) -> Index:
     return _built[shard.name]
 
 
-def found_items(index: Index, text: str | None, threshold: float) -> list[tuple[int | None, float, float, float]]:
-    """`(item_id, score, question overlap, answer overlap)` of the items that a text may hold."""
+def evidence(text: str, overlaps: tuple[float, float], document: dict[int, set]) -> float:
+    """The lower overlap of question and answer; of an item without a marked answer the overlap of the whole, if that is
+    higher, as few changed words break all triples of a short invented answer."""
+    return min(overlaps) if has_answer(text) else max(min(overlaps), overlap(tokens(text), document))
+
+
+def found_items(index: Index, text: str | None, threshold: float) -> list[tuple[int | None, float, float, float, float]]:
+    """`(item_id, score, question overlap, answer overlap, evidence)` of the items that a text may hold."""
     found = tokens(text)
     if not found:
         return []
@@ -251,8 +263,11 @@ def found_items(index: Index, text: str | None, threshold: float) -> list[tuple[
     if not items:
         return []
     document = {size: set(zip(*(found[i:] for i in range(size)), strict=False)) for size in range(1, GRAM + 1)}
-    split = {item: question_and_answer(item[1]) for item in items}
-    return [(item[0], score, *(overlap(part, document) for part in split[item])) for item, score in items.items()]
+    out = []
+    for (item_id, item), score in items.items():
+        question, answer = (overlap(part, document) for part in question_and_answer(item))
+        out.append((item_id, score, question, answer, evidence(item, (question, answer), document)))
+    return out
 
 
 def _search(shard: Shard, min_overlap: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +276,7 @@ def _search(shard: Shard, min_overlap: float, batches: Iterator[pa.RecordBatch])
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            rows += [(doc_id, *found) for found in found_items(index, text.as_py(), shard.threshold) if min(found[2:]) >= min_overlap]
+            rows += [(doc_id, *found[:-1]) for found in found_items(index, text.as_py(), shard.threshold) if found[-1] >= min_overlap]
         columns = list(zip(*rows, strict=True)) or [()] * 5
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names)
@@ -271,7 +286,7 @@ def _clean(shard: Shard, min_overlap: float, batches: Iterator[pa.RecordBatch])
     index = _index_of(shard)
     for batch in batches:
         held = (found_items(index, text.as_py(), shard.threshold) for text in batch.column("text"))
-        yield batch.filter(pa.array([not any(min(found[2:]) >= min_overlap for found in items) for items in held], pa.bool_()))
+        yield batch.filter(pa.array([not any(found[-1] >= min_overlap for found in items) for items in held], pa.bool_()))
 
 
 def shards_of(items: DataFrame, threshold: float) -> list[Shard]:
@@ -290,7 +305,8 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, min
     """`(doc_id, item_id, score, question_overlap, answer_overlap)`: benchmark items that a document contains.
 
     `score` is the best BM25 score of a passage against a part of the item, 1 being that of the part itself; retrieved
-    are all at or above `threshold`, verified those with `min_overlap` of the word triples of question and answer. The
+    are all at or above `threshold`, verified those with `min_overlap` of the word triples of question and answer, or, if
+    the item has no marked answer, of the whole item. The
     index is broadcast in shards of bounded size, one after the other, whatever the size of the benchmark; each shard is a
     pass over the documents. Null and empty texts and items match nothing. Equal items of one id count once, repeated
     documents come out each; other columns are not looked at.

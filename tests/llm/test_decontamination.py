@@ -90,3 +90,28 @@ def test_question_and_answer():
     assert D.question_and_answer("What is it? A river") == (["what", "is", "it"], ["a", "river"])
     assert D.question_and_answer("a b c d e f g h") == (list("abcdef"), list("gh"))
     assert D.question_and_answer("a") == (["a"], [])
+
+
+def test_changed_words_in_items_without_a_marked_answer(spark):
+    """Copies with one word or two changed, at every position, against the triples of the whole item."""
+    items = [(i, prose(500 + i, n)) for i, n in enumerate([15, 16, 22, 38, 59])]
+    docs, expected = [], set()
+    for item_id, text in items:
+        words = text.split()
+        triples = {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+        for at in range(len(words)):
+            for others in [(), (at + 1,), (len(words) - 1 - at,)]:
+                copy = ["changed" if i in (at, *others) else word for i, word in enumerate(words)]
+                docs.append((len(docs), f"{prose(700, 30)} {' '.join(copy)} {prose(701, 30)}"))
+                if 10 * len(triples & {tuple(copy[i : i + 3]) for i in range(len(copy) - 2)}) >= 6 * len(triples):
+                    expected.add((docs[-1][0], item_id))
+                assert others or (docs[-1][0], item_id) in expected
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert expected <= {(r["doc_id"], r["item_id"]) for r in D.matches(frame(spark, docs), benchmark).collect()}
+    assert {r["doc_id"] for r in D.clean(frame(spark, docs), benchmark).collect()}.isdisjoint(doc for doc, _ in expected)
+
+
+def test_a_marked_answer_has_to_be_there(spark):
+    benchmark = spark.createDataFrame([(1, prose(900, 30) + "? " + prose(901, 6)), (2, prose(902, 30) + "?")], "item_id long, text string")
+    docs = [(1, prose(900, 30)), (2, prose(902, 30)), (3, prose(900, 30) + " " + prose(901, 6))]
+    assert {(r["doc_id"], r["item_id"]) for r in D.matches(frame(spark, docs), benchmark).collect()} == {(2, 2), (3, 1)}
