@@ -73,7 +73,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id")).select("doc_id", "slot", "shard")
 
 
-# The table is filled claim by claim; a list holds the shard of each slot, -1 while it is free.
+# The table is filled claim by claim: a shard takes the first slot of its order that is still free (-1 in the list).
 ORACLES["op10_shards"] = f"""
 WITH RECURSIVE shards AS (
     SELECT list(offs ORDER BY n) AS offs, list(step ORDER BY n) AS step FROM (
@@ -83,12 +83,13 @@ WITH RECURSIVE shards AS (
 ), filled AS (
     SELECT 0 AS claim, list_transform(range({sharding.TABLE_SIZE}), lambda x: -1) AS slots, offs, step FROM shards
     UNION ALL
-    SELECT claim + 1, list_transform(slots, lambda x, i: CASE WHEN i = 1 + (
-            offs[claim % {len(sharding.SHARDS)} + 1] + step[claim % {len(sharding.SHARDS)} + 1] * list_filter(
-                range({sharding.TABLE_SIZE}), lambda j: slots[1 + (offs[claim % {len(sharding.SHARDS)} + 1]
-                    + j * step[claim % {len(sharding.SHARDS)} + 1]) % {sharding.TABLE_SIZE}] = -1)[1]
-        ) % {sharding.TABLE_SIZE} THEN claim % {len(sharding.SHARDS)} ELSE x END), offs, step
-    FROM filled WHERE claim < {sharding.TABLE_SIZE}
+    SELECT claim + 1, slots[:claimed] || [claim % {len(sharding.SHARDS)}] || slots[claimed + 2:], offs, step
+    FROM (
+        SELECT *, list_filter(
+                list_transform(range({sharding.TABLE_SIZE}), lambda j: (first + j * stride) % {sharding.TABLE_SIZE}),
+                lambda slot: slots[slot + 1] = -1)[1] AS claimed
+        FROM (SELECT *, offs[claim % {len(sharding.SHARDS)} + 1] AS first, step[claim % {len(sharding.SHARDS)} + 1] AS stride
+              FROM filled WHERE claim < {sharding.TABLE_SIZE}))
 ), lookup AS (
     SELECT unnest(range({sharding.TABLE_SIZE})) AS slot, unnest(slots) AS number FROM filled WHERE claim = {sharding.TABLE_SIZE}
 )

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import frame, messy_rows, prose
+from corpus_helpers import frame, messy_rows, prose
 
 from sluiceway.llm import decontamination as D
 

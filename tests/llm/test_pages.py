@@ -6,7 +6,7 @@ import random
 import re
 
 import pytest
-from helpers import EXTRA, prose
+from corpus_helpers import EXTRA, prose
 
 from sluiceway.llm import language_id, url_filter
 

@@ -7,7 +7,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from helpers import messy_rows
+from corpus_helpers import messy_rows
 
 import corpus_pipeline
 from sluiceway.llm import decontamination, simhash, substrings

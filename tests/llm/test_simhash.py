@@ -5,7 +5,7 @@ import itertools
 import numpy as np
 import pytest
 import xxhash
-from helpers import frame, messy_rows, prose
+from corpus_helpers import frame, messy_rows, prose
 
 from sluiceway.llm import simhash
 from sluiceway.llm.components import components

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import frame, messy_rows, prose
+from corpus_helpers import frame, messy_rows, prose
 
 import corpus_pipeline
 from sluiceway.llm import similar

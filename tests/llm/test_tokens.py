@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from helpers import frame, messy_rows
+from corpus_helpers import frame, messy_rows
 from tokenizers import Tokenizer
 
 from sluiceway.llm import byte_bpe, token_files

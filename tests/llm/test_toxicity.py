@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from helpers import frame, messy_rows, prose
+from corpus_helpers import frame, messy_rows, prose
 
 from sluiceway.llm import toxicity
 from sluiceway.llm.queries import held_out
