@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, language_id, mtree, sharding, simhash, substrings, token_files, toxicity, url_filter
+from sluiceway.llm import byte_bpe, decontamination, language_id, mtree, sharding, simhash, spelling, substrings, token_files, toxicity, url_filter
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -123,3 +123,54 @@ WHERE rank <= 5
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "pages"), language_id.train(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 byte by byte with its table of 256 entries; all letters have one or two bytes. Of words one edit
+# apart both lack the same letter, or one of them is the other without a letter.
+ORACLES["op13_spelling_variants"] = """
+WITH RECURSIVE steps AS (
+    SELECT 0 AS step, i, i AS c FROM range(256) AS t(i)
+    UNION ALL
+    SELECT step + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE step < 8
+), crc AS (
+    SELECT list(c ORDER BY i) AS entries FROM steps WHERE step = 8
+), runs AS (
+    SELECT id, run, count(*) AS times FROM (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id,
+            unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents)
+    GROUP BY id, run
+), checked AS (
+    SELECT run, times, xor(list_reduce(
+        flatten(list_transform(string_split(id || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+            ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+    FROM runs, crc
+), slipped AS (
+    SELECT times, CASE WHEN h % 199 = 0 THEN run[:CAST(h % length(run) AS INTEGER)] || run[CAST(h % length(run) AS INTEGER) + 2:] ELSE run END AS word
+    FROM checked
+), words AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), parts AS (
+    SELECT word, n, i, word[:i] || word[i + 2:] AS part FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM parts a JOIN parts b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM parts a JOIN words b ON a.part = b.word
+    UNION SELECT b.word, a.word, a.n FROM parts a JOIN words b ON a.part = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM near GROUP BY word
+), judged AS (
+    SELECT w.word, CASE WHEN form_n >= 5 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), chains AS (
+    SELECT word, word AS root, form AS next FROM judged
+    UNION ALL
+    SELECT c.word, j.word, j.form FROM chains c JOIN judged j ON c.next = j.word
+)
+SELECT j.word, form, root, n, n_near, form_n FROM judged j JOIN chains c ON j.word = c.word AND c.next IS NULL
+"""

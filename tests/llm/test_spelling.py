@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from corpus_helpers import frame, messy_rows
+
+from sluiceway.llm import spelling
+
+
+def plain_words(rows, slip=199):
+    """Occurrences of each word, letter by letter."""
+    n = Counter()
+    for doc_id, text in rows:
+        run = ""
+        for c in (text or "") + " ":
+            if "a" <= c <= "z" or "A" <= c <= "Z" or "À" <= c <= "ÿ":
+                run += chr(ord(c) + 32) if "A" <= c <= "Z" else c
+            elif run:
+                h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+                if slip and h % slip == 0:
+                    run = run[: h % len(run)] + run[h % len(run) + 1 :]
+                n[run] += 1
+                run = ""
+    return n
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def plain_variants(n, factor=5):
+    out, forms = [], {}
+    near = {w: [v for v in n if v != w and abs(len(v) - len(w)) < 2 and distance(v, w) == 1] for w in n}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        forms[w] = best if best is not None and n[best] >= factor * n[w] else None
+    for w in n:
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((w, forms[w], root, n[w], len(near[w]), n[forms[w]] if forms[w] is not None else None))
+    return sorted(out)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
+
+
+def words_frame(spark, n):
+    return spark.createDataFrame(list(n.items()), "word string, n long")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_variants_against_all_pairs(spark, seed):
+    """Short and long words over few letters: every place and kind of edit, many ties."""
+    rng, n = random.Random(seed), {}
+    for length in [1, 2, 2, 3, 3, 4, 5, 6, 7, 8, 9, 12] * 6:
+        word = "".join(rng.choice("aabé") for _ in range(length))
+        n[word] = rng.choice([1, 1, 5, 25, 25, 125])
+        for _ in range(3):
+            at = rng.randrange(len(word) + 1)
+            other = rng.choice([word[:at] + word[at + 1 :], word[:at] + rng.choice("abé") + word[at:], word[:at] + rng.choice("abé") + word[at + 1 :]])
+            if other:
+                n.setdefault(other, rng.choice([1, 1, 5, 25]))
+    assert rows_of(spelling.variants(words_frame(spark, n))) == plain_variants(n)
+
+
+def test_long_chains_end_at_their_last_form(spark):
+    n = {"letter" + "x" * i: 5**i for i in range(12)}
+    found = rows_of(spelling.variants(words_frame(spark, n)))
+    assert found == plain_variants(n) and {r[2] for r in found} == {"letter" + "x" * 11}
+
+
+def test_words_of_texts(spark):
+    rows = messy_rows() + [(i, f"Gartenweg GARTENWEG gärtenweg{i} gartenwegs, ÀÿÉ×÷letters") for i in range(400)]
+    for slip in (199, 3, None):
+        want = {w: times for w, times in plain_words(rows, slip).items() if len(w) >= 6 and times >= 5}
+        got = {r["word"]: r["n"] for r in spelling.counted(spelling.occurrences(frame(spark, rows, extra=True), slip)).collect()}
+        assert got == want
+
+
+def test_whole_operator(spark):
+    rows = [(i, " ".join(["morning"] * 30 + ["mornings", "morninq", "evening"] * (i % 3))) for i in range(60)] + messy_rows()
+    n = {w: times for w, times in plain_words(rows).items() if len(w) >= 6 and times >= 5}
+    assert rows_of(spelling.grouped(frame(spark, rows, extra=True))) == plain_variants(n)
+
+
+def test_no_rows_and_nulls(spark):
+    assert spelling.grouped(frame(spark, [])).collect() == []
+    assert spelling.grouped(frame(spark, [(None, None), (1, ""), (2, " ")])).collect() == []
+    assert rows_of(spelling.variants(spark.createDataFrame([(None, 4), ("", 3), ("a", 1)], "word string, n long"))) == [("", None, "", 3, 0, None), ("a", None, "a", 1, 0, None)]
+
+
+def test_only_near_pairs_are_rows(spark):
+    """2,000 words with one beginning: pairs that are not near never leave the join."""
+    words = {f"letterpress{a}{b}{c}": 5 for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcdefghijklmn"}
+    pairs = spelling.near_pairs(words_frame(spark, words))
+    assert pairs.count() >= pairs.distinct().count() and pairs.where("levenshtein(a, b) <> 1").count() == 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "InArrow" not in plan
