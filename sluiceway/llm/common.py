@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -34,9 +36,37 @@ def mapped(df: DataFrame, function, schema: StructType | str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+_paths: ContextVar[list[str] | None] = ContextVar("paths", default=None)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared scratch folder and read from there: later steps do not depend on executors."""
-    return storage.staged(df, storage.scratch_dir(df.sparkSession, label))
+    path = storage.scratch_dir(df.sparkSession, label)
+    if (paths := _paths.get()) is not None:
+        paths.append(path)
+    return storage.staged(df, path)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator:
+    """What is staged within is deleted at the end; `keep`, which the block is given, stages what is to stay, for as long as
+    a block around this one lasts."""
+    paths: list[str] = []
+    token = _paths.set(paths)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        inner = _paths.set(token.old_value if token.old_value is not token.MISSING else None)
+        try:
+            return staged(df, label)
+        finally:
+            _paths.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _paths.reset(token)
+        for path in paths:
+            storage.release(spark, path)
 
 
 def words(text: bytes | None) -> list[bytes]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import staged
+from sluiceway.llm.common import intermediate, staged
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -37,14 +37,17 @@ def components(links: DataFrame) -> DataFrame:
     Alternating large and small stars until nothing changes. Every round is written to shared scratch, so
     lineage stays short. A null on either side and loops are no links; repeated links count once.
     """
+    spark = links.sparkSession
     ordered = links.where("low <> high").select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
-    links = staged(ordered.distinct(), "links")
-    state = _state(links)
-    while True:
-        links = staged(_stars(_stars(links, large=True), large=False), "links")
-        after = _state(links)
-        if after == state:
-            break
-        state = after
-    roots = links.select(F.col("high").alias("node"), F.col("low").alias("component"))
-    return roots.union(links.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
+    with intermediate(spark) as keep:
+        links = staged(ordered.distinct(), "links")
+        state = _state(links)
+        while True:
+            with intermediate(spark) as keep_round:
+                links = keep_round(_stars(staged(_stars(links, large=True), "links"), large=False), "links")
+            after = _state(links)
+            if after == state:
+                break
+            state = after
+        roots = links.select(F.col("high").alias("node"), F.col("low").alias("component"))
+        return keep(roots.union(links.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()), "components")

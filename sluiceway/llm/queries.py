@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, language_id, mtree, sharding, simhash, spelling, substrings, token_files, toxicity, url_filter
+from sluiceway.llm import byte_bpe, decontamination, language_id, lsh_forest, mtree, sharding, simhash, spelling, substrings, token_files, toxicity, url_filter
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -174,3 +174,39 @@ WITH RECURSIVE steps AS (
 )
 SELECT j.word, form, root, n, n_near, form_n FROM judged j JOIN chains c ON j.word = c.word AND c.next IS NULL
 """
+
+
+@query
+def op12_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_copies(table(spark, sf_dir, "documents"))
+
+
+# All pairs of distinct sets with a common shingle.
+ORACLES["op12_minhash_forest"] = """
+WITH RECURSIVE parts AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 3 THEN list_sort(list_distinct(list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+    FROM parts
+), nodes AS (
+    SELECT s, min(doc_id) AS node FROM sets WHERE len(s) > 0 GROUP BY s
+), items AS (
+    SELECT node, len(s) AS n, unnest(s) AS x FROM nodes
+), links AS (
+    SELECT a.node AS a, b.node AS b FROM items a JOIN items b ON a.x = b.x AND a.node < b.node
+    GROUP BY a.node, b.node, a.n, b.n HAVING 185 * count(*) >= 85 * (a.n + b.n)
+), steps AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links UNION ALL SELECT node, node FROM nodes
+), reached AS (
+    SELECT node AS a, node AS b FROM nodes
+    UNION
+    SELECT r.a, s.b FROM reached r JOIN steps s ON r.b = s.a
+), named AS (
+    SELECT a AS node, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM sets d LEFT JOIN nodes ON len(d.s) > 0 AND d.s = nodes.s LEFT JOIN named c ON c.node = nodes.node
+"""

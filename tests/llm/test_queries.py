@@ -36,10 +36,10 @@ def test_query(spark, name):
         connection.close()
 
 
-def test_ten_operators_and_the_pipeline():
+def test_all_operators_and_the_pipeline():
     from __spark_entry__ import queries
 
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert queries()["pipeline"] is corpus_pipeline.run
 
 
