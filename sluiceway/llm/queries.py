@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, language_id, lsh_forest, mtree, sharding, simhash, spelling, substrings, token_files, toxicity, url_filter
+from sluiceway.llm import byte_bpe, decontamination, language_id, lsh_forest, mtree, sharding, simhash, spelling, substrings, token_files, toxicity, url_filter, whitening
 from sluiceway.llm.common import table
 from sluiceway.sources import storage
 
@@ -210,3 +210,9 @@ WITH RECURSIVE parts AS (
 SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
 FROM sets d LEFT JOIN nodes ON len(d.s) > 0 AND d.s = nodes.s LEFT JOIN named c ON c.node = nodes.node
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").cast("long"))
