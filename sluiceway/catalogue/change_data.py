@@ -31,8 +31,9 @@ from sluiceway.operators import (
     wrap,
 )
 from sluiceway.sources import storage
+from sluiceway.sources.formats import find_format
 from sluiceway.sources.tables import read_table, update_table
-from sluiceway.sources.topic import append_topic, read_topic
+from sluiceway.sources.changelog import append_log, read_log
 
 ORDERS_SCHEMA = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -270,6 +271,61 @@ def update_file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+PRIORITY_CHANGES_SQL = """
+    WITH latest AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 2, o_orderkey DESC) AS n FROM orders) WHERE n = 1)
+    SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM latest)
+    UNION ALL
+    SELECT o_custkey, o_orderpriority, (o_orderkey % 25)::INTEGER, o_totalprice, o_orderstatus FROM latest WHERE o_orderstatus <> 'F'
+"""
+
+
+def _priority_changes(spark: SparkSession, sf_dir: str, parity: int) -> DataFrame:
+    """Whole rows of customers, from the orders with odd or even numbers."""
+    value = F.struct(
+        F.col("o_custkey").alias("c_custkey"),
+        F.col("o_orderpriority").alias("c_name"),
+        (F.col("o_orderkey") % 25).cast("int").alias("c_nationkey"),
+        F.col("o_totalprice").alias("c_acctbal"),
+        F.col("o_orderstatus").alias("c_mktsegment"),
+    )
+    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == parity).select(
+        F.struct(value["c_custkey"].alias("c_custkey")).alias("key"),
+        F.when(F.col("o_orderstatus") != "F", value).alias("value"),
+        F.col("o_orderkey").alias("offset"),
+    )
+
+
+@query(PRIORITY_CHANGES_SQL)
+def update_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two change sets applied to a table in buckets of its key; even orders come last."""
+    path = storage.scratch_dir(spark, "customers-in-buckets")
+    table(spark, sf_dir, "customer").write.parquet(path)
+    for parity in (1, 0):
+        update_table(_priority_changes(spark, sf_dir, parity), path, buckets=8)
+    return read_table(spark, path)
+
+
+@query(
+    """SELECT printf('%08d', p_partkey) AS code, p_name,
+       CASE WHEN p_size % 3 = 0 THEN printf('%03d', p_size) ELSE p_brand END AS p_brand, p_type,
+       CASE WHEN p_size % 3 = 0 THEN '1e' || p_size ELSE printf('%04d', p_size) END AS size
+       FROM part WHERE p_size % 3 <> 1"""
+)
+def update_csv_keeps_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that look like numbers, in a CSV table of which an update rewrites all rows."""
+    path, fmt = storage.scratch_dir(spark, "parts"), find_format("csv")
+    part = table(spark, sf_dir, "part")
+    code, size = F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("code"), F.col("p_size").cast("string")
+    fmt.write(part.select(code, "p_name", "p_brand", "p_type", F.lpad(size, 4, "0").alias("size")), path)
+    value = F.struct(code, "p_name", F.lpad(size, 3, "0").alias("p_brand"), "p_type", F.concat(F.lit("1e"), size).alias("size"))
+    changes = part.where("p_size % 3 < 2").select(
+        F.struct(code).alias("key"), F.when(F.col("p_size") % 3 == 0, value).alias("value"), F.col("p_partkey").cast("long").alias("offset")
+    )
+    update_table(changes, path, fmt)
+    return read_table(spark, path, fmt, "code string, p_name string, p_brand string, p_type string, size string")
+
+
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
 
 
@@ -305,8 +361,8 @@ def topic_append_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("partition", F.col("user_id") % TOPIC_PARTITIONS)
     rows = events.select(F.col("event_id").cast("string").alias("value"), "partition", "event_id")
     path = storage.scratch_dir(spark, "topic")
-    append_topic(rows, path, TOPIC_PARTITIONS, "event_id")
-    stored = read_topic(spark, path)
+    append_log(rows, path, TOPIC_PARTITIONS, "event_id")
+    stored = read_log(spark, path)
     return stored.select(F.col("value").cast("string").cast("bigint").alias("event_id"), "partition", "offset")
 
 
@@ -316,9 +372,10 @@ def topic_append_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def topic_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions by key: no key is split, and offsets run on without a gap."""
-    path = topic_of_changes(spark, sf_dir)
-    append_topic(encode_json(change_log(spark, sf_dir), keep=["offset"]), path, order_by="offset")
-    per_key = read_topic(spark, path).groupBy("key").agg(
+    path = storage.scratch_dir(spark, "topic")
+    for partitions in (TOPIC_PARTITIONS, None):
+        append_log(encode_json(change_log(spark, sf_dir), keep=["offset"]), path, partitions, "offset", number=True)
+    per_key = read_log(spark, path).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("partition").alias("first"),
         F.max("partition").alias("last"),
@@ -330,7 +387,7 @@ def topic_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("missing_offsets"),
         F.lit(0).alias("repeated_offsets"),
     )
-    offsets = read_topic(spark, path).groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("n"))
+    offsets = read_log(spark, path).groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("n"))
     per_partition = offsets.groupBy("partition").agg(
         (F.max("offset") + 1 - F.count(F.lit(1))).alias("missing"), F.sum(F.col("n") - 1).alias("repeated")
     )
@@ -347,6 +404,6 @@ def topic_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SNAPSHOT_SQL)
 def topic_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through a topic table and its own offsets."""
-    rows = read_topic(spark, topic_of_changes(spark, sf_dir))
+    """Through a change log in files and its offsets."""
+    rows = read_log(spark, topic_of_changes(spark, sf_dir))
     return snapshot(decode_json(rows, VALUE_SCHEMA, KEY_SCHEMA))

@@ -12,16 +12,18 @@ from sluiceway.catalogue.tables import (
     KEY_SCHEMA,
     SNAPSHOT_SQL,
     VALUE_SCHEMA,
+    change_log,
     directory_of,
     drain,
     table,
     topic_of_changes,
 )
-from sluiceway.operators import decode_json, snapshot, unwrap
+from sluiceway.operators import decode_json, encode_json, snapshot, unwrap
 from sluiceway.sources import storage
+from sluiceway.sources.changelog import append_log, read_log
 from sluiceway.sources.formats import APPEND, FileFormat, find_format, register_format, unregister_format
+from sluiceway.sources.stores import FileStore
 from sluiceway.sources.tables import read_table
-from sluiceway.sources.topic import read_topic
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, fmt: str, schema: str | None = None) -> DataFrame:
@@ -83,10 +85,10 @@ def format_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
         unregister_format("packed")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem")
+@query("SELECT * FROM lineitem")
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.scratch_dir(spark, "partitioned")
-    names = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"]
+    names = table(spark, sf_dir, "lineitem").columns
     flow = {
         "source": {"local": {"path": f"{sf_dir}/lineitem.parquet", "dataFormat": "parquet"}},
         "destination": {
@@ -160,7 +162,7 @@ def flow_table_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
             "destination": {"topic": {"path": path}},
         },
     )
-    return unwrap(decode_json(read_topic(spark, path), ORDERS_SCHEMA))
+    return unwrap(decode_json(read_log(spark, path), ORDERS_SCHEMA))
 
 
 @query(SNAPSHOT_SQL)
@@ -326,14 +328,16 @@ def stream_change_to_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     schema = "user_id string, event_type string, value double"
-    return snapshot(decode_json(read_topic(spark, path), schema, "user_id string"))
+    return snapshot(decode_json(read_log(spark, path), schema, "user_id string"))
 
 
 @query(
-    """SELECT user_id AS key_user_id, event_type IS DISTINCT FROM 'error' AS alive, 0 AS "timestampType" FROM events"""
+    """SELECT user_id AS key_user_id, CASE WHEN event_type <> 'error' THEN user_id END AS user_id,
+       CASE WHEN event_type <> 'error' THEN event_type END AS event_type, CASE WHEN event_type <> 'error' THEN value END AS value,
+       event_type <> 'error' AS alive, event_id AS "offset", 0 AS "timestampType" FROM events"""
 )
 def stream_log_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A topic read as log data keeps its whole envelope."""
+    """A log read as log data keeps its whole envelope."""
     path = storage.scratch_dir(spark, "envelope")
     drain(
         spark,
@@ -346,7 +350,7 @@ def stream_log_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = find_format("parquet").read(spark, path)
     return rows.select(
-        F.col("key.user_id").alias("key_user_id"), F.col("value").isNotNull().alias("alive"), "timestampType"
+        F.col("key.user_id").alias("key_user_id"), "value.*", F.col("value").isNotNull().alias("alive"), "offset", "timestampType"
     )
 
 
@@ -366,3 +370,57 @@ def stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     return read_table(spark, path)
+
+
+@query(SNAPSHOT_SQL)
+def stream_update_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that grows by three appends, each one micro-batch into a table in buckets."""
+    path, log, checkpoint = (storage.scratch_dir(spark, x) for x in ("stream-buckets", "log", "checkpoint"))
+    rows = encode_json(change_log(spark, sf_dir), keep=["offset"])
+    flow = {
+        "source": {"changelog": {"path": log, "valueSchema": VALUE_SCHEMA, "keySchema": KEY_SCHEMA}},
+        "destination": {"local": {"path": path, "dataFormat": "parquet", "buckets": 4}},
+        "readDataType": "cdc",
+        "writeDataType": "log",
+        "writeOperation": "update",
+    }
+    most = rows.agg(F.max("offset")).first()[0] or 0
+    for third in range(3):
+        append_log(rows.where(F.floor(F.col("offset") * 3 / (most + 1)) == third), log)
+        drain(spark, flow, checkpoint)
+    return read_table(spark, path)
+
+
+@query("SELECT * FROM orders")
+def stream_per_batch_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches as static data into files; each is written a second time, as after a failure, and counts once."""
+    path = storage.scratch_dir(spark, "per-batch")
+    target = FileStore(path, "parquet", partition_by=["o_orderstatus"])
+
+    class Twice(FileStore):
+        def write(self, df, operation, data_type="log", tag=None):
+            target.write(df, operation, data_type, tag)
+            return target.write(df, operation, data_type, tag)
+
+    drain(spark, {"source": {"local": directory_of(spark, sf_dir, "orders")}, "destination": Twice(path, "parquet"), "perBatch": True})
+    return find_format("parquet").read(spark, path, table(spark, sf_dir, "orders").schema).select(*table(spark, sf_dir, "orders").columns)
+
+
+@query("SELECT * FROM events")
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run twice with one checkpoint and an interval trigger: the second run adds the new rows only."""
+    path, source, checkpoint = (storage.scratch_dir(spark, x) for x in ("restarted", "growing", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    flow = {
+        "source": {"local": {"path": source, "dataFormat": "parquet"}},
+        "destination": {"local": {"path": path, "dataFormat": "parquet"}},
+        "triggerInterval": "100 milliseconds",
+        "flowType": "stream",
+        "checkpointLocation": checkpoint,
+    }
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        query = run(spark, flow)
+        query.processAllAvailable()
+        query.stop()
+    return find_format("parquet").read(spark, path)

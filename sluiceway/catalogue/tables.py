@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators.codec import encode_json
 from sluiceway.sources import storage
-from sluiceway.sources.topic import append_topic
+from sluiceway.sources.changelog import append_log
 
 KEY_SCHEMA = "user_id bigint"
 VALUE_SCHEMA = "user_id bigint, event_type string, value double"
@@ -38,9 +38,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_of_changes(spark: SparkSession, sf_dir: str) -> str:
-    """The change log as a topic table in scratch space; returns its path."""
+    """The change log in files in scratch space, with the offsets it has; returns its path."""
     path = storage.scratch_dir(spark, "topic")
-    append_topic(encode_json(change_log(spark, sf_dir), keep=["offset"]), path, TOPIC_PARTITIONS, "offset")
+    append_log(encode_json(change_log(spark, sf_dir), keep=["offset"]), path, TOPIC_PARTITIONS)
     return path
 
 
@@ -52,9 +52,9 @@ def directory_of(spark: SparkSession, sf_dir: str, name: str) -> dict[str, Any]:
     return {"path": sf_dir, "dataFormat": "parquet", "options": {"pathGlobFilter": f"{name}.parquet"}}
 
 
-def drain(spark: SparkSession, flow: dict[str, Any]) -> None:
-    """Run a stream flow over all data present."""
+def drain(spark: SparkSession, flow: dict[str, Any], checkpoint: str | None = None) -> None:
+    """Run a stream flow over all data present, from the start or from where a checkpoint is."""
     from sluiceway import run
 
-    checkpoint = storage.scratch_dir(spark, "checkpoint")
+    checkpoint = checkpoint or storage.scratch_dir(spark, "checkpoint")
     run(spark, {**flow, "flowType": "stream", "triggerInterval": "once", "checkpointLocation": checkpoint}).awaitTermination()

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.structs import ident, root, struct_type
-from sluiceway.operators.envelope import unwrap
 from sluiceway.operators.snapshot import latest_changes
 
 
@@ -42,11 +41,22 @@ def apply_latest(target: DataFrame, latest: DataFrame) -> DataFrame:
     keys = key_fields(latest, target)
     changed = latest.select(*[F.col("key").getField(k).alias(k) for k in keys])
     kept = target.alias("t").join(changed.alias("c"), same_key("t", "c", keys), "left_anti")
-    upserts = unwrap(latest, drop_tombstones=True)
-    different = set(upserts.columns) ^ set(target.columns)
+    return kept.unionByName(checked_upserts(latest, target)).select(*[root(c) for c in target.columns])
+
+
+def checked_upserts(latest: DataFrame, target: DataFrame) -> DataFrame:
+    """The values of `latest` as rows of the target. A value whose key columns are not those of its key is an error: it would
+    be stored beside the row it is meant to replace."""
+    keys = key_fields(latest, target)
+    names = latest.schema["value"].dataType.names
+    different = set(names) ^ set(target.columns)
     if different:
         raise ValueError(f"changes and target differ in columns {sorted(different)}")
-    return kept.unionByName(upserts).select(*[root(c) for c in target.columns])
+    value = lambda n: F.col("value").getField(n)
+    agree = reduce(lambda a, b: a & b, [F.col("key").getField(k).eqNullSafe(value(k)) for k in keys])
+    wrong = F.raise_error(F.concat(F.lit("key and value of a change disagree: key "), F.to_json("key")))
+    columns = [F.when(agree, value(n)).otherwise(wrong).alias(n) if n == keys[0] else value(n).alias(n) for n in names]
+    return latest.where(F.col("value").isNotNull()).select(*columns)
 
 
 def apply_changes(

@@ -38,6 +38,8 @@ def open_stores(spark: SparkSession, spec: FlowSpec) -> tuple[Store, Store]:
         target.order_by = spec.order_by
     if spec.takes_snapshot and isinstance(target, FileStore) and target.rebalance is None:
         target.rebalance = bool(target.partition_by)
+    if spec.flow_type == STREAM and spec.operation == UPDATE and not source.in_order:
+        raise ValueError("an update needs all changes in order: a source bounded by files per trigger may give a later one first")
     here, there = source.location(spark), target.location(spark)
     if here and there and (here == there or here.startswith(there + "/") or there.startswith(here + "/")):
         raise ValueError(f"source {here} and target {there} overlap")

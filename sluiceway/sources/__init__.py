@@ -1,36 +1,36 @@
-"""Reading and writing: formats, tables, topics and stores."""
+"""Reading and writing: formats, tables, change logs and stores."""
 
+from sluiceway.sources.changelog import append_log, read_log, stream_log
 from sluiceway.sources.formats import FileFormat, find_format, register_format, unregister_format
 from sluiceway.sources.kafka import append_kafka, read_kafka, stream_kafka
 from sluiceway.sources.stores import (
     BrokerStore,
+    ChangeLogStore,
     FileStore,
     Store,
-    TopicStore,
     build_store,
     register_store,
     unregister_store,
 )
 from sluiceway.sources.tables import read_table, update_table
-from sluiceway.sources.topic import append_topic, read_topic, stream_topic
 
 __all__ = [
     "BrokerStore",
+    "ChangeLogStore",
     "FileFormat",
     "FileStore",
     "Store",
-    "TopicStore",
     "append_kafka",
-    "append_topic",
+    "append_log",
     "build_store",
     "find_format",
     "read_kafka",
+    "read_log",
     "read_table",
-    "read_topic",
     "register_format",
     "register_store",
     "stream_kafka",
-    "stream_topic",
+    "stream_log",
     "unregister_format",
     "unregister_store",
     "update_table",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
+from sluiceway.functions.structs import root
 from sluiceway.operators.codec import JSON_WRITE_OPTIONS
 from sluiceway.operators.steps import import_object
 from sluiceway.sources import storage
@@ -44,12 +45,22 @@ class FileFormat:
     def read(
         self,
         spark: SparkSession,
-        path: str,
+        path: str | list[str],
         schema: StructType | str | None = None,
         options: Mapping[str, str] | None = None,
     ) -> DataFrame:
         return self._configured(spark.read, schema, options).load(path)
 
+    @staticmethod
+    def typed(df: DataFrame, schema: StructType | str) -> DataFrame:
+        """Stored rows with the columns and types asked for."""
+        wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        return df.select(*[root(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+    def check_append(self, spark: SparkSession, path: str) -> None:
+        if _is_stream_target(spark, path):
+            raise ValueError(f"{path} was written by a stream, whose log hides all other files; append to another directory")
+
     def read_stream(
         self,
         spark: SparkSession,
@@ -84,8 +95,8 @@ class FileFormat:
         if operation not in (OVERWRITE, APPEND):
             raise ValueError(f"operation {operation!r} is not supported by {self.name} files")
         self._check(df)
-        if operation == APPEND and _is_stream_target(df.sparkSession, path):
-            raise ValueError(f"{path} was written by a stream, whose log hides all other files; append to another directory")
+        if operation == APPEND:
+            self.check_append(df.sparkSession, path)
         # An overwrite replaces all partitions, whatever the session's mode, unless the caller asks for it.
         mode = {"partitionOverwriteMode": "static"} if operation == OVERWRITE else {}
         writer = df.write.format(self.name).options(**{**self.write_options, **mode, **(options or {})})

@@ -6,19 +6,49 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 _issued: list[str] = []
 
+# Hadoop settings of the flow at hand, and the file systems opened with them.
+_settings: ContextVar[tuple[tuple[str, str], ...]] = ContextVar("settings", default=())
+_opened: dict[tuple, Any] = {}
+
+
+@contextmanager
+def hadoop_settings(options: Mapping[str, str] | None) -> Iterator[None]:
+    """Within the block, directories are reached with these options besides the session's: those that begin with `fs.`."""
+    token = _settings.set(tuple(sorted((k, str(v)) for k, v in (options or {}).items() if k.startswith("fs."))))
+    try:
+        yield
+    finally:
+        _settings.reset(token)
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    settings, session = _settings.get(), spark._jsc.hadoopConfiguration()
+    if not settings:
+        return _path(spark, path).getFileSystem(session)
+    # Hadoop keeps one file system per scheme and authority, whatever the settings: these are opened apart.
+    uri = _path(spark, path).toUri()
+    known = (id(spark.sparkContext), uri.getScheme(), uri.getAuthority(), settings)
+    if known not in _opened:
+        merged = spark._jvm.org.apache.hadoop.conf.Configuration(session)
+        for name, value in settings:
+            merged.set(name, value)
+        base = uri if uri.getScheme() else spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(merged)
+        _opened[known] = spark._jvm.org.apache.hadoop.fs.FileSystem.newInstance(base, merged)
+    return _opened[known]
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -53,6 +83,31 @@ def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     return sorted(status.getPath().getName() for status in found or ())
 
 
+def matches(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths below a directory that match a glob pattern of several levels."""
+    found = _fs(spark, path).globStatus(_path(spark, f"{path}/{pattern}"))
+    base = len(qualified(spark, path)) + 1
+    return sorted(status.getPath().toString()[base:] for status in found or ())
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Paths below a directory of all files in it, without markers and checksums."""
+    if not exists(spark, path):
+        return []
+    found, listing = [], _fs(spark, path).listFiles(_path(spark, path), True)
+    base = len(qualified(spark, path)) + 1
+    while listing.hasNext():
+        name = listing.next().getPath().toString()[base:]
+        if not any(part.startswith(("_", ".")) and "=" not in part for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files of a directory."""
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"cannot rename {source} to {target}")
@@ -75,6 +130,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all. One that exists already is an error."""
+    if exists(spark, path):
+        raise RuntimeError(f"another writer has made {path}")
+    draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    write_text(spark, draft, text)
+    rename(spark, draft, path)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream = _fs(spark, path).create(_path(spark, path), True)
     try:

@@ -16,7 +16,7 @@ from sluiceway.operators.counts import RowCounts
 from sluiceway.operators.envelope import ENVELOPE, wrap
 from sluiceway.operators.governance import LOG
 from sluiceway.operators.steps import flag, import_object
-from sluiceway.sources import kafka, storage, tables, topic
+from sluiceway.sources import changelog, kafka, storage, tables
 from sluiceway.sources.formats import APPEND, OVERWRITE, UPDATE, FileFormat, find_format
 
 log = logging.getLogger(__name__)
@@ -32,6 +32,8 @@ class Store:
     append_only = False
     # True while the schema of the data has to be taken from the data itself.
     needs_inference = False
+    # False for a source whose micro-batches may come out of the order of changes.
+    in_order = True
     # Columns that order the changes an update applies; the offset if there are none.
     order_by: str | Sequence[str] | None = None
 
@@ -59,7 +61,8 @@ class FileStore(Store):
 
     `rebalance` shuffles rows for even files per partition value. Left open, this is done for
     partitioned writes whose rows come out of a shuffle by key, where each task would
-    else write a file for every value.
+    else write a file for every value. `buckets` lays out a table that is updated in so many hash
+    buckets of its key; streams do so for a new table that is not partitioned by a part of the key.
     """
 
     def __init__(
@@ -70,38 +73,49 @@ class FileStore(Store):
         schema: Any = None,
         options: Mapping[str, str] | None = None,
         rebalance: bool | None = None,
+        buckets: int | None = None,
     ) -> None:
         self.path = path.rstrip("/")
+        self.buckets = buckets
         self.format = find_format(fmt)
         self.partition_by = tuple(partition_by)
         self.schema = schema
         self.options = dict(options or {})
         self.rebalance = rebalance
+        if self.buckets and self.partition_by:
+            raise ValueError("a table has partitions or buckets, not both")
 
     def location(self, spark: SparkSession) -> str | None:
-        return storage.qualified(spark, self.path)
+        with storage.hadoop_settings(self.options):
+            return storage.qualified(spark, self.path)
 
     def read(self, spark: SparkSession, flow_type: str) -> DataFrame:
-        if flow_type == STREAM:
-            if tables.versions(spark, self.path):
-                raise ValueError(f"{self.path} is updated by versions and cannot be read as a stream")
-            return self.format.read_stream(spark, self.path, self.schema, self.options)
-        return tables.read_table(spark, self.path, self.format, self.schema, self.options)
+        with storage.hadoop_settings(self.options):
+            if flow_type == STREAM:
+                if tables.is_updated(spark, self.path):
+                    raise ValueError(f"{self.path} is updated by versions or buckets and cannot be read as a stream")
+                return self.format.read_stream(spark, self.path, self.schema, self.options)
+            return tables.read_table(spark, self.path, self.format, self.schema, self.options)
 
     def write(self, df: DataFrame, operation: str, data_type: str = LOG, tag: str | None = None) -> int | None:
-        if operation == UPDATE:
-            return self._update(df)
-        if self.rebalance:
-            df = tables.balanced(df, self.partition_by)
-        path = self.path
-        if operation != OVERWRITE:
-            path = tables.current_path(df.sparkSession, path)
-        # Counted above any shuffle, where a task run again is not counted again.
-        counts = RowCounts()
-        self.format.write(counts.register(df), path, operation, self.partition_by, self.options)
-        return counts.value()
-
-    def _update(self, changes: DataFrame) -> int:
+        with storage.hadoop_settings(self.options):
+            if operation == UPDATE:
+                return self._update(df, self.buckets)
+            if self.rebalance:
+                df = tables.balanced(df, self.partition_by)
+            path = self.path
+            if operation != OVERWRITE:
+                if tables.is_bucketed(df.sparkSession, path):
+                    raise ValueError(f"{path} is a table in buckets of its key: update it")
+                path = tables.current_path(df.sparkSession, path)
+                if tag is not None and operation == APPEND:
+                    return tables.append_files(df, path, self.format, self.partition_by, self.options, tag)
+            # Counted above any shuffle, where a task run again is not counted again.
+            counts = RowCounts()
+            self.format.write(counts.register(df), path, operation, self.partition_by, self.options)
+            return counts.value()
+
+    def _update(self, changes: DataFrame, buckets: int | None) -> int:
         return tables.update_table(
             changes,
             self.path,
@@ -111,20 +125,29 @@ class FileStore(Store):
             self.schema,
             self.options,
             bool(self.partition_by) if self.rebalance is None else self.rebalance,
+            buckets,
         )
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
         if operation != UPDATE:
-            return self.format.write_stream(df, self.path, operation, self.partition_by, self.options)
+            with storage.hadoop_settings(self.options):
+                return self.format.write_stream(df, self.path, operation, self.partition_by, self.options)
 
         def update(batch: DataFrame, batch_id: int) -> None:
-            if not batch.isEmpty():
-                self._update(batch)
+            if batch.isEmpty():
+                return
+            with storage.hadoop_settings(self.options):
+                buckets = self.buckets
+                if buckets is None and not self.partition_by and not tables.versions(batch.sparkSession, self.path):
+                    # Each micro-batch rewrites what it touches only.
+                    buckets = tables.buckets_of(batch.sparkSession, self.path)
+                self._update(batch, buckets)
 
         return df.writeStream.foreachBatch(update)
 
     def delete(self, spark: SparkSession) -> bool:
-        return storage.delete(spark, self.path)
+        with storage.hadoop_settings(self.options):
+            return storage.delete(spark, self.path)
 
 
 class EnvelopeStore(Store):
@@ -188,38 +211,49 @@ class EnvelopeStore(Store):
         return self.append(self.serialized(df, data_type), tag)
 
 
-class TopicStore(EnvelopeStore):
-    """A topic table, see `sluiceway.sources.topic`."""
+class ChangeLogStore(EnvelopeStore):
+    """A change log in files, see `sluiceway.sources.changelog`."""
 
     def __init__(
         self,
         path: str,
         partitions: int | None = None,
         order_by: str | Sequence[str] | None = None,
+        max_files: int | None = None,
+        options: Mapping[str, str] | None = None,
         **serialization: Any,
     ) -> None:
         super().__init__(**serialization)
         self.path = path.rstrip("/")
         self.partitions = partitions
         self.order_by = order_by
+        self.max_files = max_files
+        self.options = dict(options or {})
+
+    @property
+    def in_order(self) -> bool:
+        """Whether a later micro-batch of a stream holds later changes only."""
+        return self.max_files is None
 
     def location(self, spark: SparkSession) -> str | None:
-        return storage.qualified(spark, self.path)
+        with storage.hadoop_settings(self.options):
+            return storage.qualified(spark, self.path)
 
     def envelope(self, spark: SparkSession, flow_type: str) -> DataFrame:
-        if flow_type == STREAM:
-            return topic.stream_topic(spark, self.path)
-        return topic.read_topic(spark, self.path)
+        with storage.hadoop_settings(self.options):
+            if flow_type == STREAM:
+                return changelog.stream_log(spark, self.path, self.max_files)
+            return changelog.read_log(spark, self.path)
 
     def carried(self, df: DataFrame) -> list[str]:
         if self.order_by:
             return [self.order_by] if isinstance(self.order_by, str) else list(self.order_by)
-        # Rows of another topic keep their order.
+        # Rows of another log keep their offsets.
         return ["offset"] if "offset" in df.columns else []
 
     def append(self, df: DataFrame, tag: str | None = None) -> int | None:
-        order = [c for c in df.columns if c not in ("key", "value")]
-        return topic.append_topic(df, self.path, self.partitions, order, tag)
+        with storage.hadoop_settings(self.options):
+            return changelog.append_log(df, self.path, self.partitions, self.order_by, tag, bool(self.order_by) or None)
 
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
         def append(batch: DataFrame, batch_id: int) -> None:
@@ -229,7 +263,8 @@ class TopicStore(EnvelopeStore):
         return df.writeStream.foreachBatch(append)
 
     def delete(self, spark: SparkSession) -> bool:
-        return storage.delete(spark, self.path)
+        with storage.hadoop_settings(self.options):
+            return storage.delete(spark, self.path)
 
 
 class BrokerStore(EnvelopeStore):
@@ -270,7 +305,7 @@ def _settings(config: Mapping[str, Any], known: set[str], needed: set[str], stor
     return settings
 
 
-FILE_SETTINGS = {"path", "data_format", "partition_by", "schema", "options", "rebalance"}
+FILE_SETTINGS = {"path", "data_format", "partition_by", "schema", "options", "rebalance", "buckets"}
 
 
 def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
@@ -279,6 +314,7 @@ def _file_arguments(s: Mapping[str, Any]) -> dict[str, Any]:
         "partition_by": s.get("partition_by") or (),
         "schema": s.get("schema"),
         "rebalance": flag(s["rebalance"]) if "rebalance" in s else None,
+        "buckets": int(s["buckets"]) if s.get("buckets") else None,
     }
 
 
@@ -348,9 +384,11 @@ def _serialization(s: Mapping[str, Any]) -> dict[str, Any]:
     }
 
 
-def _build_topic(config: Mapping[str, Any], role: str) -> Store:
-    s = _settings(config, SERIALIZATION_SETTINGS | {"path", "partitions", "order_by"}, {"path"}, "topic")
-    return TopicStore(s["path"], s.get("partitions"), s.get("order_by"), **_serialization(s))
+def _build_log(config: Mapping[str, Any], role: str) -> Store:
+    known = SERIALIZATION_SETTINGS | {"path", "partitions", "order_by", "max_files_per_trigger", "options"}
+    s = _settings(config, known, {"path"}, "changelog")
+    most = int(s["max_files_per_trigger"]) if s.get("max_files_per_trigger") else None
+    return ChangeLogStore(s["path"], s.get("partitions"), s.get("order_by"), most, s.get("options"), **_serialization(s))
 
 
 def _build_broker(config: Mapping[str, Any], role: str) -> Store:
@@ -378,7 +416,8 @@ _builders: dict[str, Builder] = {
     "s3": _build_objects,
     "cos": _build_objects,
     "kafka": _build_broker,
-    "topic": _build_topic,
+    "changelog": _build_log,
+    "topic": _build_log,
     "local": _build_files,
     "files": _build_files,
 }
@@ -411,10 +450,10 @@ __all__ = [
     "BATCH",
     "STREAM",
     "BrokerStore",
+    "ChangeLogStore",
     "EnvelopeStore",
     "FileStore",
     "Store",
-    "TopicStore",
     "build_store",
     "object_url",
     "register_store",

@@ -13,7 +13,7 @@ from helpers import CHANGE_ROWS, LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, lo
 from sluiceway import FlowSpec, delete_target, run
 from sluiceway.__main__ import main
 from sluiceway.operators import decode_json, encode_json, lineage, snapshot, wrap
-from sluiceway.sources import append_topic, read_topic, storage
+from sluiceway.sources import append_log, read_log, storage
 from sluiceway.sources.stores import Store
 
 
@@ -154,7 +154,7 @@ def test_command_line(tmp_path):
 
 def topic_with_changes(spark, tmp_path, name="topic"):
     path = str(tmp_path / name)
-    append_topic(encode_json(change_data(spark), keep=["offset"]), path, partitions=2, order_by="offset")
+    append_log(encode_json(change_data(spark), keep=["offset"]), path, partitions=2, order_by="offset")
     return path
 
 
@@ -231,7 +231,7 @@ def test_changes_in_an_order_of_their_own(spark, tmp_path):
     assert run(spark, update).rows == 3
     topic = {**flow, "writeDataType": "cdc", "orderBy": "seq", "destination": {"topic": {"path": str(tmp_path / "topic")}}}
     assert run(spark, topic).rows == len(CHANGE_ROWS)
-    copied = decode_json(read_topic(spark, str(tmp_path / "topic")), VALUE_DDL, "i int")
+    copied = decode_json(read_log(spark, str(tmp_path / "topic")), VALUE_DDL, "i int")
     assert rows_of(snapshot(copied)) == LAST_ROWS
 
 
@@ -266,7 +266,7 @@ def test_log_data_into_a_topic(spark, tmp_path, caplog):
     assert run(spark, flow).rows == 3
     assert "only grows" in caplog.text
     run(spark, flow)
-    assert read_topic(spark, str(tmp_path / "topic")).count() == 6
+    assert read_log(spark, str(tmp_path / "topic")).count() == 6
 
 
 def test_overlapping_ends(spark, tmp_path):
@@ -319,11 +319,11 @@ def test_delete_target(spark, tmp_path):
 
 
 def test_json_wrap_round_trip_through_flow(spark, tmp_path):
-    append_topic(encode_json(wrap(log_data(spark), ["i"])), str(tmp_path / "in"))
+    append_log(encode_json(wrap(log_data(spark), ["i"])), str(tmp_path / "in"))
     flow = {
         "source": {"topic": {"path": str(tmp_path / "in")}},
         "destination": {"topic": {"path": str(tmp_path / "out")}},
         "readDataType": "cdc",
     }
     assert run(spark, flow).rows == 3
-    assert storage.children(spark, str(tmp_path / "out")) == ["append=00000000"]
+    assert read_log(spark, str(tmp_path / "out")).count() == 3

@@ -11,12 +11,12 @@ from sluiceway.operators import ConnectorMissing, decode_json, encode_json, snap
 from sluiceway.sources import (
     FileFormat,
     FileStore,
-    append_topic,
+    append_log,
     build_store,
     find_format,
     read_kafka,
     read_table,
-    read_topic,
+    read_log,
     register_format,
     register_store,
     storage,
@@ -24,7 +24,7 @@ from sluiceway.sources import (
     unregister_store,
     update_table,
 )
-from sluiceway.sources.stores import BrokerStore, TopicStore, object_url
+from sluiceway.sources.stores import BrokerStore, ChangeLogStore, object_url
 
 FORMATS = ["parquet", "orc", "csv", "json"]
 
@@ -294,7 +294,7 @@ def test_small_change_sets_do_not_shuffle_the_target(spark, tmp_path):
 def offsets(spark, path):
     return {
         r["partition"]: sorted(r["o"])
-        for r in read_topic(spark, path).groupBy("partition").agg(F.collect_list("offset").alias("o")).collect()
+        for r in read_log(spark, path).groupBy("partition").agg(F.collect_list("offset").alias("o")).collect()
     }
 
 
@@ -306,16 +306,16 @@ def skewed(spark, n=5000):
 
 def test_topic_offsets_are_dense_and_ordered(spark, tmp_path):
     path = str(tmp_path / "topic")
-    assert append_topic(skewed(spark), path, partitions=3, order_by="id") == 5000
-    append_topic(skewed(spark), path, order_by=["id"])
+    assert append_log(skewed(spark), path, partitions=3, order_by="id") == 5000
+    append_log(skewed(spark), path, order_by=["id"])
     found = offsets(spark, path)
     assert set(found) <= {0, 1, 2}
     assert all(o == list(range(len(o))) for o in found.values())
-    rows = read_topic(spark, path).filter("offset < 100").collect()
+    rows = read_log(spark, path).filter("offset < 100").collect()
     for partition in found:
         ordered = sorted((r["offset"], int(r["value"])) for r in rows if r["partition"] == partition)
         assert [v for _, v in ordered] == sorted(v for _, v in ordered)
-    assert read_topic(spark, path).schema.names == [
+    assert read_log(spark, path).schema.names == [
         "key", "value", "topic", "partition", "offset", "timestamp", "timestampType",
     ]
     assert {r["topic"] for r in rows} == {"topic"}
@@ -323,8 +323,8 @@ def test_topic_offsets_are_dense_and_ordered(spark, tmp_path):
 
 def test_topic_without_order_keeps_the_input_order(spark, tmp_path):
     path = str(tmp_path / "topic")
-    append_topic(skewed(spark).drop("id"), path, partitions=1)
-    rows = sorted(read_topic(spark, path).collect(), key=lambda r: r["offset"])
+    append_log(skewed(spark).drop("id"), path, partitions=1)
+    rows = sorted(read_log(spark, path).collect(), key=lambda r: r["offset"])
     assert [int(r["value"]) for r in rows] == list(range(5000))
 
 
@@ -333,53 +333,53 @@ def test_topic_splits_runs_of_one_order_value(spark, tmp_path):
     path = str(tmp_path / "topic")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        append_topic(rows, path, partitions=1, order_by="same")
+        append_log(rows, path, partitions=1, order_by="same")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert offsets(spark, path) == {0: list(range(4000))}
-    files = [f for f in (tmp_path / "topic" / "append=00000000").iterdir() if f.name.endswith(".parquet")]
+    files = [f for f in (tmp_path / "topic").iterdir() if f.name.endswith(".parquet")]
     assert len(files) > 1
 
 
 def test_topic_tags_and_limits(spark, tmp_path):
     path = str(tmp_path / "topic")
     rows = skewed(spark, 10).drop("id")
-    append_topic(rows, path, tag="job#1")
-    assert append_topic(rows, path, tag="job#1") == 0
-    append_topic(rows, path, tag="job#2")
-    assert read_topic(spark, path).count() == 20
-    append_topic(rows.limit(0), path)
-    append_topic(rows, path)
+    append_log(rows, path, tag="job#1")
+    assert append_log(rows, path, tag="job#1") == 0
+    append_log(rows, path, tag="job#2")
+    assert read_log(spark, path).count() == 20
+    append_log(rows.limit(0), path)
+    append_log(rows, path)
     assert all(o == list(range(len(o))) for o in offsets(spark, path).values())
     with pytest.raises(ValueError, match="8 partitions"):
-        append_topic(rows, path, partitions=4)
-    with pytest.raises(ValueError, match="no topic"):
-        read_topic(spark, str(tmp_path / "nowhere"))
+        append_log(rows, path, partitions=4)
+    with pytest.raises(ValueError, match="no change log"):
+        read_log(spark, str(tmp_path / "nowhere"))
 
 
 def test_topic_null_keys_and_given_partitions(spark, tmp_path):
     path = str(tmp_path / "nulls")
     rows = spark.range(200).select(F.lit(None).cast("string").alias("key"), F.col("id").cast("string").alias("value"))
-    append_topic(rows, path, partitions=4)
+    append_log(rows, path, partitions=4)
     assert len(offsets(spark, path)) == 4
     given_path = str(tmp_path / "given")
-    append_topic(rows.withColumn("partition", F.col("value").cast("int") % 2), given_path)
+    append_log(rows.withColumn("partition", F.col("value").cast("int") % 2), given_path)
     assert {p: len(o) for p, o in offsets(spark, given_path).items()} == {0: 100, 1: 100}
 
 
 def test_topic_copy_keeps_the_order_of_changes(spark, tmp_path):
     first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    append_topic(encode_json(change_data(spark), keep=["offset"]), first, partitions=2, order_by="offset")
-    store = TopicStore(second, partitions=3)
-    assert store.write(read_topic(spark, first), "append") == 8
-    decoded = decode_json(read_topic(spark, second), VALUE_DDL, "i int")
+    append_log(encode_json(change_data(spark), keep=["offset"]), first, partitions=2, order_by="offset")
+    store = ChangeLogStore(second, partitions=3)
+    assert store.write(read_log(spark, first), "append") == 8
+    decoded = decode_json(read_log(spark, second), VALUE_DDL, "i int")
     assert rows_of(snapshot(decoded)) == LAST_ROWS
 
 
 def test_tables_with_a_value_column_are_wrapped(spark, tmp_path):
     table = spark.createDataFrame([("k", 1.5, "more")], "key string, value double, other string")
-    TopicStore(str(tmp_path / "t")).write(table, "overwrite")
-    back = unwrap(decode_json(read_topic(spark, str(tmp_path / "t")), "key string, value double, other string"))
+    ChangeLogStore(str(tmp_path / "t")).write(table, "overwrite")
+    back = unwrap(decode_json(read_log(spark, str(tmp_path / "t")), "key string, value double, other string"))
     assert rows_of(back) == rows_of(table)
 
 

@@ -7,8 +7,7 @@ from helpers import CHANGE_ROWS, LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, lo
 from pyspark.sql import functions as F
 from sluiceway import run
 from sluiceway.operators import decode_json, encode_json, snapshot
-from sluiceway.sources import append_topic, read_table, read_topic, storage
-from sluiceway.sources.tables import versions
+from sluiceway.sources import append_log, buckets, read_log, read_table, storage
 from sluiceway.streaming import checkpoint_of
 
 SCHEMAS = {"valueSchema": VALUE_DDL, "keySchema": "i int"}
@@ -34,7 +33,7 @@ def finish(spark, flow):
 
 
 def append_changes(spark, path, rows=CHANGE_ROWS):
-    append_topic(encode_json(change_data(spark, rows), keep=["offset"]), str(path), order_by="offset")
+    append_log(encode_json(change_data(spark, rows), keep=["offset"]), str(path), order_by="offset")
 
 
 def test_file_stream_resumes(spark, tmp_path):
@@ -142,7 +141,7 @@ def test_inferred_schema_is_pinned(spark, tmp_path):
     )
     finish(spark, flow)
     drifted = spark.createDataFrame([('{"i":7}', '{"i":7,"other":1}')], "key string, value string")
-    append_topic(drifted, str(tmp_path / "topic"))
+    append_log(drifted, str(tmp_path / "topic"))
     # A field that came later would be lost: the stream says so.
     with pytest.raises(PySparkException, match="lacks: other"):
         finish(spark, flow)
@@ -198,7 +197,7 @@ def test_change_to_change(spark, tmp_path):
     )
     finish(spark, flow)
     finish(spark, flow)
-    copied = decode_json(read_topic(spark, str(tmp_path / "second")), VALUE_DDL, "i int")
+    copied = decode_json(read_log(spark, str(tmp_path / "second")), VALUE_DDL, "i int")
     assert copied.count() == len(CHANGE_ROWS)
     assert copied.filter("value IS NULL").count() == 1
     assert rows_of(snapshot(copied)) == [(i, "X" * 10, d) for i, _, d in LAST_ROWS]
@@ -207,7 +206,7 @@ def test_change_to_change(spark, tmp_path):
 def test_topic_copy_keeps_the_order_over_many_files(spark, tmp_path):
     rows = [((n * 7 % 5,), None if n % 11 == 0 else (n * 7 % 5, str(n), float(n))) for n in range(3000)]
     data = change_data(spark, rows).repartition(16)
-    append_topic(encode_json(data, keep=["offset"]), str(tmp_path / "first"), partitions=2, order_by="offset")
+    append_log(encode_json(data, keep=["offset"]), str(tmp_path / "first"), partitions=2, order_by="offset")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         flow = stream(
@@ -219,7 +218,7 @@ def test_topic_copy_keeps_the_order_over_many_files(spark, tmp_path):
         finish(spark, flow)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    copied = decode_json(read_topic(spark, str(tmp_path / "second")), VALUE_DDL, "i int")
+    copied = decode_json(read_log(spark, str(tmp_path / "second")), VALUE_DDL, "i int")
     last = dict(rows)
     assert rows_of(snapshot(copied)) == sorted((v for v in last.values() if v), key=repr)
 
@@ -264,7 +263,7 @@ def test_update_over_several_batches(spark, tmp_path):
     finish(spark, flow)
     assert rows_of(read_table(spark, str(tmp_path / "out"))) == LAST_ROWS
     finish(spark, flow)
-    assert versions(spark, str(tmp_path / "out")) == [1, 2]
+    assert buckets.numbers(spark, str(tmp_path / "out")) == [1, 2]
     with pytest.raises(ValueError, match="versions"):
         run(spark, stream(files(tmp_path / "out"), files(tmp_path / "more"), checkpointLocation=str(tmp_path / "c2")))
 
@@ -333,7 +332,7 @@ def test_static_steps_per_batch_of_an_inferred_topic(spark, tmp_path):
     )
     finish(spark, flow)
     finish(spark, flow)
-    copied = decode_json(read_topic(spark, str(tmp_path / "out")), VALUE_DDL, "i int")
+    copied = decode_json(read_log(spark, str(tmp_path / "out")), VALUE_DDL, "i int")
     assert rows_of(snapshot(copied)) == LAST_ROWS
 
 
