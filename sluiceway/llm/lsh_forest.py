@@ -6,9 +6,9 @@ a document's candidates are its neighbours in each order, as long as they share
 prefix it takes to be among the nearest depends on how crowded the region is, level by level up to all eight.
 
 Two sets of similarity J share four levels of one tree with probability J^4 and of no tree with (1 - J^4)^32: 6e-11 at
-0.85, 5e-8 at 0.8. The next neighbours in two trees come first and are tied to components, which takes most links of large
-groups; then those in all trees, and last, within a wider window, all neighbours, of other components only. Candidates are
-narrowed by their whole signatures and confirmed on full sets.
+0.85, 5e-8 at 0.8. The next neighbours of all trees come first and are tied to components; then each document meets, within
+a wider window, only those of other components. Candidates are narrowed by their whole signatures, which rule a link at the very
+threshold out with probability 3e-5, and confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -36,10 +36,8 @@ LEVELS = 8
 LEAST_LEVELS = 4
 # Neighbours on either side that a document meets in each order, if they are of another component.
 WINDOW = 64
-# Trees whose neighbours come first.
-FIRST_TREES = 2
 # Standard deviations by which an estimate may fall short of the similarity.
-TOLERANCE = 6
+TOLERANCE = 4
 ROWS_PER_PARTITION = 200_000
 SLICE = 1 << 20
 SIGN = np.uint64(1 << 63)
@@ -139,13 +137,13 @@ def _near_in_order(window: int, edges: bool, batches: Iterator[pa.RecordBatch])
         yield edge(kept, part)
 
 
-def neighbours(nodes: DataFrame, n_nodes: int, window: int, trees: int = TREES) -> DataFrame:
-    """`(low, high)`: neighbours in the orders of the first `trees` that differ in component, of `nodes (node, labels, component)`."""
+def neighbours(nodes: DataFrame, n_nodes: int, window: int) -> DataFrame:
+    """`(low, high)`: neighbours in the orders of all trees that differ in component, of `nodes (node, labels, component)`."""
     schema = "low long, high long, place long, tree long, label long, component long"
-    rows = nodes.select("node", "component", F.posexplode(F.slice("labels", 1, trees)).alias("tree", "label"))
+    rows = nodes.select("node", "component", F.posexplode("labels").alias("tree", "label"))
     rows = rows.select(F.lit(0).cast("long").alias("place"), F.col("tree").cast("long").alias("tree"), "label", "node", "component")
     # By range, so that a crowded region is split like any other; where two partitions join comes after.
-    n_partitions = max(1, n_nodes * trees // ROWS_PER_PARTITION)
+    n_partitions = max(1, n_nodes * TREES // ROWS_PER_PARTITION)
     sorted_rows = rows.repartitionByRange(n_partitions, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
     found = staged(mapped(sorted_rows, functools.partial(_near_in_order, window, True), schema), "neighbours")
     edges = found.where("high IS NULL").select("place", "tree", "label", F.col("low").alias("node"), "component")
@@ -196,21 +194,24 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     return pairs.join(low, "low").join(high, "high").where(both * (100 + percent) >= percent * (F.size("a") + F.size("b"))).select("low", "high")
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def groups(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, window: int = WINDOW, link_empty: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """`(doc_id, text_key, node, n_shingles)` of all rows; `(node, least, group)`, `least` being the first id and text key. Rows
-    without words have no node."""
+    without words have no node, or one for all with `link_empty`."""
     spark = docs.sparkSession
     schema = "doc_id long, text_key long, node long, n_shingles long, labels array<long>"
     with intermediate(spark) as keep:
-        signed = staged(mapped(keyed(docs), functools.partial(_signatures, shingle, TREES), schema), "signatures")
+        signed = mapped(keyed(docs), functools.partial(_signatures, shingle, TREES), schema)
+        signed = staged(signed.withColumn("node", F.coalesce("node", F.lit(0 if link_empty else None).cast("long"))), "signatures")
         # Nulls come last.
         least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
         nodes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min(least).alias("least"), F.any_value("labels").alias("labels")), "nodes")
         n_nodes = nodes.count()
         rows, links, tied = nodes.withColumn("component", F.col("node")), None, None
-        for wide, trees in ((1, FIRST_TREES), (1, TREES), (window, TREES)):
+        for wide in (1, window):
             with intermediate(spark) as keep_found:
-                pairs = staged(alike(neighbours(rows, n_nodes, wide, trees), nodes, percent), "pairs")
+                pairs = staged(alike(neighbours(rows, n_nodes, wide), nodes, percent), "pairs")
                 found = keep_found(confirmed(pairs, nodes, docs, shingle, percent), "links")
             links = found if links is None else links.union(found)
             tied = components(links)
@@ -237,8 +238,6 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group of near copies, with all its columns, chosen like those of `simhash.representatives`, and all rows
-    without words."""
-    signed, named = groups(docs, shingle, percent)
-    empty = docs.where(~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]"))
-    return first_rows(docs, named).union(empty)
+    """One row of each group of near copies, with all its columns, chosen like those of `simhash.representatives`; here all
+    rows without words are one group as well."""
+    return first_rows(docs, groups(docs, shingle, percent, link_empty=True)[1])
