@@ -11,18 +11,21 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+import itertools
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from sluiceway.llm.common import as_text, mapped
-from sluiceway.llm.pieces import Splitter
+from sluiceway.llm.pieces import Runs, Splitter, WordTable
 
 MAX_PAIRS = 1_000_000
 
@@ -51,6 +54,7 @@ class BytePairEncoder:
         self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = {rank: token for token, rank in self.ids.items()}
         self.splitter = Splitter(vocabulary.pattern, self.encode_piece, lambda found: tuple(chain.from_iterable(found)))
+        self.table = WordTable(self.splitter, np.int32, lambda ids: array("i", ids).tobytes())
         self.automaton = ahocorasick.Automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
@@ -152,6 +156,33 @@ class BytePairEncoder:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.splitter.results(text)))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of whole texts in slices, and where each text begins and ends."""
+        return self.table.encoded(texts)
+
+    @functools.cached_property
+    def numbers(self) -> np.ndarray:
+        """The number of each id in `raw` and `decimals`."""
+        numbers = np.zeros(max(self.bytes, default=0) + 1, np.int64)
+        numbers[list(self.bytes)] = np.arange(len(self.bytes))
+        return numbers
+
+    @functools.cached_property
+    def raw(self) -> Runs:
+        """The bytes of all ids."""
+        return self._runs(self.bytes.values())
+
+    @functools.cached_property
+    def decimals(self) -> Runs:
+        """All ids as decimal numbers, each with a comma behind it."""
+        return self._runs(f"{rank},".encode() for rank in self.bytes)
+
+    @staticmethod
+    def _runs(sequences: Iterable[bytes]) -> Runs:
+        found = Runs(np.uint8)
+        found.add(list(sequences))
+        return found
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
@@ -171,10 +202,11 @@ def encoder_of(vocabulary: Vocabulary) -> BytePairEncoder:
 def _encode(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = encoder_of(vocabulary)
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            ids = [encoder.encode(text.as_py() or "") for text in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        at = 0
+        for ids, places in encoder.encode_all(batch.column("text")):
+            part = batch.slice(at, len(places) - 1)
+            at += len(places) - 1
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(ids))], ["doc_id", "ids"])
 
 
 def _decode(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,14 +221,17 @@ def _decode(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterat
 def _round_trip(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encodes, and decodes the ids: both from one pass, without a table of ids in between."""
     encoder = encoder_of(vocabulary)
-    names = {rank: str(rank) for rank in encoder.bytes}
     for batch in batches:
         sizes, ids_digests, decoded_digests = [], [], []
-        for text in batch.column("text"):
-            ids = encoder.encode(text.as_py() or "")
-            sizes.append(len(ids))
-            ids_digests.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-            decoded_digests.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+        for ids, places in encoder.encode_all(batch.column("text")):
+            sizes += np.diff(places).tolist()
+            for runs, cut, digests in ((encoder.decimals, 1, ids_digests), (encoder.raw, 0, decoded_digests)):
+                # By parts, so that the bytes of few texts are there at a time.
+                for first in range(0, len(places) - 1, 128):
+                    ends = places[first : first + 129]
+                    found, at = runs.joined(encoder.numbers[ids[ends[0] : ends[-1]]])
+                    joined, stops = found.tobytes(), at[ends - ends[0]].tolist()
+                    digests += [hashlib.sha256(joined[start : max(start, stop - cut)]).hexdigest() for start, stop in itertools.pairwise(stops)]
         columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(decoded_digests, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -223,17 +258,21 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def _texts_and_ids(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = encoder_of(vocabulary)
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            at = part.schema.get_field_index("text")
-            ids = [encoder.encode(text.as_py() or "") for text in part.column(at)]
-            decoded = pa.array([encoder.decode(found).decode() for found in ids], part.schema.field(at).type)
-            columns = [*part.set_column(at, "text", decoded).columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+        column, start = batch.schema.get_field_index("text"), 0
+        for ids, places in encoder.encode_all(batch.column(column)):
+            part = batch.slice(start, len(places) - 1)
+            start += len(places) - 1
+            found, at = encoder.raw.joined(encoder.numbers[ids])
+            joined, stops = found.tobytes(), at[places].tolist()
+            decoded = pa.array([joined[a:b].decode() for a, b in itertools.pairwise(stops)], part.schema.field(column).type)
+            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(ids))
+            columns = [*part.set_column(column, "text", decoded).columns, lists, pa.array(np.diff(places))]
             yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", "n_tokens"])
 
 
 def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """`docs` with `ids` and `n_tokens`, and `text` as decoded from the ids; columns of these names are replaced."""
+    """`docs` with `ids` and `n_tokens`, and `text` as decoded from the ids; columns of these names are replaced. A null text
+    becomes an empty one without ids; rows come out as often as they go in; no rows give no rows."""
     rows = docs.drop("ids", "n_tokens")
     schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
     return mapped(rows, functools.partial(_texts_and_ids, vocabulary), schema)

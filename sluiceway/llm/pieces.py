@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # A pattern that never joins a space with what stands before it, unless that is white space too. Fixed value.
 SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # A space amid white space, or at the end after white space: only there does a run go over a space.
 CROSSED = re.compile(r"\s (?:\s|\Z)")
+# Rows whose words are looked up together.
+ROWS = 1024
 MAX_PIECES = 500_000
-MAX_WORDS = 150_000
+MAX_WORDS = 600_000
 
 
 class Remembered(dict):
@@ -48,7 +53,7 @@ class Splitter:
         self.at_spaces = pattern == SPACE_PATTERN
         self.combine = combine
         self.pieces = Remembered(make, MAX_PIECES)
-        self.words = Remembered(lambda word: self._whole(f" {word}"), MAX_WORDS)
+        self.words = Remembered(lambda word: self._whole(f" {word}"), MAX_PIECES)
 
     def _whole(self, text: str) -> Any:
         return self.combine(map(self.pieces.__getitem__, self.find(text)))
@@ -58,3 +63,96 @@ class Splitter:
             return map(self.pieces.__getitem__, self.find(text))
         first, *words = text.split(" ")
         return itertools.chain([self._whole(first)], map(self.words.__getitem__, words))
+
+
+def runs(lengths: np.ndarray) -> np.ndarray:
+    """0 and the ends of consecutive runs of these lengths."""
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
+
+
+class Runs:
+    """Sequences one behind the other in an array, looked up by number."""
+
+    def __init__(self, kind: type):
+        self.kind = np.dtype(kind)
+        self.values, self.ends = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def add(self, sequences: Sequence[bytes]) -> None:
+        """Append sequences, given by their bytes."""
+        lengths = np.fromiter(map(len, sequences), np.int64, len(sequences)) // self.kind.itemsize
+        self.values = np.concatenate([self.values, np.frombuffer(b"".join(sequences), self.kind)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences of these numbers one behind the other, and where each begins, with the end of the last."""
+        starts = self.ends[numbers]
+        lengths = self.ends[numbers + 1] - starts
+        places = runs(lengths)
+        at = np.repeat(starts - places[:-1], lengths)
+        at += np.arange(places[-1])
+        return self.values[at], places
+
+
+class WordTable:
+    """Ids of whole texts, by numbers for their words.
+
+    The different words of a slice of texts are looked up once, and the ids gathered by number; only words that are new are
+    split and encoded. The table is emptied when it is full, between two slices.
+    """
+
+    def __init__(self, splitter: Splitter, kind: type, packed: Callable[[Any], bytes]):
+        self.splitter, self.kind, self.packed = splitter, kind, packed
+        self._empty()
+
+    def _empty(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.table = Runs(self.kind)
+
+    def _numbers_of(self, words: list[str]) -> np.ndarray:
+        new = [word for word in words if word not in self.numbers]
+        if new:
+            start = len(self.table)
+            self.table.add([self.packed(self.splitter._whole(f" {word}")) for word in new])
+            self.numbers.update(zip(new, range(start, len(self.table)), strict=True))
+        return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+
+    def encoded(self, texts: pa.Array, apart: Callable[[str], bytes | None] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """In slices of `ROWS`: all ids of a slice, and the positions where its texts begin, with the end of the last.
+
+        Nulls are empty. `apart` gives the ids of a text that is not to be split, or None.
+        """
+        splitter = self.splitter
+        for start in range(0, len(texts), ROWS):
+            if len(self.numbers) > MAX_WORDS:
+                self._empty()
+            part = texts.slice(start, ROWS).cast(pa.large_string()).fill_null("")
+            plain = part.to_pylist()
+            own: list[bytes | None] = [apart(text) if apart else None for text in plain]
+            for row, text in enumerate(plain):
+                if own[row] is None and (not splitter.at_spaces or CROSSED.search(text)):
+                    own[row] = self.packed(splitter.combine(splitter.results(text)))
+            # Texts that were looked up as a whole have no words; their ids stand for their first one.
+            alone = pa.array([ids is not None for ids in own])
+            split = pc.split_pattern(pc.if_else(alone, pa.scalar("", pa.large_string()), part), " ")
+            offsets = np.asarray(split.offsets, np.int64)
+            offsets -= offsets[0]
+            words = split.flatten().dictionary_encode()
+            numbers = self._numbers_of(words.dictionary.to_pylist())[words.indices.to_numpy(zero_copy_only=False)]
+            ids, places = self.table.joined(numbers)
+            # The first word of a text has no space before it: its ids are not those of the table.
+            firsts = [self.packed(splitter._whole(text.partition(" ")[0])) if found is None else found for text, found in zip(plain, own, strict=True)]
+            yield _with_firsts(ids, places, offsets, firsts, self.kind)
+
+
+def _with_firsts(ids: np.ndarray, places: np.ndarray, offsets: np.ndarray, firsts: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts whose first words are replaced."""
+    parts, begins = [], [0]
+    for row, first in enumerate(firsts):
+        found = np.frombuffer(first, kind)
+        rest = ids[places[offsets[row] + 1] : places[offsets[row + 1]]]
+        parts += [found, rest]
+        begins.append(begins[-1] + len(found) + len(rest))
+    return np.concatenate([*parts, np.zeros(0, kind)]), np.array(begins, np.int64)

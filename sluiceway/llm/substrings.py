@@ -6,8 +6,9 @@ each run of windows with one anchor, a segment, has to be parsed only against se
 reference blocks: a block is indexed by a suffix array, every segment is factored greedily against the rest of
 the block, long factors become duplicate spans, and windows across the end of a factor are looked up on their own.
 
-Segments whose anchor is unique, as most are, go no further than a partial count. Equal segments are parsed
-once. Anchors with too many different segments for one block are compared window by window, which can be split.
+Segments whose anchor is unique, as most are, go no further than a partial count. Of equal segments one is parsed, in a block
+that holds it twice. An anchor with too many different segments for one block is made finer: its windows are told apart by
+their second smallest gram as well, then by the third, and so on, which cuts the segments into shorter ones.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import as_text, hashes, mapped, mixed, staged, texts_of, words
+from sluiceway.llm.common import as_text, hashes, intermediate, mapped, mixed, staged, texts_of, words
 
 WINDOW = 35
 GRAM = 8
 BLOCK_WORDS = 60_000
 MAX_KINDS = 512
+# Smallest grams that tell windows apart before the whole window does.
+MAX_GRAMS = 4
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TEXT_SEED = 42
 
@@ -144,28 +147,29 @@ def spans(matches: list[int], window: int) -> list[tuple[int, int]]:
     return merged
 
 
-def parse_block(contents: list[np.ndarray], window: int) -> list[list[tuple[int, int]]]:
-    """Duplicate spans of each segment of a block, found against all its others and itself."""
+def parse_block(contents: list[np.ndarray], copies: list[int], window: int) -> list[list[tuple[int, int]]]:
+    """Duplicate spans of each segment of a block, found against all its others and itself. A segment with copies is there
+    twice, so that it has another to refer to."""
     known, coded = np.unique(np.concatenate(contents), return_inverse=True)
-    offsets = np.cumsum([0, *(len(x) + 1 for x in contents)])
+    begins = np.cumsum([0, *map(len, contents)])
+    order = [*range(len(contents)), *(i for i, n in enumerate(copies) if n > 1)]
+    offsets = np.cumsum([0, *(len(contents[i]) + 1 for i in order)])
     values = np.empty(offsets[-1], np.int64)
-    begin = 0
-    for number, content in enumerate(contents):
-        values[offsets[number] : offsets[number + 1] - 1] = coded[begin : begin + len(content)]
+    for number, i in enumerate(order):
+        values[offsets[number] : offsets[number + 1] - 1] = coded[begins[i] : begins[i + 1]]
         values[offsets[number + 1] - 1] = len(known) + number  # ends no match can cross
-        begin += len(content)
     matches = longest_matches(values, window).tolist()
     return [spans(matches[offsets[i] : offsets[i + 1] - 1], window) for i in range(len(contents))]
 
 
 def _parse(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of the segments that stand only once, from rows sorted by anchor."""
+    """Spans of segments, from rows sorted by anchor."""
     names = ["anchor", "content", "low", "high"]
     waiting: list[tuple[int, int, int, np.ndarray]] = []
 
     def settle(rows) -> pa.RecordBatch:
-        found = parse_block([row[3] for row in rows], window) if rows else []
-        out = [(row[0], row[1], start, end) for row, spans_of in zip(rows, found, strict=True) if row[2] == 1 for start, end in spans_of]
+        found = parse_block([row[3] for row in rows], [row[2] for row in rows], window) if rows else []
+        out = [(row[0], row[1], start, end) for row, spans_of in zip(rows, found, strict=True) for start, end in spans_of]
         columns = list(zip(*out, strict=True)) or [()] * 4
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names)
@@ -182,9 +186,38 @@ def _parse(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield settle(waiting)
 
 
+def finer_segments(values: np.ndarray, n_grams: int | None, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """`(key, first word, words)`: the runs of windows of a segment with one and the same `n_grams`-th smallest gram; without a
+    number the windows themselves."""
+    starts = np.arange(len(values) - window + 1)
+    if n_grams is None:
+        keys = range_hashes(values, starts, starts + window)
+    else:
+        at = np.arange(len(values) - gram + 1)
+        grams = np.lib.stride_tricks.sliding_window_view(range_hashes(values, at, at + gram), window - gram + 1)
+        keys = np.sort(grams, axis=1)[:, n_grams - 1]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if n_grams else starts
+    last = np.append(first[1:], len(starts)) - 1
+    return keys[first], first, last + window - first
+
+
+def _finer(n_grams: int | None, window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["of_anchor", "of_content", "low", "copies", "anchor", "content", "words"]
+    for batch in batches:
+        for anchor, content, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            values = np.frombuffer(raw, np.uint64)
+            keys, first, sizes = finer_segments(values, n_grams, window)
+            own = mixed(keys ^ mixed(np.array([anchor], np.int64).view(np.uint64) + np.uint64(n_grams or 0))).view(np.int64)
+            contents = range_hashes(values, first, first + sizes).view(np.int64)
+            same = [pa.array(np.full(len(first), x), pa.int64()) for x in (anchor, content)]
+            pieces = [values[a : a + n].tobytes() for a, n in zip(first.tolist(), sizes.tolist(), strict=True)]
+            columns = [*same, pa.array(first, pa.int32()), pa.array(np.full(len(first), copies), pa.int64()), pa.array(own), pa.array(contents), pa.array(pieces, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+
 def _cut(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The word hashes of the wanted segments of each text."""
-    names = ["anchor", "content", "copies", "kinds", "words"]
+    names = ["anchor", "content", "copies", "words"]
     for batch in batches:
         for text, wanted in zip(texts_of(batch), batch.column("wanted").to_pylist(), strict=True):
             values = hashes(words(text))
@@ -197,16 +230,6 @@ def _cut(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([*columns, pa.array(pieces, pa.binary())], names)
 
 
-def _windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for anchor, content, copies, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            values = np.frombuffer(raw, np.uint64)
-            starts = np.arange(len(values) - window + 1)
-            found = range_hashes(values, starts, starts + window).view(np.int64)
-            same = [pa.array(np.full(len(starts), x), pa.int64()) for x in (anchor, content, copies)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(starts, pa.int32()), pa.array(found)], ["anchor", "content", "copies", "low", "window"])
-
-
 def kept_words(text: bytes, found: list[dict]) -> tuple[list[bytes], int]:
     """The words outside of the spans, and how many there were."""
     parts = words(text)
@@ -219,27 +242,31 @@ def kept_words(text: bytes, found: list[dict]) -> tuple[list[bytes], int]:
 def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The row structs as columns, with their texts cut where there are spans."""
     for batch in batches:
-        rows = pa.RecordBatch.from_struct_array(batch.column("row"))
-        at = rows.schema.get_field_index("text")
-        texts = []
-        for text, found in zip(rows.column(at), batch.column("spans").to_pylist(), strict=True):
-            texts.append(text.as_py() if found is None else b" ".join(kept_words(text.as_py().encode(), found)[0]).decode())
-        yield rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            rows = pa.RecordBatch.from_struct_array(part.column("row"))
+            at = rows.schema.get_field_index("text")
+            texts = []
+            for text, found in zip(rows.column(at), part.column("spans").to_pylist(), strict=True):
+                texts.append(text.as_py() if found is None else b" ".join(kept_words(text.as_py().encode(), found)[0]).decode())
+            yield rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kept words, their number and digest, for texts with spans."""
     for batch in batches:
-        kept_texts, sizes, removed, digests = [], [], [], []
-        for text, found in zip(texts_of(batch), batch.column("spans").to_pylist(), strict=True):
-            stay, size = kept_words(text, found)
-            kept = b" ".join(stay)
-            kept_texts.append(kept)
-            sizes.append(size)
-            removed.append(size - len(stay))
-            digests.append(hashlib.sha256(kept).hexdigest())
-        columns = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.binary()).cast(pa.string())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "digest", "kept"])
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            kept_texts, sizes, removed, digests = [], [], [], []
+            for text, found in zip(texts_of(part), part.column("spans").to_pylist(), strict=True):
+                stay, size = kept_words(text, found)
+                kept = b" ".join(stay)
+                kept_texts.append(kept)
+                sizes.append(size)
+                removed.append(size - len(stay))
+                digests.append(hashlib.sha256(kept).hexdigest())
+            columns = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "n_words", "n_removed", "digest", "kept"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -256,52 +283,66 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, window: int = WINDOW, max_kinds: int = MAX_KINDS):
         self.docs = as_text(docs)
-        self.scanned = staged(
-            mapped(
-                self.docs,
-                functools.partial(_scan, window),
-                "doc_id long, key long, check long, n_words long, digest string,"
-                " anchors array<long>, contents array<long>, starts array<int>, lengths array<int>",
-            ),
-            "segments",
-        )
-        pieces = self.scanned.select("key", "check", F.explode(F.arrays_zip("anchors", "contents", "starts", "lengths")).alias("piece")).select(
-            "key", "check", F.col("piece.anchors").alias("anchor"), F.col("piece.contents").alias("content"), F.col("piece.starts").alias("start"), F.col("piece.lengths").alias("length")
-        )
-        # Counts first: a frequent anchor is one row per task from here on.
-        anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"), F.min("content").alias("low"), F.max("content").alias("high"))
-        # Written first, so that the join has a shuffle of its own on either side and Spark can split hot anchors.
-        anchors = staged(anchors.where("total > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike")), "anchors")
-        repeated = staged(pieces.join(anchors, "anchor"), "repeated")
-        whole = repeated.where("alike").select("key", "check", "start", (F.col("start") + F.col("length")).alias("end"))
-        several = repeated.where("NOT alike")
-        marks = self._marks(several, window, max_kinds)
-        marked = several.join(marks, ["anchor", "content"])
-        ranges = marked.select("key", "check", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.coalesce("high", "length")).alias("end"))
-        # As many ranges as a text has segments, at most a few times over.
-        self.spans = staged(whole.union(ranges).distinct().groupBy("key", "check").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+        spark = docs.sparkSession
+        with intermediate(spark) as keep:
+            scanned = staged(
+                mapped(
+                    self.docs,
+                    functools.partial(_scan, window),
+                    "doc_id long, key long, check long, n_words long, digest string,"
+                    " anchors array<long>, contents array<long>, starts array<int>, lengths array<int>",
+                ),
+                "segments",
+            )
+            pieces = scanned.select("key", "check", F.explode(F.arrays_zip("anchors", "contents", "starts", "lengths")).alias("piece")).select(
+                "key", "check", F.col("piece.anchors").alias("anchor"), F.col("piece.contents").alias("content"), F.col("piece.starts").alias("start")
+            )
+            # Counts first: a frequent anchor is one row per task from here on.
+            anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"))
+            # Written first, so that the join has a shuffle of its own on either side and Spark can split hot anchors.
+            anchors = staged(anchors.where("total > 1").select("anchor"), "anchors")
+            repeated = staged(pieces.join(anchors, "anchor"), "repeated")
+            marks = staged(self._marks(repeated, window, max_kinds), "marks")
+            ranges = repeated.join(marks, ["anchor", "content"]).select("key", "check", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
+            # As many ranges as a text has segments, at most a few times over.
+            self.spans = keep(ranges.distinct().groupBy("key", "check").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+            self.scanned = keep(scanned.select("doc_id", "key", "check", "n_words", "digest"), "scanned")
 
     def _marks(self, pieces: DataFrame, window: int, max_kinds: int) -> DataFrame:
-        """Spans `(anchor, content, low, high)` within segments whose anchor leads different ones; a null `high` is the end."""
+        """Spans `(anchor, content, low, high)` within segments whose anchor is repeated; all of them are factors."""
         kinds = pieces.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min("key").alias("key"))
-        kinds = staged(kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor"), "kinds")
-        wanted = kinds.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "copies", "kinds")).alias("wanted"))
+        wanted = kinds.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "copies")).alias("wanted"))
         sources = _keyed(self.docs).join(wanted, "key").select("text", "wanted")
-        cut = mapped(sources, functools.partial(_cut, window), "anchor long, content long, copies long, kinds long, words binary")
-        cut = staged(cut.dropDuplicates(["anchor", "content"]), "reference")
+        cut = mapped(sources, functools.partial(_cut, window), "anchor long, content long, copies long, words binary")
+        return self._factors(cut.dropDuplicates(["anchor", "content"]), window, max_kinds, 2)
+
+    def _factors(self, cut: DataFrame, window: int, max_kinds: int, n_grams: int | None) -> DataFrame:
+        """Spans of the segments `cut (anchor, content, copies, words)`, which are distinct: of small blocks by parsing, of
+        others after they are made finer."""
+        cut = staged(cut, "reference")
+        kinds = cut.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
+        sized = staged(cut.join(kinds.select("anchor", "kinds"), "anchor"), "sized")
         columns = ["anchor", "content", "copies", "words"]
-        blocks = cut.where(F.col("kinds") <= max_kinds).select(*columns).repartition("anchor").sortWithinPartitions("anchor")
+        blocks = sized.where(F.col("kinds") <= max_kinds).select(*columns).repartition("anchor").sortWithinPartitions("anchor")
         parsed = mapped(blocks, functools.partial(_parse, window), "anchor long, content long, low int, high int")
-        every = mapped(cut.where(F.col("kinds") > max_kinds).select(*columns), functools.partial(_windows, window), "anchor long, content long, copies long, low int, window long")
-        again = every.groupBy("anchor", "window").agg(F.sum("copies").alias("total")).where("total > 1")
-        crowded = every.where("copies = 1").join(again, ["anchor", "window"]).select("anchor", "content", "low", (F.col("low") + window).alias("high"))
-        copied = kinds.where("copies > 1").select("anchor", "content", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"))
-        return copied.union(parsed).union(crowded)
+        crowded = sized.where(F.col("kinds") > max_kinds).select(*columns)
+        if crowded.isEmpty():
+            return parsed
+        schema = "of_anchor long, of_content long, low int, copies long, anchor long, content long, words binary"
+        finer = staged(mapped(crowded, functools.partial(_finer, n_grams, window), schema), "finer")
+        again = finer.groupBy("anchor", "content").agg(F.sum("copies").alias("copies"), F.any_value("words").alias("words"))
+        following = None if n_grams is None or n_grams >= MAX_GRAMS else n_grams + 1
+        found = self._factors(again, window, max_kinds, following).withColumnsRenamed({"low": "from", "high": "to"})
+        owners = finer.select("anchor", "content", "of_anchor", "of_content", "low")
+        inner = owners.join(found, ["anchor", "content"]).select(
+            F.col("of_anchor").alias("anchor"), F.col("of_content").alias("content"), (F.col("low") + F.col("from")).alias("low"), (F.col("low") + F.col("to")).alias("high")
+        )
+        return parsed.union(inner)
 
     def without(self) -> DataFrame:
         """`(doc_id, n_words, n_removed, digest)`: sizes before, words removed, SHA-256 of the kept words joined by one space."""
         changed = self.spans.select("key", "check")
-        same = self.scanned.select("doc_id", "key", "check", "n_words", "digest").join(changed, ["key", "check"], "left_anti")
+        same = self.scanned.join(changed, ["key", "check"], "left_anti")
         same = same.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "digest")
         return same.union(self.kept_texts().drop("kept"))
 

@@ -6,7 +6,7 @@ token is found by one rank per level, without decoding its neighbours.
 
 A token file is a directory of Parquet files written by Spark. A row is a segment: consecutive documents in ascending
 order of doc_id, their ends, and the code of their ids. `part` and `offset` place it; `starts` beside it holds the first
-position of each part.
+position of each part. Codes are stored uncompressed: a token is read from its segment's bytes as they are.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluiceway.llm.common import as_text, mapped
-from sluiceway.llm.pieces import Splitter
+from sluiceway.llm.pieces import Splitter, WordTable
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
@@ -136,6 +136,7 @@ class PieceEncoder:
         self.end = struct.pack("<I", encoding.end_id)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.splitter = Splitter(encoding.pattern, self._piece, b"".join)
+        self.table = WordTable(self.splitter, np.dtype("<u4"), bytes)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece by the tokenizer's merges; they work on a letter for each byte."""
@@ -146,11 +147,19 @@ class PieceEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _apart(self, text: str) -> bytes | None:
+        return self._ids(text) if any(mark in text for mark in self.special) else None
+
     def encode(self, text: str) -> bytes:
         """Ids and the end id as little-endian unsigned 32-bit integers."""
-        if any(mark in text for mark in self.special):
-            return self._ids(text) + self.end
-        return b"".join(self.splitter.results(text)) + self.end
+        whole = self._apart(text)
+        return (b"".join(self.splitter.results(text)) if whole is None else whole) + self.end
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, without the end id."""
+        for ids, places in self.table.encoded(texts, self._apart):
+            for start, end in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
+                yield ids[start:end]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -168,20 +177,21 @@ def _segments(encoding: Encoding, segment_tokens: int, batches: Iterator[pa.Reco
     encoder = encoder_of(encoding)
     part, offset, size = TaskContext.get().partitionId(), 0, 0
     doc_ids: list[int | None] = []
-    pieces: list[bytes] = []
+    pieces: list[np.ndarray] = []
+    last = np.array([encoding.end_id], "<u4")
 
     def segment() -> pa.RecordBatch:
-        codes = Codes.of(np.frombuffer(b"".join(pieces), "<u4"))
-        ends = np.cumsum([len(piece) // 4 for piece in pieces])
+        codes = Codes.of(np.concatenate([part for piece in pieces for part in (piece, last)]))
+        ends = np.cumsum([len(piece) + 1 for piece in pieces])
         rows = [[part], [offset], [len(codes)], [doc_ids], [ends], [codes.to_bytes()]]
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(rows, kinds, strict=True)], NAMES)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text")), strict=True):
             doc_ids.append(doc_id)
-            pieces.append(encoder.encode(text.as_py() or ""))
-            size += len(pieces[-1]) // 4
+            pieces.append(ids)
+            size += len(ids) + 1
             if size >= segment_tokens:
                 yield segment()
                 offset, size, doc_ids, pieces = offset + size, 0, [], []
@@ -203,7 +213,7 @@ def write(docs: DataFrame, encoding: Encoding, path: str, segment_tokens: int =
     # Equal ids may be many rows: the rest of the key lets them spread over neighbouring parts.
     ordered = as_text(docs).withColumns({"rest": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     ordered = ordered.repartitionByRange("doc_id", "rest", "row").sortWithinPartitions("doc_id", "rest", "row").select("doc_id", "text")
-    mapped(ordered, functools.partial(_segments, encoding, segment_tokens), SCHEMA).write.option("compression", "zstd").parquet(f"{path}/segments")
+    mapped(ordered, functools.partial(_segments, encoding, segment_tokens), SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/segments")
     # One row per part; a running sum over them.
     totals = spark.read.schema(SCHEMA).parquet(f"{path}/segments").groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

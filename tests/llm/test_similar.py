@@ -3,12 +3,10 @@ from __future__ import annotations
 import itertools
 import random
 
-import numpy as np
-import pytest
 from corpus_helpers import frame, messy_rows, prose
 
 import corpus_pipeline
-from sluiceway.llm import similar
+from sluiceway.llm import lsh_forest
 
 
 def plain_set(text):
@@ -53,12 +51,14 @@ def edited_copies():
     return rows
 
 
-@pytest.mark.parametrize(("sample", "common"), [(20_000, 100_000), (20, 100_000), (20_000, 0)])
-def test_all_pairs_of_the_similarity(spark, monkeypatch, sample, common):
-    monkeypatch.setattr(similar, "SAMPLE", sample)
-    monkeypatch.setattr(similar, "MAX_COMMON", common)
+def test_all_pairs_of_the_similarity(spark):
     rows = messy_rows() + edited_copies()
-    assert sorted(map(tuple, similar.near_copies(frame(spark, rows, extra=True)).collect()), key=repr) == smallest(rows)
+    kept = lsh_forest.representatives(frame(spark, rows, extra=True), 5, 80).collect()
+    expected = {}
+    for group, row in zip(plain_groups(rows), rows, strict=True):
+        expected.setdefault(group, []).append(row)
+    least = [min((i for i, _ in group if i is not None), default=None) for group in expected.values()]
+    assert sorted((r["doc_id"] for r in kept), key=repr) == sorted(least, key=repr)
 
 
 def test_stage_keeps_one_of_copies_far_apart_in_simhash(spark):
@@ -68,10 +68,4 @@ def test_stage_keeps_one_of_copies_far_apart_in_simhash(spark):
 
 
 def test_no_rows(spark):
-    assert similar.near_copies(frame(spark, [])).collect() == []
-    assert similar.representatives(frame(spark, [], extra=True)).collect() == []
-
-
-def test_common_shingles_come_last():
-    found = np.array([5, -3, 9, 7], np.int64)
-    assert similar.ordered(found, (np.array([5, 9]), np.array([4, 3]))).tolist() == [-3, 7, 9, 5]
+    assert lsh_forest.representatives(frame(spark, [], extra=True), 5, 80).collect() == []
