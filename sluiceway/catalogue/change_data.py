@@ -106,6 +106,22 @@ def json_infer_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrap(decode_json_inferred(rows)).select("event_id", "amount", "event_type")
 
 
+@query(
+    """SELECT o_orderkey, (9223372036854775000 + o_orderkey % 800)::VARCHAR || CASE WHEN o_orderkey % 2 = 0 THEN '.5' ELSE '.0' END AS wide,
+       (o_orderkey % 1000 + CASE WHEN o_orderkey % 3 = 0 THEN 0.25 ELSE 0 END)::DOUBLE AS narrow,
+       repeat('7', 30) || printf('%015d', o_orderkey) AS long FROM orders"""
+)
+def json_infer_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers at the end of a bigint beside fractions, plain numbers beside fractions, and 45 digits."""
+    key = F.col("o_orderkey")
+    wide = F.concat((F.lit(9223372036854775000) + key % 800).cast("string"), F.when(key % 2 == 0, ".5").otherwise(""))
+    narrow = F.concat((key % 1000).cast("string"), F.when(key % 3 == 0, ".25").otherwise(""))
+    long = F.concat(F.lit("7" * 30), F.lpad(key.cast("string"), 15, "0"))
+    text = F.concat(F.lit('{"o_orderkey": '), key, F.lit(', "wide": '), wide, F.lit(', "narrow": '), narrow, F.lit(', "long": '), long, F.lit("}"))
+    rows = unwrap(decode_json_inferred(table(spark, sf_dir, "orders").select(text.alias("value"))))
+    return rows.select("o_orderkey", F.col("wide").cast("string").alias("wide"), "narrow", "long")
+
+
 @query(
     """SELECT event_id, CASE WHEN event_id % 11 > 1 THEN user_id END AS user_id,
        CASE event_id % 11 WHEN 0 THEN '{broken' WHEN 1 THEN '' END AS malformed FROM events"""

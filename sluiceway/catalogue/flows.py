@@ -18,7 +18,7 @@ from sluiceway.catalogue.tables import (
     table,
     topic_of_changes,
 )
-from sluiceway.operators import decode_json, encode_json, snapshot, unwrap
+from sluiceway.operators import StreamRowCounts, decode_json, encode_json, filter_rows, snapshot, unwrap
 from sluiceway.sources import storage
 from sluiceway.sources.changelog import append_log, read_log
 from sluiceway.sources.formats import APPEND, FileFormat, find_format, register_format, unregister_format
@@ -85,6 +85,17 @@ def format_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
         unregister_format("packed")
 
 
+@query("SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE doc_id % 3 = 0")
+def format_own_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A format that is a Python data source, named by its class: written, appended to, overwritten, read by its own schema."""
+    path, fmt = storage.scratch_dir(spark, "arrow"), find_format("sluiceway.sources.arrow_files.ArrowFiles")
+    documents = table(spark, sf_dir, "documents")
+    fmt.write(documents.limit(0), path)
+    fmt.write(documents, path)
+    fmt.write(documents.where("doc_id % 3 = 0"), path, APPEND)
+    return fmt.read(spark, path)
+
+
 @query("SELECT * FROM lineitem")
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.scratch_dir(spark, "partitioned")
@@ -424,3 +435,50 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         query.processAllAvailable()
         query.stop()
     return find_format("parquet").read(spark, path)
+
+
+@query(
+    """SELECT event_id, user_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value,
+       CASE WHEN event_id % 2 = 1 THEN event_type END AS inner_kind FROM events"""
+)
+def stream_infer_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that come with the second micro-batch, at the root and in a struct: rows before it have nulls there."""
+    path, log, checkpoint = (storage.scratch_dir(spark, x) for x in ("growing", "log", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    early = F.struct("event_id", "user_id", "event_type", F.struct("user_id").alias("inner"))
+    late = F.struct("event_id", "user_id", "event_type", "value", F.struct("user_id", F.col("event_type").alias("kind")).alias("inner"))
+    flow = {
+        "source": {"changelog": {"path": log}},
+        "destination": {"local": {"path": path, "dataFormat": "parquet"}},
+        "readDataType": "cdc",
+        "writeDataType": "log",
+        "growingSchema": True,
+    }
+    for half, value in enumerate((early, late)):
+        rows = events.where(F.col("event_id") % 2 == half).select(value.alias("value"), F.col("event_id").alias("offset"))
+        append_log(encode_json(rows, keep=["offset"]), log)
+        drain(spark, flow, checkpoint)
+    rows = find_format("parquet").read(spark, path, None, {"mergeSchema": "true"})
+    return rows.select("event_id", "user_id", "event_type", "value", F.col("inner.kind").alias("inner_kind"))
+
+
+@query(
+    """SELECT count(*) AS read_rows, count(*) FILTER (WHERE event_type <> 'error') AS written_rows,
+       count(*) FILTER (WHERE event_type <> 'error') AS stored_rows, true AS several_batches FROM events"""
+)
+def stream_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and written by a stream of several micro-batches, as counted while it ran, beside those stored."""
+    path, source, checkpoint = (storage.scratch_dir(spark, x) for x in ("counted", "parts", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(source)
+    with StreamRowCounts(spark) as counts:
+        rows = find_format("parquet").read_stream(spark, source, events.schema, {"maxFilesPerTrigger": "1"})
+        rows = counts.register(filter_rows(counts.register(rows, "read"), "event_type <> 'error'"), "written")
+        writer = find_format("parquet").write_stream(rows, path).option("checkpointLocation", checkpoint)
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        totals, several = counts.totals(query), counts.batches(query) > 1
+    stored = find_format("parquet").read(spark, path).agg(F.count("*").alias("stored_rows"))
+    return stored.select(
+        F.lit(totals["read"]).cast("long").alias("read_rows"), F.lit(totals["written"]).cast("long").alias("written_rows"), "stored_rows", F.lit(several).alias("several_batches")
+    )

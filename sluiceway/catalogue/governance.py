@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,8 @@ from sluiceway.catalogue.oracles import (
     sha512_of,
 )
 from sluiceway.catalogue.registry import query
-from sluiceway.catalogue.tables import change_log, table
+from sluiceway.catalogue.tables import KEY_SCHEMA, VALUE_SCHEMA, change_log, table
+from sluiceway.functions import column_names, field_type
 from sluiceway.functions.nullability import require_not_null
 from sluiceway.operators import (
     CHANGE,
@@ -22,11 +26,14 @@ from sluiceway.operators import (
     Step,
     apply_steps,
     augment_metadata,
+    decode,
     digest_columns,
+    encode_json,
     filter_rows,
     keep_all,
     lineage,
     load_steps,
+    record_schema,
     redact_columns,
     remove_columns,
     sample_rows,
@@ -328,3 +335,75 @@ def not_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped = wrap(require_not_null(orders, "o_totalprice"), ["o_orderkey"])
     checked = require_not_null(require_not_null(wrapped, "key.o_orderkey"), "value.o_custkey")
     return unwrap(checked)
+
+
+def _values_per_column(df: DataFrame, described: dict[str, tuple]) -> DataFrame:
+    """One row per column name: what is said of it, and how many values it has."""
+    counted = df.agg(*[F.count(path).alias(f"n{k}") for k, path in enumerate(described)])
+    rows = [F.struct(F.lit(path).alias("column"), *[F.lit(x).alias(f"c{i}") for i, x in enumerate(said)], F.col(f"n{k}").alias("n_values")) for k, (path, said) in enumerate(described.items())]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+@query(
+    """SELECT * FROM (SELECT 'o_orderkey' AS "column", 'long' AS type, count(o_orderkey) AS n_values FROM orders
+       UNION ALL SELECT 'o_custkey', 'long', count(o_custkey) FROM orders
+       UNION ALL SELECT 'o_orderstatus', 'string', count(o_orderstatus) FROM orders
+       UNION ALL SELECT 'o_totalprice', 'double', count(o_totalprice) FROM orders
+       UNION ALL SELECT 'o_orderdate', 'long', count(o_orderdate) FROM orders
+       UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority) FROM orders)"""
+)
+def metadata_record_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of a table's record schema, with the number of values each has."""
+    orders = augment_metadata(table(spark, sf_dir, "orders"))
+    fields = json.loads(record_schema(orders, "orders"))["fields"]
+    kinds = {f["name"]: f["type"][0] if isinstance(f["type"], list) else f["type"] for f in fields}
+    return _values_per_column(orders, {name: (kind["type"],) for name, kind in kinds.items()}).withColumnRenamed("c0", "type")
+
+
+@query(
+    """SELECT 'key.user_id' AS "column", 'bigint' AS type, 1 AS siblings, count(user_id) AS n_values FROM events
+       UNION ALL SELECT 'value.event_type', 'string', 3, count(CASE WHEN event_type <> 'error' THEN event_type END) FROM events
+       UNION ALL SELECT 'value.value', 'double', 3, count(CASE WHEN event_type <> 'error' THEN value END) FROM events
+       UNION ALL SELECT 'offset', 'bigint', 3, count(event_id) FROM events"""
+)
+def metadata_accessors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and neighbours of columns at the root and in structs of a change log."""
+    changes = change_log(spark, sf_dir)
+    said = {}
+    for path in ("key.user_id", "value.event_type", "value.value", "offset"):
+        parent = path.rpartition(".")[0] or None
+        said[path] = (field_type(changes, path).simpleString(), len(column_names(changes, parent)))
+    return _values_per_column(changes, said).withColumnsRenamed({"c0": "type", "c1": "siblings"})
+
+
+@query(
+    """SELECT 'value' AS given, true AS accepted, count(*) AS decoded FROM events
+       UNION ALL SELECT 'key and value', true, count(*) FROM events
+       UNION ALL SELECT 'nothing', true, count(*) FROM events
+       UNION ALL SELECT 'key', false, 0
+       UNION ALL SELECT 'value and registry', false, 0
+       UNION ALL SELECT 'key, value and registry', false, 0"""
+)
+def schema_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which ways of giving schemas are accepted, and how many changes each decodes."""
+    rows = encode_json(change_log(spark, sf_dir), keep=["offset"])
+    known = {"value": {1: "{}"}}
+    given = {
+        "value": {"value_schema": VALUE_SCHEMA},
+        "key and value": {"value_schema": VALUE_SCHEMA, "key_schema": KEY_SCHEMA},
+        "nothing": {},
+        "key": {"key_schema": KEY_SCHEMA},
+        "value and registry": {"fmt": "avro", "value_schema": "{}", "registry": known},
+        "key, value and registry": {"fmt": "avro", "value_schema": "{}", "key_schema": "{}", "registry": known},
+    }
+    found = []
+    for name, settings in given.items():
+        try:
+            decoded = decode(rows, **settings)
+        except ValueError:
+            found.append(spark.range(1).select(F.lit(name).alias("given"), F.lit(False).alias("accepted"), F.lit(0).cast("long").alias("decoded")))
+            continue
+        # Every change is decoded for its count, deletes as well.
+        seen = decoded.agg(F.count("*").alias("decoded"), F.count("value.user_id").alias("values"))
+        found.append(seen.select(F.lit(name).alias("given"), F.lit(True).alias("accepted"), "decoded"))
+    return reduce(DataFrame.union, found)

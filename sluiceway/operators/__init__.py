@@ -13,7 +13,7 @@ from sluiceway.operators.codec import (
     infer_json_schemas,
     inspect_raw,
 )
-from sluiceway.operators.counts import RowCounts
+from sluiceway.operators.counts import RowCounts, StreamRowCounts
 from sluiceway.operators.envelope import ENVELOPE, change_pair, unwrap, wrap
 from sluiceway.operators.governance import (
     CHANGE,
@@ -36,6 +36,7 @@ __all__ = [
     "LOG",
     "ConnectorMissing",
     "RowCounts",
+    "StreamRowCounts",
     "Step",
     "apply_changes",
     "apply_steps",

@@ -10,7 +10,18 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, NullType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    MapType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from sluiceway.functions.framing import frame, payload, schema_id
 from sluiceway.functions.json_text import JSON_WRITE_OPTIONS
@@ -65,9 +76,25 @@ KEEP = "keep"
 MALFORMED = "malformed"
 
 
-def _parsed(column: str, schema: str | StructType, fields: Iterable[str] | None) -> Column:
+# Digits that a double always holds, and digits that a decimal can have.
+DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
+# A number between the signs of JSON: a whole one, and one with more digits than a decimal.
+_WHOLE = r"([:\[,]\s*-?[0-9]{1,37})(?=\s*[,}\]])"
+_LONG = rf"([:\[,]\s*)(-?[0-9][0-9.]{{{DECIMAL_DIGITS},}}(?:[eE][+-]?[0-9]+)?)(?=\s*[,}}\]])"
+
+
+def _long_numbers_quoted(text: Column) -> Column:
+    """JSON in which numbers with more digits than a decimal are texts: as numbers they would be read as doubles. Digits
+    within a text are left alone, as quotes around them would make it no JSON."""
+    quoted = F.regexp_replace(text, _LONG, '$1"$2"')
+    return F.when(text.rlike(f"[0-9][0-9.]{{{DECIMAL_DIGITS}}}") & F.try_parse_json(quoted).isNotNull(), quoted).otherwise(text)
+
+
+def _parsed(column: str, schema: str | StructType, fields: Iterable[str] | None, long_numbers: bool = False) -> Column:
     """Decoded text; what is no JSON of the schema, empty text included, is an error, as is a field that is not listed."""
     text = _text(F.col(column))
+    if long_numbers:
+        text = _long_numbers_quoted(text)
     checked = F.when(F.trim(text) == "", F.raise_error(F.lit(f"empty text in {column}, which is no JSON")).cast("string")).otherwise(text)
     if fields is not None:
         unknown = F.array_except(F.json_object_keys(text), F.array(*[F.lit(name) for name in fields]).cast("array<string>"))
@@ -93,19 +120,21 @@ def decode_json(
     key_schema: str | StructType | None = None,
     malformed: str = FAIL,
     fields: Mapping[str, Iterable[str]] | None = None,
+    long_numbers: bool = False,
 ) -> DataFrame:
     """Parse JSON `value` (and `key`) by schema: DDL, Spark schema JSON or a StructType.
 
     Text that is not JSON of the schema is an error, and so is empty text: neither may turn into a row of nulls or
     a delete. With `malformed="keep"` a value of that kind becomes a struct of nulls, so never a delete, and its text is kept
     in a column `malformed`, which is null for all other rows; keys always have to be right. `fields` lists, for
-    "key" and "value", the only fields that may be there; others are errors.
+    "key" and "value", the only fields that may be there; others are errors. With `long_numbers` a field that is text keeps
+    all digits of a number, however many.
     """
     if malformed not in (FAIL, KEEP):
         raise ValueError(f"malformed has to be {FAIL!r} or {KEEP!r}, not {malformed!r}")
     listed = fields or {}
     if malformed == FAIL:
-        df = replace_column(df, "value", _parsed("value", value_schema, listed.get("value")).alias("value"))
+        df = replace_column(df, "value", _parsed("value", value_schema, listed.get("value"), long_numbers).alias("value"))
     else:
         struct = _struct_of(value_schema)
         if MALFORMED in df.columns or MALFORMED in struct.names:
@@ -120,52 +149,93 @@ def decode_json(
         value = F.when(text.isNull(), F.lit(None)).when(bad.isNotNull(), empty).otherwise(plain)
         df = replace_column(df.withColumn(MALFORMED, bad), "value", value.cast(struct).alias("value"))
     if key_schema is not None:
-        df = replace_column(df, "key", _parsed("key", key_schema, listed.get("key")).alias("key"))
+        df = replace_column(df, "key", _parsed("key", key_schema, listed.get("key"), long_numbers).alias("key"))
     return df
 
 
 # Types as Spark prints them for variants; names in backticks and names before a colon are left alone.
-_PRINTED = re.compile(r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|DECIMAL\((\d+),(\d+)\)|VARIANT|VOID)(?!\s*:)")
+_PRINTED = re.compile(r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|VARIANT|VOID)(?!\s*:)")
 
 
-def _ddl(printed: str) -> str:
-    """DDL of a type printed by `schema_of_variant_agg`: fractions are doubles, values of several types stay text."""
+def _type(printed: str) -> DataType:
+    """The type that `schema_of_variant_agg` prints. Values of several types, and those that are always null, are text."""
+    words = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+    return DataType.fromDDL(_PRINTED.sub(lambda found: words.get(found.group(), found.group()), printed))
 
-    def plain(found: re.Match) -> str:
-        word = found.group()
-        if word.startswith("`"):
-            return word
-        if word.startswith("DECIMAL"):
-            # Without a fraction: 1.0 and the like, or, with more digits than a bigint has, whole numbers to be kept exactly.
-            return "DOUBLE" if int(found.group(2)) or int(found.group(1)) <= 18 else word
-        return {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}[word]
 
-    return _PRINTED.sub(plain, printed)
+def _pairs(a: DataType, b: DataType | None):
+    """Types that stand in the same place of two types; None where the second one has another form."""
+    if isinstance(a, StructType):
+        other = {f.name: f.dataType for f in b.fields} if isinstance(b, StructType) else {}
+        for f in a.fields:
+            yield from _pairs(f.dataType, other.get(f.name))
+    elif isinstance(a, ArrayType):
+        yield from _pairs(a.elementType, b.elementType if isinstance(b, ArrayType) else None)
+    else:
+        yield a, b
+
+
+def _exact(a: DataType, b: DataType | None) -> DataType:
+    """`a` with its decimals as wide as their values need, which `b` tells: doubles if these hold all their digits."""
+    if isinstance(a, StructType):
+        other = {f.name: f.dataType for f in b.fields} if isinstance(b, StructType) else {}
+        return StructType([StructField(f.name, _exact(f.dataType, other.get(f.name)), f.nullable) for f in a.fields])
+    if isinstance(a, ArrayType):
+        return ArrayType(_exact(a.elementType, b.elementType if isinstance(b, ArrayType) else None), a.containsNull)
+    if not isinstance(a, DecimalType):
+        return a
+    if a.precision <= DOUBLE_DIGITS:
+        return DoubleType()
+    if isinstance(b, DecimalType):
+        # There all numbers have a fraction, so the digits before it are those of the values.
+        whole = b.precision - b.scale
+        return DoubleType() if whole + a.scale <= DOUBLE_DIGITS else DecimalType(min(max(whole, 1) + a.scale, DECIMAL_DIGITS), a.scale)
+    return a
 
 
 def infer_json_schemas(df: DataFrame) -> tuple[str | None, str] | None:
     """(key schema, value schema) that fit all rows; None if no row has a value.
 
-    One distributed aggregate over all rows: a field of any row is in the schema, and a number that is whole in one row
-    and fractional in another is a double. Values of several types stay text. Text that is no JSON does not count; it
+    One distributed aggregate over all rows: a field of any row is in the schema. Numbers keep all their digits: whole ones are
+    bigints, those with a fraction in some row doubles as long as 15 digits do, else decimals, and text beyond the 38
+    digits of a decimal. Values of several types stay text. Text that is no JSON does not count; it
     fails when it is decoded. A key that is always null is not decoded.
     """
     has_key = "key" in df.columns and df.schema["key"].dataType != NullType()
-    texts = df.select(_text(F.col("key") if has_key else F.lit(None)).alias("key"), _text(F.col("value")).alias("value"))
-    kinds = [F.expr(f"schema_of_variant_agg(try_parse_json({c}))").alias(c) for c in ("key", "value")]
-    found = texts.agg(*kinds, F.count("key").alias("keys"), F.count("value").alias("values")).first()
+    texts = df.select(_text(F.col("value")).alias("value"), *([_text(F.col("key")).alias("key")] if has_key else []))
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    if not df.isStreaming and 2 * texts._jdf.rdd().getNumPartitions() <= parallel:
+        # Parsing is most of the work: a small input in few files is dealt to all cores.
+        texts = texts.repartition(parallel)
+    texts = texts.select([_long_numbers_quoted(F.col(c)).alias(c) for c in texts.columns])
+    kinds = [F.expr(f"schema_of_variant_agg(try_parse_json({c}))").alias(c) for c in texts.columns]
+    found = texts.agg(*kinds, F.count("value").alias("values")).first()
     if not found["values"]:
         return None
     if found["value"] == "VOID":
         raise ValueError("cannot infer a schema: no value is JSON; give value_schema")
-    return (_ddl(found["key"]) if found["keys"] and found["key"] != "VOID" else None), _ddl(found["value"])
+    types = {c: _type(found[c]) for c in texts.columns if found[c] != "VOID"}
+    wide = {c for c, kind in types.items() if any(isinstance(a, DecimalType) and a.precision > DOUBLE_DIGITS for a, _ in _pairs(kind, None))}
+    widths = {}
+    if wide:
+        # Beside fractions a whole number counts as one of 20 digits; with a fraction of its own it has the digits it has.
+        kinds = [F.expr(f"schema_of_variant_agg(try_parse_json({c}))").alias(c) for c in wide]
+        row = texts.select([F.regexp_replace(c, _WHOLE, "$1.0").alias(c) for c in wide]).agg(*kinds).first()
+        widths = {c: _type(row[c]) for c in wide}
+    schemas = {c: _exact(kind, widths.get(c)) for c, kind in types.items()}
+    printed = {c: _ddl_of(kind) for c, kind in schemas.items()}
+    return printed.get("key"), printed["value"]
+
+
+def _ddl_of(kind: DataType) -> str:
+    return kind.toDDL() if isinstance(kind, StructType) else kind.simpleString()
 
 
 def decode_json_inferred(df: DataFrame) -> DataFrame:
     schemas = infer_json_schemas(df)
     if schemas is None:
         raise ValueError("cannot infer a schema: there is no row with a value; give value_schema")
-    return decode_json(df, schemas[1], schemas[0])
+    return decode_json(df, schemas[1], schemas[0], long_numbers=True)
 
 
 def _encode_json(column: Column, data_type: DataType) -> Column:

@@ -33,6 +33,7 @@ KEYS = {
     "transformation",
     "checkpoint_location",
     "per_batch",
+    "growing_schema",
     "order_by",
     "drop_tombstones",
     "spark",
@@ -51,8 +52,8 @@ class FlowSpec:
     """What to move from where to where, and how.
 
     `per_batch` makes a stream treat each micro-batch as static data. That is for custom
-    steps with operations Spark has for static data only; a batch that is retried may then
-    be appended to files twice. `order_by` names the columns that tell which of two changes
+    steps with operations Spark has for static data only. `growing_schema` does so too, and lets
+    the inferred schema of a stream grow by the fields of each micro-batch. `order_by` names the columns that tell which of two changes
     is the later one, where that is not the offset. `drop_tombstones` leaves deletes out of a
     stream of change data into log data, which otherwise become rows of nulls.
     """
@@ -67,6 +68,7 @@ class FlowSpec:
     steps: tuple[Step, ...] = field(default=())
     checkpoint: str | None = None
     per_batch: bool = False
+    growing_schema: bool = False
     order_by: str | Sequence[str] | None = None
     drop_tombstones: bool = False
 
@@ -104,6 +106,8 @@ class FlowSpec:
             given["checkpoint"] = settings["checkpoint_location"]
         if "per_batch" in settings:
             given["per_batch"] = flag(settings["per_batch"])
+        if "growing_schema" in settings:
+            given["growing_schema"] = flag(settings["growing_schema"])
         if "drop_tombstones" in settings:
             given["drop_tombstones"] = flag(settings["drop_tombstones"])
         if "order_by" in settings:

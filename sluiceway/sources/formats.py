@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
@@ -13,6 +14,7 @@ from sluiceway.functions.structs import root
 from sluiceway.operators.codec import JSON_WRITE_OPTIONS
 from sluiceway.operators.steps import import_object
 from sluiceway.sources import storage
+from sluiceway.sources.arrow_files import ArrowFiles
 
 OVERWRITE = "overwrite"
 APPEND = "append"
@@ -123,6 +125,37 @@ class FileFormat:
         return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+@dataclass(frozen=True)
+class SourceFormat(FileFormat):
+    """A format that is a Python data source: a class with a reader and a writer of its own, which Spark is told of on use."""
+
+    source: type[DataSource] | None = None
+
+    @classmethod
+    def of(cls, source: type[DataSource], **options) -> SourceFormat:
+        return cls(source.name(), source=source, **options)
+
+    def read(self, spark: SparkSession, path, schema=None, options=None) -> DataFrame:
+        spark.dataSource.register(self.source)
+        return super().read(spark, path, schema, options)
+
+    def read_stream(self, spark: SparkSession, path: str, schema=None, options=None) -> DataFrame:
+        spark.dataSource.register(self.source)
+        return super().read_stream(spark, path, schema, options)
+
+    def write(self, df: DataFrame, path: str, operation: str = OVERWRITE, partition_by: Sequence[str] = (), options=None) -> None:
+        if partition_by:
+            raise ValueError(f"{self.name} files cannot be partitioned by columns")
+        df.sparkSession.dataSource.register(self.source)
+        super().write(df, path, operation, (), options)
+
+    def write_stream(self, df: DataFrame, path: str, operation: str = APPEND, partition_by: Sequence[str] = (), options=None) -> DataStreamWriter:
+        if partition_by:
+            raise ValueError(f"{self.name} files cannot be partitioned by columns")
+        df.sparkSession.dataSource.register(self.source)
+        return super().write_stream(df, path, operation, (), options)
+
+
 STREAM_LOG = "_spark_metadata"
 
 
@@ -153,7 +186,9 @@ CSV = FileFormat(
     flat=True,
 )
 
-_formats: dict[str, FileFormat] = {f.name: f for f in (PARQUET, ORC, JSON, CSV)}
+ARROW = SourceFormat.of(ArrowFiles)
+
+_formats: dict[str, FileFormat] = {f.name: f for f in (PARQUET, ORC, JSON, CSV, ARROW)}
 
 
 def register_format(fmt: FileFormat, name: str | None = None) -> None:
@@ -166,16 +201,20 @@ def unregister_format(name: str) -> None:
 
 
 def find_format(name: str | FileFormat) -> FileFormat:
-    """Format by name without regard to case, or by the dotted path of a FileFormat."""
+    """Format by name without regard to case, or by the dotted path of a FileFormat or of a Python data source."""
     if isinstance(name, FileFormat):
         return name
+    if isinstance(name, type) and issubclass(name, DataSource):
+        return SourceFormat.of(name)
     known = _formats.get(name.lower())
     if known is not None:
         return known
     if "." not in name and ":" not in name:
         raise ValueError(f"unknown file format {name!r}; register it first")
     loaded = import_object(name)
+    if isinstance(loaded, type) and issubclass(loaded, DataSource):
+        return SourceFormat.of(loaded)
     loaded = loaded() if isinstance(loaded, type) else loaded
     if not isinstance(loaded, FileFormat):
-        raise ValueError(f"{name!r} is not a FileFormat")
+        raise ValueError(f"{name!r} is neither a FileFormat nor a DataSource")
     return loaded

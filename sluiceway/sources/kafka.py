@@ -55,7 +55,8 @@ def login_options(
     return options
 
 
-def _guard(build):
+def guarded(build):
+    """What `build` gives; a missing connector is an error that says so."""
     try:
         return build()
     except AnalysisException as error:
@@ -71,24 +72,24 @@ def _options(brokers: str, options: Mapping[str, str] | None) -> dict[str, str]:
 def read_kafka(spark: SparkSession, brokers: str, topic: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """A topic from its earliest to its latest offset."""
     given = {"subscribe": topic, "startingOffsets": "earliest", "endingOffsets": "latest", **_options(brokers, options)}
-    return _guard(lambda: spark.read.format("kafka").options(**given).load())
+    return guarded(lambda: spark.read.format("kafka").options(**given).load())
 
 
 def stream_kafka(spark: SparkSession, brokers: str, topic: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """A topic as a stream, from its earliest offset."""
     given = {"subscribe": topic, "startingOffsets": "earliest", **_options(brokers, options)}
-    return _guard(lambda: spark.readStream.format("kafka").options(**given).load())
+    return guarded(lambda: spark.readStream.format("kafka").options(**given).load())
 
 
 def append_kafka(df: DataFrame, brokers: str, topic: str, options: Mapping[str, str] | None = None) -> None:
     """Append serialized keys and values."""
     given = {**PRODUCER_OPTIONS, "topic": topic, **_options(brokers, options)}
-    _guard(lambda: df.write.format("kafka").options(**given).save())
+    guarded(lambda: df.write.format("kafka").options(**given).save())
 
 
 def kafka_writer(
     df: DataFrame, brokers: str, topic: str, options: Mapping[str, str] | None = None
 ) -> DataStreamWriter:
-    """Stream writer that appends serialized keys and values."""
+    """Stream writer that appends serialized keys and values. Spark looks for the connector when it is started: see `guarded`."""
     given = {**PRODUCER_OPTIONS, "topic": topic, **_options(brokers, options)}
     return df.writeStream.format("kafka").options(**given)

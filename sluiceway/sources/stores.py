@@ -288,6 +288,9 @@ class BrokerStore(EnvelopeStore):
     def write_stream(self, df: DataFrame, operation: str, job: str, data_type: str = LOG) -> DataStreamWriter:
         return kafka.kafka_writer(self.serialized(df, data_type), self.brokers, self.topic, self.options)
 
+    def delete(self, spark: SparkSession) -> bool:
+        raise ValueError(f"topic {self.topic!r} is on a broker, which keeps and deletes its data by its own rules: delete it there")
+
 
 def snake(name: str) -> str:
     """camelCase to snake_case."""
@@ -398,8 +401,17 @@ def _build_broker(config: Mapping[str, Any], role: str) -> Store:
         "ssl_truststore_location": "truststore",
         "ssl_truststore_password": "truststore_password",
     }
-    known = SERIALIZATION_SETTINGS | {"kafka_brokers", "kafka_topic", "options", "user", "password"} | set(login)
+    # Settings that name what is looked up or written elsewhere, and what to give instead.
+    instead = {
+        "schema_registry_url": "give registered schemas as 'schemas'",
+        "ssl_truststore": "put the file on all executors and give 'sslTruststoreLocation'",
+        "credentials": "give 'user' and 'password'",
+        "secret_import": "give 'user' and 'password'",
+    }
+    known = SERIALIZATION_SETTINGS | {"kafka_brokers", "kafka_topic", "options", "user", "password"} | set(login) | set(instead)
     s = _settings(config, known, {"kafka_brokers", "kafka_topic"}, "kafka")
+    for name in instead.keys() & s.keys():
+        log.warning("the setting %r is not used: %s", name, instead[name])
     options = {}
     if s.get("user"):
         given = {login[k]: str(v) for k, v in s.items() if k in login}

@@ -11,12 +11,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from sluiceway.operators.codec import decode_json, infer_json_schemas
 from sluiceway.plans.flow import open_stores, shape
 from sluiceway.plans.spec import ONCE, FlowSpec
-from sluiceway.sources import storage
+from sluiceway.sources import kafka, storage
 from sluiceway.sources.stores import BATCH, STREAM, EnvelopeStore, Store
 
 log = logging.getLogger(__name__)
@@ -81,7 +81,7 @@ def _decoded(df: DataFrame, pin: dict) -> DataFrame:
     """Rows by the pinned schema. A field that came later fails the stream: it would be lost without a word."""
     kinds = {c: DataType.fromDDL(pin[c]) for c in ("key", "value") if pin[c] is not None}
     fields = {c: kind.names for c, kind in kinds.items() if isinstance(kind, StructType)}
-    return decode_json(df, pin["value"], pin["key"], fields=fields)
+    return decode_json(df, pin["value"], pin["key"], fields=fields, long_numbers=True)
 
 
 def _infer(df: DataFrame) -> dict | None:
@@ -89,6 +89,59 @@ def _infer(df: DataFrame) -> dict | None:
     return None if schemas is None else {"key": schemas[0], "value": schemas[1]}
 
 
+VERSION = "inferred-schema-{:06d}.json"
+
+
+def _grown(known: DataType, found: DataType) -> DataType:
+    """`known` with the fields that only `found` has, at any depth; types that are known stay."""
+    if isinstance(known, StructType) and isinstance(found, StructType):
+        other = {f.name: f for f in found.fields}
+        fields = [StructField(f.name, _grown(f.dataType, other[f.name].dataType) if f.name in other else f.dataType) for f in known.fields]
+        return StructType([*fields, *[f for f in found.fields if f.name not in known.names]])
+    if isinstance(known, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(_grown(known.elementType, found.elementType))
+    return known
+
+
+def schema_versions(spark: SparkSession, checkpoint: str) -> list[dict]:
+    """The inferred schemas of a stream, oldest first: each has the fields of the one before, and more."""
+    names = storage.children(spark, checkpoint, "inferred-schema-*.json")
+    return [json.loads(storage.read_text(spark, f"{checkpoint}/{name}")) for name in names]
+
+
+def _grown_pin(spark: SparkSession, checkpoint: str, batch: DataFrame) -> dict | None:
+    """The newest schema, as a new version if the batch has fields it lacks; None before any batch has a value."""
+    versions, found = schema_versions(spark, checkpoint), _infer(batch)
+    if found is None:
+        return versions[-1] if versions else None
+    grown = found
+    if versions:
+        grown = dict(versions[-1])
+        for part in ("key", "value"):
+            if found[part] is not None:
+                grown[part] = _printed(_grown(DataType.fromDDL(grown[part]), DataType.fromDDL(found[part]))) if grown[part] else found[part]
+        if grown == versions[-1]:
+            return grown
+    storage.publish_text(spark, f"{checkpoint}/{VERSION.format(len(versions) + 1)}", json.dumps(grown))
+    return grown
+
+
+def _printed(kind: DataType) -> str:
+    return kind.toDDL() if isinstance(kind, StructType) else kind.simpleString()
+
+
+def _growing(rows: DataFrame, spec: FlowSpec, target: Store, job: str, checkpoint: str) -> DataStreamWriter:
+    """Writer that decodes each micro-batch by the schema of all rows up to it."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        pin = _grown_pin(batch.sparkSession, checkpoint, batch)
+        if pin is not None:
+            df = shape(_decoded(batch, pin), spec, target.append_only)
+            target.write(df, spec.operation, spec.target_type, tag=f"{job}#{batch_id}")
+
+    return rows.writeStream.foreachBatch(process)
+
+
 def _per_batch(rows: DataFrame, spec: FlowSpec, target: Store, job: str, pin_at: str | None) -> DataStreamWriter:
     """Writer that shapes each micro-batch as static data.
 
@@ -118,11 +171,16 @@ def _writer(
     spark: SparkSession, spec: FlowSpec, source: Store, target: Store, checkpoint: str, job: str
 ) -> DataStreamWriter:
     rows = source.read(spark, STREAM)
-    if not (isinstance(source, EnvelopeStore) and source.needs_inference):
+    inferred = isinstance(source, EnvelopeStore) and source.needs_inference
+    if spec.growing_schema and not inferred:
+        raise ValueError("only an inferred schema can grow")
+    if not inferred:
         if spec.per_batch:
             return _per_batch(rows, spec, target, job, None)
         return target.write_stream(shape(rows, spec, target.append_only), spec.operation, job, spec.target_type)
 
+    if spec.growing_schema:
+        return _growing(rows, spec, target, job, checkpoint)
     # The schema is fixed once per checkpoint, so the target's schema cannot drift. With data
     # present it is known before the start and the stream is one plan; a restart keeps the way
     # that was taken first.
@@ -141,4 +199,5 @@ def start_stream(spark: SparkSession, spec: FlowSpec) -> StreamingQuery:
     checkpoint = checkpoint_of(spark, spec)
     job = storage.qualified(spark, checkpoint)
     writer = _writer(spark, spec, source, target, checkpoint, job)
-    return set_trigger(writer, spec.trigger).option("checkpointLocation", checkpoint).start()
+    # A connector is looked for only now.
+    return kafka.guarded(lambda: set_trigger(writer, spec.trigger).option("checkpointLocation", checkpoint).start())

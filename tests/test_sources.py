@@ -464,3 +464,24 @@ def test_store_registry_and_class():
 
 def test_scratch_needs_a_shared_folder(spark):
     assert storage.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_broker_settings_that_are_not_used(spark, caplog):
+    store = build_store({"kafka": {"kafkaBrokers": "b:1", "kafkaTopic": "t", "schemaRegistryURL": "http://r", "sslTruststore": "AAAA"}}, "source")
+    assert "schemas" in caplog.text and "sslTruststoreLocation" in caplog.text
+    with pytest.raises(ValueError, match="broker"):
+        store.delete(spark)
+
+
+def test_a_stream_into_a_broker_says_what_is_missing(spark, tmp_path):
+    from sluiceway import run
+
+    log_data(spark).write.parquet(str(tmp_path / "in"))
+    flow = {
+        "flowType": "stream",
+        "source": {"local": {"path": str(tmp_path / "in"), "dataFormat": "parquet"}},
+        "destination": {"kafka": {"kafkaBrokers": "b:1", "kafkaTopic": "t"}},
+        "checkpointLocation": str(tmp_path / "c"),
+    }
+    with pytest.raises(ConnectorMissing, match="spark-sql-kafka"):
+        run(spark, flow)
