@@ -146,8 +146,8 @@ def identify(pages: DataFrame, model: TextModel) -> DataFrame:
     sizes = [(totals[p] or 0.0) for p in shares]
     fused = read
     for column, prefix in (("host", "h_"), ("domain", "d_"), ("declared", "m_"), ("suffix", "s_")):
-        # Partial sums first; the join's large partitions can be split.
-        fused = fused.join(read.groupBy(column).agg(*summed(prefix)), column)
+        # Written first: small ones go to the pages, and of large ones Spark can split what a hot host joins.
+        fused = fused.join(staged(read.groupBy(column).agg(*summed(prefix)), column), column)
     kinds = {column: read.select(F.count_distinct(column)).first()[0] for column in ("declared", "suffix")}
     logs = []
     for i, p in enumerate(shares):

@@ -2,13 +2,15 @@
 
 A document's signature has a label per tree: eight minima of its shingles' hashes, one byte of each. The labels of a
 tree, sorted, are that tree: documents with a common prefix stand side by side, those with the longest one closest. So
-a document's candidates are its neighbours in each order, as long as they share the first four levels; how deep a
-prefix it takes to be among the nearest depends on how crowded the region is, level by level up to all eight.
+a document's candidates are its neighbours in each order: the next ones if they share the first four levels, those further
+off if they share more, up to all eight. So the depth adapts: in a crowded region, where many stand between, it is larger.
 
 Two sets of similarity J share four levels of one tree with probability J^4 and of no tree with (1 - J^4)^32: 6e-11 at
-0.85, 5e-8 at 0.8. The next neighbours of all trees come first and are tied to components; then each document meets, within
-a wider window, only those of other components. Candidates are narrowed by their whole signatures, which rule a link at the very
-threshold out with probability 3e-5, and confirmed on full sets.
+0.85, 5e-8 at 0.8; all eight with J^8, and of no tree with 4e-5 and 3e-3, which is what counts amid documents that are all
+alike but not similar enough. In each tree a pair also has to share most levels of three more labels, which one of 0.85
+does 23 times of 25. The next neighbours of all trees come first and are tied to components; then each document meets,
+within a wider window, only those of other components. Candidates are narrowed by their whole signatures, which rule a
+link at the very threshold out with probability 3e-5, and confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ LEVELS = 8
 # Levels that candidates share at least.
 LEAST_LEVELS = 4
 # Neighbours on either side that a document meets in each order, if they are of another component.
-WINDOW = 64
+WINDOW = 16
+# Labels of other trees that a row has with it, and standard deviations by which their levels may fall short in one tree.
+MORE, LOOSE = 3, 1.3
 # Standard deviations by which an estimate may fall short of the similarity.
 TOLERANCE = 4
 ROWS_PER_PARTITION = 200_000
@@ -93,69 +97,85 @@ def _signatures(shingle: int, trees: int, batches: Iterator[pa.RecordBatch]) ->
         )
 
 
-def _near_in_order(window: int, edges: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of neighbours in sorted rows (place, tree, label, node, component) that agree in place and tree, share enough
-    levels and differ in component. With `edges` also the first and the last rows of the partition, as rows of the places
-    where it joins the one before and the one after."""
-    names = ["low", "high", "place", "tree", "label", "component"]
-    kept = [np.zeros(0, np.int64)] * 5
+def levels_at(step: int) -> int:
+    """The levels that neighbours share at least that stand `step` apart: one more for each doubling, up to all."""
+    return min(LEVELS, LEAST_LEVELS + (step - 1).bit_length())
+
+
+COLUMNS = ["place", "tree", "label", "node", "component", *(f"more{k}" for k in range(MORE))]
+
+
+def _near_in_order(window: int, least: int, edges: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbours in sorted rows that agree in place and tree, share enough levels for their distance, differ in
+    component and share `least` levels of the labels from other trees. With `edges` also the first and the last rows of
+    the partition, as rows of the places where it joins the one before and the one after."""
+    kept = [np.zeros(0, np.int64)] * len(COLUMNS)
     first = None
     part = TaskContext.get().partitionId()
-    prefix = np.int64(8 * (LEVELS - LEAST_LEVELS))
+
+    def out(low, high, others) -> pa.RecordBatch:
+        columns = {"low": low, "high": high, **others}
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], list(columns))
 
     def edge(rows: list[np.ndarray], place: int) -> pa.RecordBatch:
-        _, tree, label, node, component = rows
-        columns = [pa.array(node), pa.nulls(len(node), pa.int64()), pa.array(np.full(len(node), place)), *map(pa.array, (tree, label, component))]
-        return pa.RecordBatch.from_arrays(columns, names)
+        others = dict(zip(COLUMNS, rows, strict=True))
+        node = others.pop("node")
+        return out(node, pa.nulls(len(node), pa.int64()), {**others, "place": np.full(len(node), place)})
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        own = [batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("place", "tree", "label", "node", "component")]
+        own = [batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in COLUMNS]
         rows = [np.concatenate(x) for x in zip(kept, own, strict=True)]
         if first is None or len(first[0]) < window:
             first = [x[:window] for x in (own if first is None else [np.concatenate(x) for x in zip(first, own, strict=True)])]
-        place, tree, label, node, component = rows
+        place, tree, label, node, component, *more = rows
         lows, highs = [], []
         for step in range(1, min(window, len(node) - 1) + 1):
             # A pair of two rows that were kept was met before.
             start = max(0, len(kept[0]) - step)
             here, there = slice(start, len(node) - step), slice(start + step, None)
+            prefix = np.int64(8 * (LEVELS - levels_at(step)))
             close = (place[here] == place[there]) & (tree[here] == tree[there]) & (label[here] >> prefix == label[there] >> prefix)
             if not close.any():
                 break
-            close &= component[here] != component[there]
-            lows.append(np.minimum(node[here][close], node[there][close]))
-            highs.append(np.maximum(node[here][close], node[there][close]))
+            at = np.flatnonzero(close & (component[here] != component[there])) + start
+            shared = sum((np.ascontiguousarray(x[at] ^ x[at + step]).view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) for x in more)
+            at = at[shared >= least]
+            lows.append(np.minimum(node[at], node[at + step]))
+            highs.append(np.maximum(node[at], node[at + step]))
         if lows:
             pairs = np.unique(np.stack([np.concatenate(lows), np.concatenate(highs)]), axis=1)
             none = pa.nulls(pairs.shape[1], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none, none, none], names)
+            yield out(pairs[0], pairs[1], {name: none for name in COLUMNS if name != "node"})
         kept = [x[-window:] for x in rows]
     if edges and first is not None:
         yield edge(first, part - 1)
         yield edge(kept, part)
 
 
-def neighbours(nodes: DataFrame, n_nodes: int, window: int) -> DataFrame:
+def neighbours(nodes: DataFrame, n_nodes: int, window: int, percent: int = PERCENT) -> DataFrame:
     """`(low, high)`: neighbours in the orders of all trees that differ in component, of `nodes (node, labels, component)`."""
-    schema = "low long, high long, place long, tree long, label long, component long"
-    rows = nodes.select("node", "component", F.posexplode("labels").alias("tree", "label"))
-    rows = rows.select(F.lit(0).cast("long").alias("place"), F.col("tree").cast("long").alias("tree"), "label", "node", "component")
+    others = [name for name in COLUMNS if name != "node"]
+    schema = ", ".join(f"{name} long" for name in ("low", "high", *others))
+    rows = nodes.select("node", "component", "labels", F.posexplode("labels").alias("tree", "label"))
+    more = [F.get("labels", F.pmod(F.col("tree") + (k + 1) * TREES // (MORE + 1), F.lit(TREES)).cast("int")).alias(f"more{k}") for k in range(MORE)]
+    rows = rows.select(F.lit(0).cast("long").alias("place"), F.col("tree").cast("long").alias("tree"), "label", "node", "component", *more)
+    least = least_matches(percent, MORE, LOOSE)
     # By range, so that a crowded region is split like any other; where two partitions join comes after.
     n_partitions = max(1, n_nodes * TREES // ROWS_PER_PARTITION)
     sorted_rows = rows.repartitionByRange(n_partitions, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-    found = staged(mapped(sorted_rows, functools.partial(_near_in_order, window, True), schema), "neighbours")
-    edges = found.where("high IS NULL").select("place", "tree", "label", F.col("low").alias("node"), "component")
+    found = staged(mapped(sorted_rows, functools.partial(_near_in_order, window, least, True), schema), "neighbours")
+    edges = found.where("high IS NULL").withColumn("node", F.col("low")).select(*COLUMNS)
     joined = edges.repartition("place").sortWithinPartitions("place", "tree", "label", "node")
-    across = mapped(joined, functools.partial(_near_in_order, window, False), schema)
+    across = mapped(joined, functools.partial(_near_in_order, window, least, False), schema)
     return found.where("high IS NOT NULL").select("low", "high").union(across.select("low", "high")).distinct()
 
 
-def least_matches(percent: int, trees: int) -> int:
-    """How many of all levels sets of that similarity share at least, but for chance."""
+def least_matches(percent: int, trees: int, tolerance: float = TOLERANCE) -> int:
+    """How many of the levels of so many trees sets of that similarity share at least, but for chance."""
     n, p = trees * LEVELS, percent / 100
-    return max(0, math.floor(n * p - TOLERANCE * math.sqrt(n * p * (1 - p))))
+    return max(0, math.floor(n * p - tolerance * math.sqrt(n * p * (1 - p))))
 
 
 def _alike(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +231,7 @@ def groups(
         rows, links, tied = nodes.withColumn("component", F.col("node")), None, None
         for wide in (1, window):
             with intermediate(spark) as keep_found:
-                pairs = staged(alike(neighbours(rows, n_nodes, wide), nodes, percent), "pairs")
+                pairs = staged(alike(neighbours(rows, n_nodes, wide, percent), nodes, percent), "pairs")
                 found = keep_found(confirmed(pairs, nodes, docs, shingle, percent), "links")
             links = found if links is None else links.union(found)
             tied = components(links)

@@ -114,8 +114,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
 
     runs = F.filter(F.split("host", r"[^a-z]+"), lambda x: x != "")
     host_runs = hosts.select("host", F.explode(runs).alias("run"))
-    split = staged(split_labels(host_runs.select("run").distinct(), word_counts(pages)), "labels")
+    # Used twice, for the total and for the labels.
+    words = staged(word_counts(pages), "words")
+    split = staged(split_labels(host_runs.select("run").distinct(), words), "labels")
     host_words = host_runs.join(split, "run").select("host", F.explode("words").alias("word"))
+    # Digits and letters beyond a-z are no part of the words on pages: a run of them is a word of its own.
+    others = F.filter(F.split("host", r"[a-z.:\-_]+"), lambda x: x != "")
+    host_words = host_words.union(hosts.select("host", F.explode(others).alias("word")))
     host_tokens = host_words.select("host", F.concat(F.lit("h:"), "word").alias("token"))
     path_words = F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     path_tokens = paths.select("path", F.explode(path_words).alias("word")).select("path", F.concat(F.lit("p:"), "word").alias("token"))
@@ -128,8 +133,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     ratio = F.log((F.col("block") + 1) / (in_block + n_tokens + 1)) - F.log((F.col("allow") + 1) / (in_allow + n_tokens + 1))
     weights = counts.select("token", ratio.alias("weight"))
     prior = math.log((n_block + 1) / (n_allow + 1))
-    of_host = host_tokens.join(weights, "token").groupBy("host").agg(F.sum("weight").alias("host_score"))
-    of_path = path_tokens.join(weights, "token").groupBy("path").agg(F.sum("weight").alias("path_score"))
+    # Written first: small ones go to the pages, and of large ones Spark can split what a hot host joins.
+    of_host = staged(host_tokens.join(weights, "token").groupBy("host").agg(F.sum("weight").alias("host_score")), "of-host")
+    of_path = staged(path_tokens.join(weights, "token").groupBy("path").agg(F.sum("weight").alias("path_score")), "of-path")
     scored = parsed.join(of_host, "host", "left").join(of_path, "path", "left")
     score = F.lit(prior) + F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0))
     judged = F.when(score > 0, "block").otherwise("allow") if n_block + n_allow else F.lit("allow")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from corpus_helpers import EXTRA, prose
@@ -127,3 +129,83 @@ def test_split_url_matches_plain(spark):
         plain_host = re.match(r"[^/?#]*", rest).group()
         plain_path = re.match(r"[^?#]*", rest[len(plain_host) :]).group()
         assert (row["host"], row["path"]) == ("".join(c.lower() if "A" <= c <= "Z" else c for c in plain_host), plain_path)
+
+
+def stripped(html):
+    text = re.sub(r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ", html or "")
+    return re.sub(r"<[^>]*>", " ", text)
+
+
+def test_scores_against_plain_naive_bayes(spark):
+    """Joined names, digits, letters beyond ASCII, one host with most pages."""
+    rng, rows = random.Random(8), []
+    names = ["riverstone", "gardenriver", "stone7garden", "ünïriver", "42"]
+    for i in range(120):
+        host = "hotriver.com" if i % 3 == 0 else f"{rng.choice(names)}.{rng.choice(['com', 'net', 'example.org'])}"
+        path = f"/{rng.choice(['fr', 'de', 'es', 'x'])}/{rng.choice(['River', 'stone-9', 'é/garden', ''])}"
+        rows.append((i, f"https://{host}{path}", f"<style>hidden</style><p>river <b>stone</b> Garden {'hot ' * (i % 2)}</p>"))
+    rows += [(200, None, None), (201, "http://riverstone.net", "")]
+    found = {r["page_id"]: r for r in url_filter.judge(page_frame(spark, rows)).collect()}
+    counts = Counter(w for _, _, html in rows for w in re.split(r"[\W\d_]+", stripped(html).lower()) if re.fullmatch("[a-z]{1,24}", w))
+
+    def tokens(row):
+        parts = [w for run in re.findall("[a-z]+", row["host"]) for w in url_filter.viterbi(run, counts, max(1, sum(counts.values())))]
+        parts += [w for w in re.split(r"[a-z.:\-_]+", row["host"]) if w]
+        return [f"h:{w}" for w in parts] + [f"p:{w}" for w in re.split(r"[\W_]+", row["path"].lower()) if w]
+
+    seen, pages = {"block": Counter(), "allow": Counter()}, Counter()
+    for row in found.values():
+        if row["rule"] is not None:
+            pages[row["verdict"]] += 1
+            seen[row["verdict"]].update(tokens(row))
+    kinds = set(seen["block"]) | set(seen["allow"])
+    weight = {
+        t: math.log((seen["block"][t] + 1) / (seen["block"].total() + len(kinds) + 1)) - math.log((seen["allow"][t] + 1) / (seen["allow"].total() + len(kinds) + 1))
+        for t in kinds
+    }
+    assert pages["block"] > 5 and pages["allow"] > 5 and len(kinds) > 15
+    for row in found.values():
+        score = math.log((pages["block"] + 1) / (pages["allow"] + 1)) + sum(weight.get(t, 0.0) for t in tokens(row))
+        assert row["score"] == pytest.approx(score)
+        if row["rule"] is None:
+            assert row["verdict"] == ("block" if row["score"] > 0 else "allow")
+
+
+def test_posteriors_against_plain_fusion(spark):
+    """Text, declaration, suffix and host that disagree in all ways."""
+    text, docs = languages(spark)
+    model = language_id.train(docs)
+    rng, rows = random.Random(9), []
+    for i in range(90):
+        host = rng.choice(["aa.aa", "x.aa", "y.x.aa:80", "bb.bb", "x.bb", "hot.net", "hot.net"])
+        declared = rng.choice(['lang="aa"', 'lang="bb"', "", 'lang="zz"'])
+        rows.append((i, f"http://{host}/{i}", f"<html {declared}><p>{text(rng.choice(['aa', 'bb']), rng.choice([0, 1, 1, 2, 9]))}"))
+    found = {r["page_id"]: r for r in language_id.identify(page_frame(spark, rows), model).collect()}
+    pages = []
+    for i, url, html in rows:
+        host = url.split("/")[2].split(":")[0]
+        likelihoods = model.likelihoods(language_id.TAG.sub(" ", language_id.HIDDEN.sub(" ", html)))
+        p = [math.exp(x - max(likelihoods)) for x in likelihoods]
+        declared = (re.findall(r'lang="(\w+)"', html) or [""])[0]
+        pages.append({"id": i, "text": likelihoods, "p": [x / sum(p) for x in p], "host": url.split("/")[2], "domain": ".".join(host.split(".")[-2:]), "suffix": host.split(".")[-1], "declared": declared})
+    n, k, smoothing = len(pages), len(model.languages), language_id.SMOOTHING
+    total = [sum(x["p"][i] for x in pages) for i in range(k)]
+    disagree = 0
+    for page in pages:
+        logs = []
+        for i in range(k):
+            like = {key: [x["p"][i] for x in pages if x[key] == page[key]] for key in ("host", "domain", "suffix", "declared")}
+            overall = (total[i] + smoothing) / (n + smoothing * k)
+            of_domain = (sum(like["domain"]) - page["p"][i] + language_id.DOMAIN_WEIGHT * overall) / (len(like["domain"]) - 1 + language_id.DOMAIN_WEIGHT)
+            of_host = (sum(like["host"]) - page["p"][i] + language_id.HOST_WEIGHT * of_domain) / (len(like["host"]) - 1 + language_id.HOST_WEIGHT)
+            log = math.log(max(of_host, 1e-12)) + page["text"][i]
+            for key in ("declared", "suffix"):
+                log += math.log((sum(like[key]) + smoothing) / (total[i] + smoothing * len({x[key] for x in pages})))
+            logs.append(log)
+        p = [math.exp(x - max(logs)) for x in logs]
+        row = found[page["id"]]
+        assert row["probability"] == pytest.approx(max(p) / sum(p))
+        best = model.languages[p.index(max(p))]
+        assert row["lang"] == best or max(p) / sum(p) == pytest.approx(0.5)
+        disagree += row["lang"] != row["text_lang"]
+    assert disagree >= 3

@@ -12,7 +12,7 @@ from sluiceway.llm import mtree, sharding
 def plain_top(rows, k, step):
     whole = {}
     for i, (vec_id, vector) in enumerate(rows):
-        if vec_id is not None and vector and all(x is not None and math.isfinite(x) for x in vector):
+        if vec_id is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
             whole[i] = (vec_id, [math.floor(256 * x) for x in vector])
     out = set()
     for vec_id, query in whole.values():
@@ -45,6 +45,14 @@ def test_against_all_pairs(spark, block_rows, query_rows):
     assert result(found) == plain_top(vectors(), 5, 50)
 
 
+def test_long_vectors_have_exact_scores(spark):
+    """Lengths far beyond what floating point adds up exactly; only the best scores have to fit 64 bits."""
+    rows = [(0, [1e6, 0.0]), (50, [3e7, 1.0]), (1, [1e6, 1e6]), (2, [1e6 + 1 / 256, -7.0]), (3, [-1.0, 5.0]), (4, [2.0**20, 2.0**20 + 1]), (100, [0.0, 1e-3])]
+    assert result(mtree.top_k(vector_frame(spark, rows), k=3)) == plain_top(rows, 3, 50)
+    with pytest.raises(Exception, match="64|large|overflow|too"):
+        mtree.top_k(vector_frame(spark, [(0, [1e17]), (1, [1e17])])).collect()
+
+
 def test_fewer_rows_than_asked_for(spark):
     rows = [(0, [1.0, 2.0]), (50, [2.0, 1.0]), (7, [0.1, 0.1])]
     assert result(mtree.top_k(vector_frame(spark, rows))) == plain_top(rows, 5, 50)
