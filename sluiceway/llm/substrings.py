@@ -285,28 +285,30 @@ class Repeats:
         self.docs = as_text(docs)
         spark = docs.sparkSession
         with intermediate(spark) as keep:
-            scanned = staged(
-                mapped(
-                    self.docs,
-                    functools.partial(_scan, window),
-                    "doc_id long, key long, check long, n_words long, digest string,"
-                    " anchors array<long>, contents array<long>, starts array<int>, lengths array<int>",
-                ),
-                "segments",
-            )
-            pieces = scanned.select("key", "check", F.explode(F.arrays_zip("anchors", "contents", "starts", "lengths")).alias("piece")).select(
-                "key", "check", F.col("piece.anchors").alias("anchor"), F.col("piece.contents").alias("content"), F.col("piece.starts").alias("start")
-            )
-            # Counts first: a frequent anchor is one row per task from here on.
-            anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"))
-            # Written first, so that the join has a shuffle of its own on either side and Spark can split hot anchors.
-            anchors = staged(anchors.where("total > 1").select("anchor"), "anchors")
-            repeated = staged(pieces.join(anchors, "anchor"), "repeated")
+            # What only leads to the next table goes as soon as that is written.
+            with intermediate(spark) as keep_repeated:
+                scanned = staged(
+                    mapped(
+                        self.docs,
+                        functools.partial(_scan, window),
+                        "doc_id long, key long, check long, n_words long, digest string,"
+                        " anchors array<long>, contents array<long>, starts array<int>, lengths array<int>",
+                    ),
+                    "segments",
+                )
+                pieces = scanned.select("key", "check", F.explode(F.arrays_zip("anchors", "contents", "starts", "lengths")).alias("piece")).select(
+                    "key", "check", F.col("piece.anchors").alias("anchor"), F.col("piece.contents").alias("content"), F.col("piece.starts").alias("start")
+                )
+                # Counts first: a frequent anchor is one row per task from here on.
+                anchors = pieces.groupBy("anchor").agg(F.count("*").alias("total"))
+                # Written first, so that the join has a shuffle of its own on either side and Spark can split hot anchors.
+                anchors = staged(anchors.where("total > 1").select("anchor"), "anchors")
+                repeated = keep_repeated(pieces.join(anchors, "anchor"), "repeated")
+                self.scanned = keep(scanned.select("doc_id", "key", "check", "n_words", "digest"), "scanned")
             marks = staged(self._marks(repeated, window, max_kinds), "marks")
             ranges = repeated.join(marks, ["anchor", "content"]).select("key", "check", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
             # As many ranges as a text has segments, at most a few times over.
             self.spans = keep(ranges.distinct().groupBy("key", "check").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-            self.scanned = keep(scanned.select("doc_id", "key", "check", "n_words", "digest"), "scanned")
 
     def _marks(self, pieces: DataFrame, window: int, max_kinds: int) -> DataFrame:
         """Spans `(anchor, content, low, high)` within segments whose anchor is repeated; all of them are factors."""
@@ -319,9 +321,10 @@ class Repeats:
     def _factors(self, cut: DataFrame, window: int, max_kinds: int, n_grams: int | None) -> DataFrame:
         """Spans of the segments `cut (anchor, content, copies, words)`, which are distinct: of small blocks by parsing, of
         others after they are made finer."""
-        cut = staged(cut, "reference")
-        kinds = cut.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
-        sized = staged(cut.join(kinds.select("anchor", "kinds"), "anchor"), "sized")
+        with intermediate(cut.sparkSession) as keep:
+            cut = staged(cut, "reference")
+            kinds = cut.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
+            sized = keep(cut.join(kinds.select("anchor", "kinds"), "anchor"), "sized")
         columns = ["anchor", "content", "copies", "words"]
         blocks = sized.where(F.col("kinds") <= max_kinds).select(*columns).repartition("anchor").sortWithinPartitions("anchor")
         parsed = mapped(blocks, functools.partial(_parse, window), "anchor long, content long, low int, high int")
