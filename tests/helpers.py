@@ -21,18 +21,34 @@ VALUE_DDL = "i int, s string, d double"
 
 LOG_ROWS = [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)]
 
-# Keys 1..4 with updates, and a delete of key 3.
+# A delete of a key that never was, one that is taken back, one for good; empty and quoted text; keys of LOG_ROWS and others.
 CHANGE_ROWS = [
-    ((3,), (3, "c1", 3.0)),
-    ((1,), (1, "a1", 1.0)),
-    ((2,), (2, "b1", 2.0)),
-    ((1,), (1, "a2", 1.1)),
-    ((2,), (2, "b2", 2.1)),
-    ((1,), (1, "a3", 1.2)),
+    ((5,), (5, "late", 4.5)),
+    ((1,), (1, "new", 0.5)),
+    ((2,), None),
+    ((3,), (3, "new", 3.5)),
+    ((1,), (1, "moved", 1.5)),
     ((3,), None),
-    ((4,), (4, "d1", 4.0)),
+    ((8,), (8, 'é, "q"', -2.0)),
+    ((3,), (3, "again", 3.25)),
+    ((5,), None),
+    ((2,), (2, "", 2.5)),
+    ((1,), (1, "kept", 1.75)),
 ]
-LAST_ROWS = [(1, "a3", 1.2), (2, "b2", 2.1), (4, "d1", 4.0)]
+
+
+def last_of(rows):
+    """Values that are left after these changes, by replaying them."""
+    state = {}
+    for key, value in rows:
+        state.pop(key, None)
+        if value is not None:
+            state[key] = value
+    return sorted(state.values(), key=repr)
+
+
+LAST_ROWS = last_of(CHANGE_ROWS)
+LIVE_ROWS = [value for _, value in CHANGE_ROWS if value]
 
 
 def log_data(spark):

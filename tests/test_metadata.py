@@ -4,24 +4,10 @@ import json
 
 import pytest
 
-from helpers import change_data, log_data, rows_of
+from helpers import LIVE_ROWS, change_data, log_data, rows_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    ByteType,
-    DateType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    ShortType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import DataType, DoubleType
 from sluiceway.functions import column_names, field, field_type, require_not_null, struct_type
 from sluiceway.operators import (
     CHANGE,
@@ -36,35 +22,37 @@ from sluiceway.operators import (
     unwrap,
 )
 
-TYPES = [
-    (ByteType(), {"type": "int", "logicalType": "TINYINT"}),
-    (ShortType(), {"type": "int", "logicalType": "SMALLINT"}),
-    (IntegerType(), {"type": "int"}),
-    (LongType(), {"type": "long"}),
-    (FloatType(), {"type": "float"}),
-    (DoubleType(), {"type": "double"}),
-    (DecimalType(5, 3), {"type": "bytes", "logicalType": "decimal", "precision": 5, "scale": 3}),
-    (DecimalType(15, 6), {"type": "bytes", "logicalType": "decimal", "precision": 15, "scale": 6}),
-    (StringType(), {"type": "string"}),
-    (BinaryType(), {"type": "bytes"}),
-    (TimestampType(), {"type": "long", "logicalType": "timestamp-micros"}),
-    (DateType(), {"type": "int", "logicalType": "date"}),
-]
-WIDE = StructType(
-    [StructField(f"{'n' if nullable else 'r'}{k}", t, nullable) for nullable in (True, False) for k, (t, _) in enumerate(TYPES)]
-)
+# DDL of a column and its description.
+DESCRIBED = {
+    "open": ("boolean", {"type": "boolean", "logicalType": "BOOLEAN"}),
+    "since": ("timestamp_ntz", {"type": "long", "logicalType": "local-timestamp-micros"}),
+    "span": ("interval day to second", {"type": "string", "sparkType": "interval day to second"}),
+    "months": ("interval year to month", {"type": "string", "sparkType": "interval year to month"}),
+    "tags": ("array<smallint>", {"type": "array", "items": {"type": "int", "logicalType": "SMALLINT"}}),
+    "prices": ("map<string, decimal(9,2)>", {"type": "map", "values": {"type": "bytes", "logicalType": "decimal", "precision": 9, "scale": 2}}),
+    "place": (
+        "struct<lat: double not null, seen: date>",
+        {
+            "type": "record",
+            "name": "place",
+            "fields": [{"name": "lat", "type": {"type": "double"}}, {"name": "seen", "type": [{"type": "int", "logicalType": "date"}, "null"]}],
+        },
+    ),
+    "scan": ("binary", {"type": "bytes"}),
+    "level": ("tinyint", {"type": "int", "logicalType": "TINYINT"}),
+    "at": ("timestamp", {"type": "long", "logicalType": "timestamp-micros"}),
+    "rate": ("float", {"type": "float"}),
+}
 
 
 def test_augment_and_record_schema(spark):
-    wide = augment_metadata(spark.createDataFrame([], WIDE))
-    assert len(wide.columns) == 24
-    for f in wide.schema.fields:
-        assert f.metadata == TYPES[int(f.name[1:])][1]
+    ddl = ", ".join(f"{name} {kind}" for name, (kind, _) in DESCRIBED.items())
+    wide = augment_metadata(spark.createDataFrame([], f"{ddl}, id bigint not null"))
+    assert {f.name: f.metadata for f in wide.schema.fields} == {name: said for name, (_, said) in DESCRIBED.items()} | {"id": {"type": "long"}}
     described = json.loads(record_schema(wide, "wide"))
     assert (described["type"], described["name"]) == ("record", "wide")
     by_name = {f["name"]: f["type"] for f in described["fields"]}
-    assert by_name["n2"] == [{"type": "int"}, "null"]
-    assert by_name["r2"] == {"type": "int"}
+    assert by_name == {name: [said, "null"] for name, (_, said) in DESCRIBED.items()} | {"id": {"type": "long"}}
     plain = json.loads(record_schema(log_data(spark), "plain"))
     assert {f["type"] for f in plain["fields"]} == {"null"}
 
@@ -118,7 +106,7 @@ def test_require_not_null(spark):
     assert rows_of(data) == rows_of(log_data(spark))
     nested = require_not_null(change_data(spark).filter("value IS NOT NULL"), "value.i")
     assert not field(nested, "value.i").nullable
-    assert nested.count() == 7
+    assert nested.count() == len(LIVE_ROWS)
     key = require_not_null(change_data(spark), "key")
     assert not key.schema["key"].nullable
     with pytest.raises(PySparkException, match="null in non-null column value"):
@@ -127,9 +115,9 @@ def test_require_not_null(spark):
 
 def test_require_not_null_of_every_type(spark):
     values = "CAST(1 AS {0})"
-    for data_type, _ in TYPES:
+    for data_type in map(DataType.fromDDL, ["boolean", "bigint", "float", "decimal(9,2)", "string", "binary", "timestamp", "timestamp_ntz", "date"]):
         simple = data_type.simpleString()
-        text = {"timestamp": "timestamp'2020-01-01'", "date": "date'2020-01-01'", "binary": "X'01'"}.get(
+        text = {"timestamp": "timestamp'2020-01-01'", "timestamp_ntz": "timestamp_ntz'2020-01-01'", "date": "date'2020-01-01'", "binary": "X'01'"}.get(
             simple, values.format(simple)
         )
         data = spark.sql(f"SELECT if(id < 5, {text}, NULL) AS c FROM range(2)")

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 import sluiceway.sources.tables as tables
-from helpers import LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, log_data, plan_of, rows_of
+from helpers import CHANGE_ROWS, LAST_ROWS, LOG_ROWS, VALUE_DDL, change_data, log_data, plan_of, rows_of
 from pyspark.sql import functions as F
 from sluiceway.operators import ConnectorMissing, decode_json, encode_json, snapshot, unwrap, wrap
 from sluiceway.sources import (
@@ -114,16 +114,16 @@ def test_python_data_source_as_format(spark):
 def test_update_in_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     log_data(spark).write.parquet(path)
-    assert update_table(change_data(spark), path) == 3
+    assert update_table(change_data(spark), path) == len(LAST_ROWS)
     assert rows_of(read_table(spark, path)) == LAST_ROWS
     more = change_data(spark, [((1,), None), ((7,), (7, "n", 7.0))])
     update_table(more, path)
-    assert rows_of(read_table(spark, path)) == [*LAST_ROWS[1:], (7, "n", 7.0)]
+    assert rows_of(read_table(spark, path)) == sorted([*LAST_ROWS[1:], (7, "n", 7.0)], key=repr)
     reader = read_table(spark, path)
     update_table(more, path)
     update_table(more, path)
     # Versions that were replaced just now stay for their readers, until they are asked to go.
-    assert rows_of(reader) == [*LAST_ROWS[1:], (7, "n", 7.0)]
+    assert rows_of(reader) == sorted([*LAST_ROWS[1:], (7, "n", 7.0)], key=repr)
     assert [v for v in storage.children(spark, path) if v.startswith("v=")] == [f"v=0000000{i}" for i in (1, 2, 3, 4)]
     assert tables.expire_versions(spark, path) == []
     assert tables.expire_versions(spark, path, -60) == [0, 1, 2, 3]
@@ -371,7 +371,7 @@ def test_topic_copy_keeps_the_order_of_changes(spark, tmp_path):
     first, second = str(tmp_path / "first"), str(tmp_path / "second")
     append_log(encode_json(change_data(spark), keep=["offset"]), first, partitions=2, order_by="offset")
     store = ChangeLogStore(second, partitions=3)
-    assert store.write(read_log(spark, first), "append") == 8
+    assert store.write(read_log(spark, first), "append") == len(CHANGE_ROWS)
     decoded = decode_json(read_log(spark, second), VALUE_DDL, "i int")
     assert rows_of(snapshot(decoded)) == LAST_ROWS
 
