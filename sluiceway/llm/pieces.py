@@ -18,8 +18,8 @@ SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 CROSSED = re.compile(r"\s (?:\s|\Z)")
 # Rows whose words are looked up together.
 ROWS = 1024
-MAX_PIECES = 500_000
-MAX_WORDS = 600_000
+MAX_PIECES = 400_000
+MAX_WORDS = 1_200_000
 
 
 class Remembered(dict):

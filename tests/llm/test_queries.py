@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import base64
+import itertools
 import os
+import re
 from collections import Counter
 
 import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
 from corpus_helpers import messy_rows
 
 import corpus_pipeline
-from sluiceway.llm import decontamination, simhash, substrings
 from sluiceway.llm.common import table
 from sluiceway.llm.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ROWS = {f"op{n}_": name for n in (1, 3, 6, 7, 9, 10) for name in ["documents"]} | {"op4_": "pages", "op5_": "pages"}
+ROWS = {f"op{n}_": name for n in (1, 3, 6, 7, 9, 10, 12) for name in ["documents"]} | {"op4_": "pages", "op5_": "pages"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -43,20 +47,57 @@ def test_all_operators_and_the_pipeline():
     assert queries()["pipeline"] is corpus_pipeline.run
 
 
-def test_pipeline_keeps_clean_documents(spark):
-    result = corpus_pipeline.run(spark, SF_DIR).collect()
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def plain_shingles(text, size=5):
+    words = plain_words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def plain_near_copies(rows):
+    """Of each group of similar texts the row with the smallest id, by comparing all pairs."""
+    sets = {i: plain_shingles(text) for i, text in rows}
+    group = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if group[a] != group[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+            low, high = sorted((group[a], group[b]))
+            group = {i: low if g == high else g for i, g in group.items()}
+    return [(i, text) for i, text in rows if group[i] == i]
+
+
+def plain_cut(rows, window=35):
+    """Texts without the words of windows that stand anywhere else."""
+    times = Counter(tuple(words[i : i + window]) for _, text in rows for words in [plain_words(text)] for i in range(len(words) - window + 1))
+    out = []
+    for i, text in rows:
+        words = plain_words(text)
+        cut = {at + k for at in range(len(words) - window + 1) if times[tuple(words[at : at + window])] > 1 for k in range(window)}
+        out.append((i, " ".join(w for at, w in enumerate(words) if at not in cut) if cut else text))
+    return out
+
+
+def triples(text):
+    words = re.findall(r"\w+", (text or "").lower())
+    return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+
+
+def test_pipeline_against_plain_code(spark):
+    """All stages behind the first one, whose scores have tests of their own, against code that shares nothing with them."""
+    result = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "text", "ids", "n_tokens").collect()
     docs = [tuple(r) for r in table(spark, SF_DIR, "documents").select("doc_id", "text").collect()]
-    kept = {r["doc_id"]: r["text"] for r in result}
-    assert len(kept) == len(result) and set(kept) <= {i for i, _ in docs}
     scores = {r["doc_id"]: r["predicted"] for r in QUERIES["op1_toxicity"](spark, SF_DIR).collect()}
-    left = [(i, t) for i, t in docs if not scores[i]]
-    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(frame(left)).collect()}
-    left = [(i, t) for i, t in left if groups[i] == i]
-    cut = frame(left)
-    left = [tuple(r) for r in substrings.Repeats(cut).removed_from(cut).collect()]
-    held = {r["doc_id"] for r in decontamination.matches(frame(left), table(spark, SF_DIR, "benchmark")).collect()}
-    assert kept == {i: t for i, t in left if i not in held}
+    left = plain_cut(plain_near_copies([(i, t) for i, t in docs if not scores[i]]))
+    items = [triples(r["text"]) for r in table(spark, SF_DIR, "benchmark").select("text").collect()]
+    left = [(i, t) for i, t in left if not any(item and len(item & triples(t)) >= 0.6 * len(item) for item in items)]
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected = {i: (t or "", library.encode_ordinary(t or "")) for i, t in left}
+    assert len(result) == len(expected) < len(docs)
+    assert {r["doc_id"]: (r["text"], r["ids"]) for r in result} == expected
+    assert all(r["n_tokens"] == len(r["ids"]) for r in result)
 
 
 def test_pipeline_with_awkward_rows(spark, tmp_path):
