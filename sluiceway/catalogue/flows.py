@@ -90,7 +90,7 @@ def format_own_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A format that is a Python data source, named by its class: written, appended to, overwritten, read by its own schema."""
     path, fmt = storage.scratch_dir(spark, "arrow"), find_format("sluiceway.sources.arrow_files.ArrowFiles")
     documents = table(spark, sf_dir, "documents")
-    fmt.write(documents.limit(0), path)
+    fmt.write(documents.where("doc_id < 0"), path)
     fmt.write(documents, path)
     fmt.write(documents.where("doc_id % 3 = 0"), path, APPEND)
     return fmt.read(spark, path)
