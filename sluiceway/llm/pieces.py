@@ -18,8 +18,8 @@ SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 CROSSED = re.compile(r"\s (?:\s|\Z)")
 # Rows whose words are looked up together.
 ROWS = 1024
-MAX_PIECES = 400_000
-MAX_WORDS = 1_200_000
+MAX_PIECES = 100_000
+MAX_WORDS = 500_000
 
 
 class Remembered(dict):
@@ -103,8 +103,10 @@ class WordTable:
     split and encoded. The table is emptied when it is full, between two slices.
     """
 
-    def __init__(self, splitter: Splitter, kind: type, packed: Callable[[Any], bytes]):
-        self.splitter, self.kind, self.packed = splitter, kind, packed
+    def __init__(self, splitter: Splitter, kind: type, packed: Callable[[Any], bytes], several: Callable[[list[str]], list[bytes]] | None = None, limit: int | None = None):
+        self.splitter, self.kind, self.packed, self.limit = splitter, kind, packed, limit or MAX_WORDS
+        # How to encode texts without white space within at once, if there is a faster way.
+        self.several = several or (lambda texts: [packed(splitter._whole(text)) for text in texts])
         self._empty()
 
     def _empty(self) -> None:
@@ -115,7 +117,7 @@ class WordTable:
         new = [word for word in words if word not in self.numbers]
         if new:
             start = len(self.table)
-            self.table.add([self.packed(self.splitter._whole(f" {word}")) for word in new])
+            self.table.add(self.several([f" {word}" for word in new]))
             self.numbers.update(zip(new, range(start, len(self.table)), strict=True))
         return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
 
@@ -126,7 +128,7 @@ class WordTable:
         """
         splitter = self.splitter
         for start in range(0, len(texts), ROWS):
-            if len(self.numbers) > MAX_WORDS:
+            if len(self.numbers) > self.limit:
                 self._empty()
             part = texts.slice(start, ROWS).cast(pa.large_string()).fill_null("")
             plain = part.to_pylist()

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,10 +29,15 @@ from tokenizers import Tokenizer
 from sluiceway.llm.common import as_text, mapped
 from sluiceway.llm.pieces import Splitter, WordTable
 
+# A task has its core; the library's own threads would share those of others.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 400_000
 END_ID = 0
+# Words whose ids a worker keeps.
+MAX_WORDS = 1_200_000
 
 
 class Codes:
@@ -136,13 +142,18 @@ class PieceEncoder:
         self.end = struct.pack("<I", encoding.end_id)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.splitter = Splitter(encoding.pattern, self._piece, b"".join)
-        self.table = WordTable(self.splitter, np.dtype("<u4"), bytes)
+        self.table = WordTable(self.splitter, np.dtype("<u4"), bytes, self._several, MAX_WORDS)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece by the tokenizer's merges; they work on a letter for each byte."""
         found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
         return struct.pack(f"<{len(found)}I", *(token.id for token in found))
 
+    def _several(self, texts: list[str]) -> list[bytes]:
+        """Ids of short texts by the tokenizer as a whole, many at a time."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (one.ids for one in found)]
+
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
