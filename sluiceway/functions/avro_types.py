@@ -48,5 +48,18 @@ def avro_type(data_type: DataType, name: str = "record") -> dict:
 
 
 def avro_field(field: StructField) -> dict:
-    described = avro_type(field.dataType, field.name)
-    return {"name": field.name, "type": [described, "null"] if field.nullable else described}
+    """A field of a record. Column metadata cannot hold a union of a type and null, so that is a mark here; see `unions`."""
+    described = {"name": field.name, "type": avro_type(field.dataType, field.name)}
+    return {**described, "nullable": True} if field.nullable else described
+
+
+def unions(described: dict) -> dict:
+    """An Avro schema in which fields that may be null are unions, at any depth."""
+    found = dict(described)
+    for part in ("items", "values"):
+        if isinstance(found.get(part), dict):
+            found[part] = unions(found[part])
+    if "fields" in found:
+        kinds = [(f, unions(f["type"])) for f in found["fields"]]
+        found["fields"] = [{"name": f["name"], "type": [kind, "null"] if f.get("nullable") else kind} for f, kind in kinds]
+    return found

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from sluiceway.functions.avro_types import avro_type
+from sluiceway.functions.avro_types import avro_type, unions
 from sluiceway.functions.structs import root, struct_type
 
 # Metadata property names.
@@ -85,7 +85,7 @@ def record_schema(df: DataFrame, name: str) -> str:
     """Avro record schema (JSON) from the column metadata; columns without one become `null`."""
     fields = []
     for f in df.schema.fields:
-        described = dict(f.metadata) if "type" in f.metadata else "null"
+        described = unions(f.metadata) if "type" in f.metadata else "null"
         if described != "null" and f.nullable:
             described = [described, "null"]
         fields.append({"name": f.name, "type": described})

@@ -112,17 +112,18 @@ def test_topics_cannot_be_updated_in_place():
         FlowSpec({}, {}, "batch", "change", "log", "update").check(append_only_target=True)
 
 
-STATIONS = """station,height,remark
-"Pass, upper",2410.5,"two
-lines"
-Harbour,3.25,
-"Old ""Mill""",118,closed
-"""
+STATIONS = [
+    "station,height,remark",
+    '"Pass, upper",2410.5,"two',
+    'lines"',
+    "Harbour,3.25,",
+    '"Old ""Mill""",118,closed',
+]
 
 
 def csv_flow(tmp_path):
     """High stations, by the digest of their names."""
-    (tmp_path / "stations.csv").write_text(STATIONS)
+    (tmp_path / "stations.csv").write_text("\n".join(STATIONS) + "\n")
     return {
         "source": {"local": {"path": str(tmp_path / "stations.csv"), "dataFormat": "csv"}},
         "destination": {"local": {"path": str(tmp_path / "high"), "dataFormat": "orc"}},
@@ -170,7 +171,7 @@ def test_topic_to_files_takes_a_snapshot(spark, tmp_path):
         "writeDataType": "logdata",
         "writeOperation": "overwrite",
     }
-    assert run(spark, flow).rows == 3
+    assert run(spark, flow).rows == len(LAST_ROWS)
     result = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(result.columns) == ["d", "i", "s"]
     assert rows_of(result.select("i", "s", "d")) == LAST_ROWS
@@ -229,10 +230,10 @@ def test_changes_in_an_order_of_their_own(spark, tmp_path):
     flow = {**ends(tmp_path / "in", tmp_path / "out"), "readDataType": "cdc", "writeDataType": "log"}
     with pytest.raises(ValueError, match="order_by"):
         run(spark, flow)
-    assert run(spark, {**flow, "orderBy": "seq"}).rows == 3
+    assert run(spark, {**flow, "orderBy": "seq"}).rows == len(LAST_ROWS)
     assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == LAST_ROWS
     update = {**flow, **ends(tmp_path / "in", tmp_path / "out2"), "orderBy": ["seq"], "writeOperation": "update"}
-    assert run(spark, update).rows == 3
+    assert run(spark, update).rows == len(LAST_ROWS)
     topic = {**flow, "writeDataType": "cdc", "orderBy": "seq", "destination": {"topic": {"path": str(tmp_path / "topic")}}}
     assert run(spark, topic).rows == len(CHANGE_ROWS)
     copied = decode_json(read_log(spark, str(tmp_path / "topic")), VALUE_DDL, "i int")
