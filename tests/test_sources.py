@@ -140,7 +140,7 @@ def test_failed_update_leaves_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     update_table(change_data(spark), path)
     broken = change_data(spark).withColumn(
-        "value", F.when(F.col("key.i") == 4, F.raise_error(F.lit("broken"))).otherwise(F.col("value"))
+        "value", F.when(F.col("key.i") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("value"))
     )
     with pytest.raises(Exception, match="broken"):
         update_table(broken, path)
