@@ -27,7 +27,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from sluiceway.llm.common import as_text, mapped
 from sluiceway.llm.pieces import Runs, Splitter, WordTable
 
-MAX_PAIRS = 1_000_000
+MAX_PAIRS = 300_000
+# Words whose ids a worker keeps: it also holds what other stages of a pipeline keep.
+MAX_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ class BytePairEncoder:
         self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.bytes = {rank: token for token, rank in self.ids.items()}
         self.splitter = Splitter(vocabulary.pattern, self.encode_piece, lambda found: tuple(chain.from_iterable(found)))
-        self.table = WordTable(self.splitter, np.int32, lambda ids: array("i", ids).tobytes())
+        self.table = WordTable(self.splitter, np.int32, lambda ids: array("i", ids).tobytes(), limit=MAX_WORDS)
         self.automaton = ahocorasick.Automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
