@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import byte_bpe, decontamination, lsh_forest, substrings, toxicity
+from sluiceway.llm import byte_bpe, decontamination, lsh_forest, simhash, substrings, toxicity
 from sluiceway.llm.common import intermediate, table
 from sluiceway.llm.queries import held_out
 from sluiceway.sources import storage
@@ -29,8 +29,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 and more, tied over any number of
     them, the one with the smallest id stays; of those without words, too.
 
-    By MinHash, not SimHash: at that similarity 64-bit fingerprints differ in 3 to 13 bits, more than Golay keys reach."""
-    return lsh_forest.representatives(docs, SHINGLE, PERCENT)
+    By SimHash: texts whose fingerprints differ in four bits at most meet through Golay keys, and their sets are compared. At that
+    similarity fingerprints differ in 3 to 13 bits, more than Golay keys reach, so the pairs further apart meet in MinHash trees."""
+    return lsh_forest.representatives(docs, SHINGLE, PERCENT, simhash.close_texts(docs))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -214,11 +214,33 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     return pairs.join(low, "low").join(high, "high").where(both * (100 + percent) >= percent * (F.size("a") + F.size("b"))).select("low", "high")
 
 
+def print_pairs(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """`(low, high)`: the nodes that `links (low, high)` between fingerprints stand for, by the first node of each in `prints (bits, first)`."""
+    a = prints.select(F.col("bits").alias("low"), F.col("first").alias("a"))
+    b = prints.select(F.col("bits").alias("high"), F.col("first").alias("b"))
+    return links.join(a, "low").join(b, "high").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+
+
+def untied(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The `pairs (low, high)` of nodes that differ in component, once each."""
+    a = rows.select(F.col("node").alias("low"), F.col("component").alias("a"))
+    b = rows.select(F.col("node").alias("high"), F.col("component").alias("b"))
+    return pairs.distinct().join(a, "low").join(b, "high").where("a <> b").select("low", "high")
+
+
 def groups(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, window: int = WINDOW, link_empty: bool = False
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    window: int = WINDOW,
+    link_empty: bool = False,
+    close: tuple[DataFrame, DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """`(doc_id, text_key, node, n_shingles)` of all rows; `(node, least, group)`, `least` being the first id and text key. Rows
-    without words have no node, or one for all with `link_empty`."""
+    without words have no node, or one for all with `link_empty`.
+
+    `close`, of `simhash.close_texts`, comes before the trees: texts of one fingerprint and linked ones are candidates, first
+    each fingerprint with the smallest that it is linked with, then all links that are not tied by those."""
     spark = docs.sparkSession
     schema = "doc_id long, text_key long, node long, n_shingles long, labels array<long>"
     with intermediate(spark) as keep:
@@ -228,10 +250,20 @@ def groups(
         least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
         nodes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min(least).alias("least"), F.any_value("labels").alias("labels")), "nodes")
         n_nodes = nodes.count()
+        finds = [lambda rows, wide=wide: neighbours(rows, n_nodes, wide, percent) for wide in (1, window)]
+        if close:
+            texts, near = close
+            of_text = signed.where("n_shingles > 0").groupBy("text_key").agg(F.any_value("node").alias("node"))
+            printed = staged(of_text.join(texts, "text_key").select("bits", "node").distinct(), "printed")
+            first = staged(printed.groupBy("bits").agg(F.min("node").alias("first")), "first")
+            either = near.union(near.select("high", "low"))
+            smallest = either.groupBy("low").agg(F.min("high").alias("high"))
+            same = printed.join(first, "bits").where("first <> node").select(F.col("first").alias("low"), F.col("node").alias("high"))
+            finds = [lambda rows: untied(same.union(print_pairs(first, smallest)), rows), lambda rows: untied(print_pairs(first, near), rows), *finds]
         rows, links, tied = nodes.withColumn("component", F.col("node")), None, None
-        for wide in (1, window):
+        for find in finds:
             with intermediate(spark) as keep_found:
-                pairs = staged(alike(neighbours(rows, n_nodes, wide, percent), nodes, percent), "pairs")
+                pairs = staged(alike(find(rows), nodes, percent), "pairs")
                 found = keep_found(confirmed(pairs, nodes, docs, shingle, percent), "links")
             links = found if links is None else links.union(found)
             tied = components(links)
@@ -257,7 +289,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, close: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row of each group of near copies, with all its columns, chosen like those of `simhash.representatives`; here all
-    rows without words are one group as well."""
-    return first_rows(docs, groups(docs, shingle, percent, link_empty=True)[1])
+    rows without words are one group as well. `close` as in `groups`."""
+    return first_rows(docs, groups(docs, shingle, percent, link_empty=True, close=close)[1])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import LOWER, hashes, mapped, staged, texts_of, words
+from sluiceway.llm.common import LOWER, hashes, intermediate, mapped, staged, texts_of, words
 from sluiceway.llm.components import components
 
 SHINGLE = 4
@@ -266,9 +266,23 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
+def _prints(docs: DataFrame) -> DataFrame:
+    return staged(mapped(keyed(docs), _fingerprints, "doc_id long, text_key long, bits long"), "fingerprints")
+
+
+def close_texts(docs: DataFrame, max_bucket: int = MAX_BUCKET, max_local: int = MAX_LOCAL) -> tuple[DataFrame, DataFrame]:
+    """`(text_key, bits)` of all different texts of `docs`, and links `(low, high)` between their fingerprints, enough of them to
+    connect all that differ in four bits at most: for callers that judge the links by more than the fingerprints."""
+    spark = docs.sparkSession
+    with intermediate(spark) as keep:
+        prints = keep(_prints(docs).groupBy("text_key").agg(F.any_value("bits").alias("bits")), "texts")
+        distinct = staged(prints.select("bits").distinct(), "distinct")
+        return prints, keep(links(distinct, max_bucket, max_local).distinct(), "links")
+
+
 def _groups(docs: DataFrame, max_bucket: int, max_local: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints `(doc_id, text_key, bits)` of all rows; `(bits, least, group)`, `least` being the first id and text key."""
-    prints = staged(mapped(keyed(docs), _fingerprints, "doc_id long, text_key long, bits long"), "fingerprints")
+    prints = _prints(docs)
     # Nulls come last.
     ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     distinct = staged(prints.groupBy("bits").agg(F.min(ordered).alias("least")), "distinct")

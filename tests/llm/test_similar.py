@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import xxhash
 from corpus_helpers import frame, messy_rows, prose
 
 import corpus_pipeline
@@ -69,3 +70,30 @@ def test_stage_keeps_one_of_copies_far_apart_in_simhash(spark):
 
 def test_no_rows(spark):
     assert lsh_forest.representatives(frame(spark, [], extra=True), 5, 80).collect() == []
+
+
+def plain_print(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).encode().split()
+    found = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 4]), 42) for i in range(max(1, len(words) - 3))]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in found) > len(found))
+
+
+def test_stage_ties_close_fingerprints_without_trees(spark, monkeypatch):
+    """Golay keys alone find all similar texts whose fingerprints differ in four bits at most; dissimilar ones are not tied."""
+    monkeypatch.setattr(lsh_forest, "neighbours", lambda nodes, *_: nodes.selectExpr("node AS low", "node AS high").limit(0))
+    words = prose(5, 300).split()
+    rows = [(1000 + i, " ".join([*words[: 3 * i], "changed", *words[3 * i + 1 :]])) for i in range(40)]
+    line = "one line that stands in there so often that it alone makes the fingerprint "
+    rows += [(2000 + i, line * 400 + prose(900 + i, 30)) for i in range(4)]
+    rows += [(3000, prose(950, 40)), (3001, prose(951, 40)), (3002, ""), (3003, " \n")]
+    prints, sets, group = [plain_print(text) for _, text in rows], [plain_set(text) for _, text in rows], list(range(len(rows)))
+    close = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if sets[a] == sets[b] or sets[a] and sets[b] and (prints[a] ^ prints[b]).bit_count() <= 4]
+    similar = [(a, b) for a, b in close if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    assert len(similar) > 40 and len(close) > len(similar)
+    for a, b in similar:
+        group = [group[a] if g == group[b] else g for g in group]
+    least = {}
+    for (doc_id, _), g in zip(rows, group, strict=True):
+        least[g] = min(doc_id, least.get(g, doc_id))
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows, extra=True), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
