@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from sluiceway.llm.common import as_text, mapped
+from sluiceway.llm.common import as_text, kept, mapped
 from sluiceway.llm.pieces import Runs, Splitter, WordTable
 
 MAX_PAIRS = 300_000
@@ -189,16 +189,9 @@ class BytePairEncoder:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-_encoders: dict[str, BytePairEncoder] = {}
-
-
 def encoder_of(vocabulary: Vocabulary) -> BytePairEncoder:
     """The encoder of a vocabulary, built once in each Python worker."""
-    name = vocabulary.name
-    if name not in _encoders:
-        _encoders.clear()
-        _encoders[name] = BytePairEncoder(vocabulary)
-    return _encoders[name]
+    return kept(__name__, vocabulary.name, lambda: BytePairEncoder(vocabulary))
 
 
 def _encode(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

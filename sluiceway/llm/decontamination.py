@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import as_text, mapped, staged
+from sluiceway.llm.common import as_text, kept, mapped, staged
 
 PART = 64
 BLOCK = 4
@@ -231,15 +231,9 @@ def wand(index: Index, query: set[int], threshold: float) -> list[tuple[int, flo
     return found
 
 
-_built: dict[str, Index] = {}
-
-
 def _index_of(shard: Shard) -> Index:
     """The index of a shard, built once in each Python worker."""
-    if shard.name not in _built:
-        _built.clear()
-        _built[shard.name] = build_index(shard.rows.value, shard.threshold)
-    return _built[shard.name]
+    return kept(__name__, shard.name, lambda: build_index(shard.rows.value, shard.threshold))
 
 
 def evidence(text: str, overlaps: tuple[float, float], document: dict[int, set]) -> float:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from corpus_helpers import frame, messy_rows
 from tokenizers import Tokenizer
 
-from sluiceway.llm import byte_bpe, token_files
+from sluiceway.llm import byte_bpe, common, token_files
 from sluiceway.sources import storage
 
 
@@ -53,6 +55,24 @@ def test_encode_and_decode(spark, vocabulary):
     assert byte_bpe.round_trip(frame(spark, []), vocabulary).collect() == []
 
 
+def test_workers_give_up_an_encoder_that_later_tasks_do_not_use(spark, vocabulary):
+    def passed(batches):
+        yield from batches
+
+    def counted(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [sum(isinstance(x, byte_bpe.BytePairEncoder) for x in gc.get_objects())]})
+
+    def encoders():
+        return [row.n for row in common.mapped(spark.range(0, 16, 1, 16), counted, "n long").collect()]
+
+    assert byte_bpe.encode(frame(spark, messy_rows()).repartition(8), vocabulary).count() == len(messy_rows())
+    assert max(encoders()) == 1
+    common.mapped(spark.range(0, 64, 1, 64), passed, "id long").count()
+    assert max(encoders()) == 0
+
+
 @pytest.mark.parametrize("top", [1, 200, 300, 70_000, 2**32])
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 4000])
 def test_codes(top, n):
