@@ -14,7 +14,7 @@ import tiktoken
 from corpus_helpers import frame, messy_rows
 from tokenizers import Tokenizer
 
-from sluiceway.llm import byte_bpe, common, token_files
+from sluiceway.llm import byte_bpe, common, pieces, token_files
 from sluiceway.sources import storage
 
 
@@ -91,6 +91,34 @@ def test_pieces_against_library(encoding):
         assert encoder.encode(text) == np.array(ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("block_bytes", [1, 700, 1 << 25])
+@pytest.mark.parametrize("kept", [0, 50, 1_000_000])
+def test_whole_texts_against_library(encoding, monkeypatch, block_bytes, kept):
+    """Words with white space inside and at their ends, double spaces, nulls, special tokens; whatever is looked up together or kept."""
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(pieces, "ROWS", 64)
+    library, encoder = Tokenizer.from_str(encoding.definition), token_files.PieceEncoder(encoding)
+    encoder.table.limit = kept
+    marks = ["one\ntwo  three\n four", "one\n\ttwo, 's two's", "\none two\n", " one", "one ", "  ", "\n \n", "\u2003one \u2003two\u2003 one", "🙂one ²one one²"]
+    texts = [None, *marks, *odd_texts(400), None, "", *odd_texts(200, "the, .\n '"), *odd_texts(100, " \n\ta")]
+    found = [ids.tolist() for ids in encoder.encode_all(pa.array(texts))]
+    assert found == [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    assert [ids.tolist() for ids in encoder.encode_all(pa.array(["", *texts[:3]]).slice(1, 2))] == found[:2]
+
+
+def test_pieces_are_encoded_once_for_all_words_that_hold_them(encoding):
+    """Words that differ only in the marks around them, within a slice of texts, across slices and across batches."""
+    encoder, asked = token_files.PieceEncoder(encoding), []
+    tokenize = encoder.model.tokenize
+    encoder.model = type("Model", (), {"tokenize": staticmethod(lambda letters: asked.append(letters) or tokenize(letters))})
+    texts = [f"a theory{mark} a (theory{mark} a Theory{mark}" for mark in (",", ".", "!", "?", ";", ",", "!!")] * pieces.ROWS
+    for _ in range(3):
+        assert sum(len(ids) for ids in encoder.encode_all(pa.array(texts))) > len(texts)
+    # The first word of a text is looked up by itself.
+    assert len(asked) == len(set(asked)) == 1 + len([" a", " theory", " (", "theory", " Theory", ",", ".", "!", "?", ";", "!!"])
+
+
 @pytest.mark.parametrize("segment_tokens", [300, 400_000])
 def test_file(spark, encoding, segment_tokens):
     rows = messy_rows() + [(100 + i, text) for i, text in enumerate(odd_texts(60))]
