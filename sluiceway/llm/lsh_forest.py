@@ -11,13 +11,17 @@ alike but not similar enough. In each tree a pair also has to share most levels
 does 23 times of 25. The next neighbours of all trees come first and are tied to components; then each document meets,
 within a wider window, only those of other components. Candidates are narrowed by their whole signatures, which rule a
 link at the very threshold out with probability 3e-5, and confirmed on full sets.
+
+Where more rows than the window share all eight levels, a row's neighbours in the order are any of them: the one text that ties a copy to a large group
+of copies may stand anywhere. There the full sets of all are compared that are still of different components, so all eight levels in one tree
+are enough, however many share them.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +46,10 @@ WINDOW = 16
 MORE, LOOSE = 3, 1.3
 # Standard deviations by which an estimate may fall short of the similarity.
 TOLERANCE = 4
+# Rows, and shingles of them, of either side that meet at once where a label is crowded.
+CROWD_ROWS, CROWD_SHINGLES = 4096, 1 << 21
+# Shingles of a set in one row.
+PIECE = 512
 ROWS_PER_PARTITION = 200_000
 SLICE = 1 << 20
 SIGN = np.uint64(1 << 63)
@@ -200,13 +208,18 @@ def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array([_node(found)], pa.int64()), values], ["node", "shingles"])
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The `pairs (low, high)` whose full sets reach the similarity. The sets are made anew, from one text of each node."""
-    wanted = pairs.select(F.col("low").alias("node")).union(pairs.select("high")).distinct()
+def texts_of_nodes(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """`(text)`: one text of each node in `wanted (node)`; as often as a row is repeated."""
     sources = nodes.join(wanted, "node", "left_semi").select(F.col("least.doc_id").alias("doc_id"), F.col("least.text_key").alias("text_key"))
     texts = keyed(docs)
     same = texts["doc_id"].eqNullSafe(sources["doc_id"]) & (texts["text_key"] == sources["text_key"])
-    sets = mapped(texts.join(sources, same, "left_semi").select("text"), functools.partial(_sets, shingle), "node long, shingles array<long>")
+    return texts.join(sources, same, "left_semi").select("text")
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The `pairs (low, high)` whose full sets reach the similarity. The sets are made anew, from one text of each node."""
+    wanted = pairs.select(F.col("low").alias("node")).union(pairs.select("high")).distinct()
+    sets = mapped(texts_of_nodes(wanted, nodes, docs), functools.partial(_sets, shingle), "node long, shingles array<long>")
     sets = staged(sets.dropDuplicates(["node"]), "sets")
     low = sets.select(F.col("node").alias("low"), F.col("shingles").alias("a"))
     high = sets.select(F.col("node").alias("high"), F.col("shingles").alias("b"))
@@ -214,6 +227,105 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     return pairs.join(low, "low").join(high, "high").where(both * (100 + percent) >= percent * (F.size("a") + F.size("b"))).select("low", "high")
 
 
+def _pieces(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets in rows of `PIECE` shingles at most, so that a batch of rows is bounded whatever the texts."""
+    for batch in batches:
+        for text in texts_of(batch):
+            found = shingles_of(text, shingle)
+            starts = np.arange(0, len(found), PIECE)
+            offsets = pa.array(np.append(starts, len(found)), pa.int32())
+            columns = [pa.array(np.full(len(starts), _node(found))), pa.array(starts), pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "at", "shingles"])
+
+
+CROWD = ["tree", "label", "seeking", "met"]
+
+
+def _links_of(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links between seekers (side 0) and members (side 1) of different components, as few as tie all components that have any."""
+    side, at, node, component = (rows.column(name).to_numpy() for name in ("side", "at", "node", "component"))
+    sets = rows.column("shingles").combine_chunks()
+    values, flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    first = np.flatnonzero(at == 0)
+    begin = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])[np.append(first, len(at))]
+    sizes, node, n_seekers = np.diff(begin), node[first], int((side[first] == 0).sum())
+    names, of_row = np.unique(component[first], return_inverse=True)
+    root, member_of = np.arange(len(names)), of_row[n_seekers:]
+    members, their_sizes, starts = flat[begin[n_seekers] :], sizes[n_seekers:], begin[n_seekers:-1] - begin[n_seekers]
+    marked, lows, highs = np.zeros(len(values), np.int32), [], []
+    for i in range(n_seekers if len(their_sizes) else 0):
+        own = root[of_row[i]]
+        smaller, larger = np.minimum(their_sizes, sizes[i]), np.maximum(their_sizes, sizes[i])
+        others = np.flatnonzero((root[member_of] != own) & (100 * smaller >= percent * larger))
+        if not len(others):
+            continue
+        mine = flat[begin[i] : begin[i + 1]]
+        marked[mine] = 1
+        if 4 * len(others) < len(starts):
+            some = np.concatenate([members[starts[j] : starts[j] + their_sizes[j]] for j in others.tolist()])
+            common = np.add.reduceat(marked[some], np.cumsum(their_sizes[others]) - their_sizes[others])
+        else:
+            common = np.add.reduceat(marked[members], starts)[others]
+        marked[mine] = 0
+        linked = others[common * (100 + percent) >= percent * (sizes[i] + their_sizes[others])]
+        for j in linked.tolist():
+            other = root[member_of[j]]
+            if other != own:
+                root[root == other] = own
+                lows.append(min(node[i], node[n_seekers + j]))
+                highs.append(max(node[i], node[n_seekers + j]))
+    return pa.RecordBatch.from_arrays([pa.array(lows, pa.int64()), pa.array(highs, pa.int64())], ["low", "high"])
+
+
+def _meet(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links within each meeting, of rows sorted by meeting, side, node and place in the set."""
+    key, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(name).to_numpy() for name in CROWD]
+        changes = np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns], axis=0)) + 1
+        for start, end in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows], strict=True):
+            here = tuple(int(x[start]) for x in columns)
+            if parts and here != key:
+                yield _links_of(pa.Table.from_batches(parts), percent)
+                parts = []
+            key = here
+            parts.append(batch.slice(start, end - start))
+    if parts:
+        yield _links_of(pa.Table.from_batches(parts), percent)
+
+
+def crowded_links(rows: DataFrame, docs: DataFrame, shingle: int, window: int, percent: int) -> DataFrame | None:
+    """`(low, high)`: links between the components of `rows (node, least, labels, n_shingles, component)`, found among the rows of each label that
+    more than `window` share; none if there are no such rows.
+
+    In each of them those that are not of its largest component meet all, in chunks of both sides, so that none is one task's."""
+    labelled = rows.select("node", "component", "n_shingles", F.posexplode("labels").alias("tree", "label"))
+    of_label = labelled.groupBy("tree", "label").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
+    inside = staged(labelled.join(of_label.where((F.col("n") > window) & (F.col("a") < F.col("b"))), ["tree", "label"], "left_semi"), "crowded")
+    if inside.isEmpty():
+        return None
+    parts = inside.groupBy("tree", "label", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
+    whole = parts.groupBy("tree", "label").agg(F.max(F.struct("n", "component", "all")).alias("main"), F.sum("n").alias("n"), F.sum("all").alias("all"))
+
+    def chunks(n, n_shingles):
+        return F.ceil(F.greatest(n / CROWD_ROWS, n_shingles / CROWD_SHINGLES)).cast("int")
+
+    n, n_shingles = F.col("n"), F.col("all")
+    seeking = chunks(n - F.col("main.n"), n_shingles - F.col("main.all")).alias("n_seeking")
+    placed = inside.drop("n_shingles").join(whole.select("tree", "label", F.col("main.component").alias("main"), seeking, chunks(n, n_shingles).alias("n_met")), ["tree", "label"])
+    own = {name: F.pmod(F.xxhash64("node"), F.col(f"n_{name}")).cast("int") for name in ("seeking", "met")}
+    every = {name: F.explode(F.sequence(F.lit(0), F.col(f"n_{name}") - 1)) for name in ("seeking", "met")}
+    names = ["tree", "label", "node", "component"]
+    seekers = placed.where("component <> main").select(*names, F.lit(0).alias("side"), own["seeking"].alias("seeking"), every["met"].alias("met"))
+    members = placed.select(*names, F.lit(1).alias("side"), every["seeking"].alias("seeking"), own["met"].alias("met"))
+    texts = texts_of_nodes(inside.select("node").distinct(), rows, docs)
+    sets = staged(mapped(texts, functools.partial(_pieces, shingle), "node long, at long, shingles array<long>").dropDuplicates(["node", "at"]), "sets")
+    meetings = seekers.union(members).join(sets, "node").repartition(*CROWD).sortWithinPartitions(*CROWD, "side", "node", "at")
+    return mapped(meetings, functools.partial(_meet, percent), "low long, high long").distinct()
+
+
 def print_pairs(prints: DataFrame, links: DataFrame) -> DataFrame:
     """`(low, high)`: the nodes that `links (low, high)` between fingerprints stand for, by the first node of each in `prints (bits, first)`."""
     a = prints.select(F.col("bits").alias("low"), F.col("first").alias("a"))
@@ -248,7 +360,7 @@ def groups(
         signed = staged(signed.withColumn("node", F.coalesce("node", F.lit(0 if link_empty else None).cast("long"))), "signatures")
         # Nulls come last.
         least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-        nodes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min(least).alias("least"), F.any_value("labels").alias("labels")), "nodes")
+        nodes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(F.min(least).alias("least"), F.any_value("labels").alias("labels"), F.any_value("n_shingles").alias("n_shingles")), "nodes")
         n_nodes = nodes.count()
         finds = [lambda rows, wide=wide: neighbours(rows, n_nodes, wide, percent) for wide in (1, window)]
         if close:
@@ -261,10 +373,16 @@ def groups(
             same = printed.join(first, "bits").where("first <> node").select(F.col("first").alias("low"), F.col("node").alias("high"))
             finds = [lambda rows: untied(same.union(print_pairs(first, smallest)), rows), lambda rows: untied(print_pairs(first, near), rows), *finds]
         rows, links, tied = nodes.withColumn("component", F.col("node")), None, None
-        for find in finds:
+
+        def link(find) -> Callable[[DataFrame], DataFrame]:
+            return lambda rows: confirmed(staged(alike(find(rows), nodes, percent), "pairs"), nodes, docs, shingle, percent)
+
+        for find in [*map(link, finds), lambda rows: crowded_links(rows, docs, shingle, window, percent)]:
             with intermediate(spark) as keep_found:
-                pairs = staged(alike(find(rows), nodes, percent), "pairs")
-                found = keep_found(confirmed(pairs, nodes, docs, shingle, percent), "links")
+                found = find(rows)
+                if found is None:
+                    continue
+                found = keep_found(found, "links")
             links = found if links is None else links.union(found)
             tied = components(links)
             rows = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))

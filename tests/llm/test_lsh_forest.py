@@ -71,6 +71,31 @@ def test_crowded_regions(spark, monkeypatch):
     assert result(lsh_forest.near_copies(frame(spark, rows))) == plain(rows)
 
 
+def star(n, seed, length=220, edits=5):
+    """A text and copies of it with other words in random places: all similar to it, no two to each other but by chance."""
+    rng, base = random.Random(seed), prose(seed, length).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, n + 1):
+        copy = list(base)
+        for k, at in enumerate(rng.sample(range(2, length - 2), edits)):
+            copy[at] = f"own{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize(("n", "chunk"), [(1500, 4096), (300, 40)])
+def test_a_large_group_that_only_one_text_ties(spark, monkeypatch, n, chunk):
+    """Each copy has a link to the first text alone, which stands somewhere among hundreds that share its labels."""
+    monkeypatch.setattr(lsh_forest, "CROWD_ROWS", chunk)
+    monkeypatch.setattr(lsh_forest, "PIECE", 64)
+    # Six words more: similar to the copies by 0.84 and less, and to the first text by 0.847.
+    rows = star(n, 91) + [(10_000 + i, text) for i, text in star(60, 91, edits=6)[1:]]
+    found = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_copies(frame(spark, rows)).collect()}
+    sets = {i: plain_set(text) for i, text in rows}
+    similar = {i for i, s in sets.items() if 100 * len(s & sets[0]) >= 85 * len(s | sets[0])}
+    assert len(similar) > n and {i for i, c in found.items() if c == 0} == similar
+
+
 def test_texts_with_a_common_line_make_few_pairs(spark):
     """2,000 short texts that share a line and are not similar: candidates stay in proportion to the texts."""
     line = prose(5, 14)
