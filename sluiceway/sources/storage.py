@@ -31,6 +31,14 @@ def hadoop_settings(options: Mapping[str, str] | None) -> Iterator[None]:
         _settings.reset(token)
 
 
+def apart(path: str, options: Mapping[str, str] | None) -> dict[str, str]:
+    """The options of a store. With some for file systems, Spark opens those of the path's scheme apart as well: Hadoop would keep what these
+    settings opened for all others that use the same scheme and authority."""
+    scheme = path.partition("://")[0] if "://" in path else ""
+    alone = {f"fs.{scheme}.impl.disable.cache": "true"} if scheme and any(k.startswith("fs.") for k in options or {}) else {}
+    return {**alone, **(options or {})}
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -80,7 +80,7 @@ class FileStore(Store):
         self.format = find_format(fmt)
         self.partition_by = tuple(partition_by)
         self.schema = schema
-        self.options = dict(options or {})
+        self.options = storage.apart(path, options)
         self.rebalance = rebalance
         if self.buckets and self.partition_by:
             raise ValueError("a table has partitions or buckets, not both")
@@ -228,7 +228,7 @@ class ChangeLogStore(EnvelopeStore):
         self.partitions = partitions
         self.order_by = order_by
         self.max_files = max_files
-        self.options = dict(options or {})
+        self.options = storage.apart(path, options)
 
     @property
     def in_order(self) -> bool:
